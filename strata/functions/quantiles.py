@@ -10,13 +10,14 @@ in one final task. Here the work stays distributed:
    around every wanted p; the sketch is bounded by its accuracy, not by n;
 2. for each p, the sketch brackets the answer: ``lo``/``hi`` are sketch values
    whose ranks surely lie below/above the wanted rank;
-3. one pass counts rows below each ``lo`` and reduces the rows inside each
-   bracket to (value, count) pairs -- a bracket holds about ``4n/accuracy``
-   rows, however skewed the column (a hot value collapses to one pair);
+3. one more pass reduces the rows inside each bracket to (value, count)
+   pairs, with all rows below ``lo`` folded into one null-valued pair -- a
+   bracket spans about ``8n/accuracy`` ranks however skewed the column (a
+   hot value collapses to one pair in the map-side partial aggregate);
 4. a window over those few pairs finds the exact value. A bracket that does
    not contain the rank (the sketch guarantee failed) is widened and retried.
 
-Steps 1 and 3 move only scalars and bracket pairs to the driver, never rows.
+Only scalars and one value per percentile reach the driver, never rows.
 """
 
 from __future__ import annotations
@@ -69,37 +70,39 @@ def exact_percentiles(df: DataFrame, value: Column | str, probs: list[float],
 _MISS = object()
 
 
-def _in_bracket(lo, hi) -> Column:
-    cond = F.lit(True)
-    if lo is not None:
-        cond = cond & (F.col("_x") >= F.lit(lo))
-    if hi is not None:
-        cond = cond & (F.col("_x") <= F.lit(hi))
-    return cond
-
-
 def _resolve(vals: DataFrame, n: int, brackets: dict[float, tuple]) -> dict[float, object]:
+    """One pass: every row joins the brackets it can affect, as (bracket, value).
+
+    A row at or above a bracket's ``hi`` is irrelevant to it; a row below its
+    ``lo`` only counts, so its value is blanked to null and all such rows fold
+    into one group per bracket during the map-side partial aggregate. The
+    running count per bracket, nulls first, is then the absolute rank.
+    """
     probs = list(brackets)
-    below = vals.agg(*[
-        (F.count_if(F.col("_x") < F.lit(lo)) if lo is not None else F.lit(0)).alias(f"b{i}")
-        for i, (lo, _) in enumerate(brackets.values())]).first()
-    pairs = None
+    ids = []
     for i, (lo, hi) in enumerate(brackets.values()):
-        part = (vals.filter(_in_bracket(lo, hi)).groupBy("_x").agg(F.count(F.lit(1)).alias("c"))
-                .withColumn("_b", F.lit(i)))
-        pairs = part if pairs is None else pairs.unionByName(part)
-    w = Window.partitionBy("_b").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
-    need = F.element_at(F.array(*[F.lit(_target_rank(p, n) - int(below[f"b{i}"]))
-                                  for i, p in enumerate(probs)]), F.col("_b") + 1)
+        keep = F.lit(True) if hi is None else F.col("_x") <= F.lit(hi)
+        ids.append(F.when(keep, F.lit(i)))
+    los = [lo for lo, _ in brackets.values()]
+    exploded = vals.select("_x", F.explode(F.array(*ids)).alias("_b")).filter(F.col("_b").isNotNull())
+    lo_of = F.element_at(F.array(*[F.lit(lo) if lo is not None else F.lit(None).cast("double")
+                                   for lo in los]), F.col("_b") + 1)
+    keyed = exploded.select(
+        "_b", F.when(lo_of.isNotNull() & (F.col("_x") < lo_of), F.lit(None)).otherwise(F.col("_x"))
+        .alias("_x"))
+    pairs = keyed.groupBy("_b", "_x").agg(F.count(F.lit(1)).alias("c"))
+    w = Window.partitionBy("_b").orderBy(F.col("_x").asc_nulls_first()).rowsBetween(
+        Window.unboundedPreceding, 0)
+    rank = F.element_at(F.array(*[F.lit(_target_rank(p, n)) for p in probs]), F.col("_b") + 1)
     hits = (pairs.withColumn("_cum", F.sum("c").over(w))
-            .filter(F.col("_cum") >= need)
-            .groupBy("_b").agg(F.min("_x").alias("v"), F.max("_cum").alias("_top"))
+            .filter(F.col("_cum") >= rank)
+            .groupBy("_b").agg(F.min_by("_x", "_cum").alias("v"),
+                               F.min("_cum").alias("_first_cum"))
             .collect())
-    got = {int(r["_b"]): r["v"] for r in hits}
-    out = {}
-    for i, p in enumerate(probs):
-        need_i = _target_rank(p, n) - int(below[f"b{i}"])
-        out[p] = got.get(i, _MISS) if need_i >= 1 else _MISS
+    out = {p: _MISS for p in probs}
+    for row in hits:
+        if row["v"] is not None:        # the rank falls inside the bracket
+            out[probs[int(row["_b"])]] = row["v"]
     return out
 
 

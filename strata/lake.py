@@ -16,6 +16,7 @@ import os
 import re
 import threading
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from pathlib import Path
 
@@ -31,6 +32,13 @@ _LOCK = threading.Lock()
 _BUILT: set[tuple[str, str]] = set()
 
 
+def _concurrently(steps: dict) -> dict:
+    """Submit independent Spark jobs from threads so small ones share the cluster."""
+    with ThreadPoolExecutor(max_workers=max(1, len(steps))) as pool:
+        futures = {name: pool.submit(fn) for name, fn in steps.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 def code_fingerprint() -> str:
     h = hashlib.sha1()
     pkg = Path(__file__).resolve().parent
@@ -84,13 +92,14 @@ class Lake:
         raw.land_raw(self.spark, self.tables_dir, self.raw_root, self.cfg)
 
     def ingest_bronze(self) -> dict[str, dict[tuple[int, int], int]]:
-        return {s: bronze.ingest_source(self.spark, self.raw_root, self.bronze_root, s, self.cfg)
-                for s in self.cfg.sources}
+        """One partitioned write per source; the sources' jobs run concurrently."""
+        return _concurrently({s: (lambda s=s: bronze.ingest_source(
+            self.spark, self.raw_root, self.bronze_root, s, self.cfg)) for s in self.cfg.sources})
 
     def build_silver(self) -> dict[str, int]:
-        return {spec.name: silver.build_silver(self.spark, self.bronze(spec.name), spec,
-                                               self.silver_path(spec.name))
-                for spec in self.cfg.trip_sources}
+        return _concurrently({spec.name: (lambda spec=spec: silver.build_silver(
+            self.spark, self.bronze(spec.name), spec, self.silver_path(spec.name)))
+            for spec in self.cfg.trip_sources})
 
     def build_gold(self) -> dict[str, int]:
         specs = self.cfg.trip_sources

@@ -31,10 +31,11 @@ COLUMN_COMMENTS = {
 }
 
 
-def create_schemas(spark: SparkSession, *schemas: str) -> None:
-    """K6: create the schemas if absent."""
+def create_schemas(spark: SparkSession, location: str, *schemas: str) -> None:
+    """K6: create the schemas if absent, with their folders below ``location``."""
     for schema in schemas:
-        spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}`")
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}` "
+                  f"LOCATION {sql_string_literal(f'{location}/{schema}.db')}")
 
 
 def register_table(spark: SparkSession, name: str, path: str, comment: str,

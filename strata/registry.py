@@ -265,7 +265,7 @@ def idempotency(spark, d):
 
 def table_metadata(spark, d):
     lake = _lake(spark, d)
-    tables.create_schemas(spark, CFG.silver_schema, CFG.gold_schema)
+    tables.create_schemas(spark, f"{lake.root}/catalog", CFG.silver_schema, CFG.gold_schema)
     names = []
     for s in CFG.trip_sources:
         name = f"{CFG.silver_schema}.{s.name}_trips"

@@ -77,12 +77,10 @@ def read_raw(spark: SparkSession, raw_root: str, source: str, year: int, month:
 
 def readable_months(spark: SparkSession, raw_root: str, source: str,
                     year_months: list[tuple[int, int]]) -> list[tuple[int, int, DataFrame]]:
-    out = []
-    for year, month in year_months:
-        df = try_read(spark, raw_path(raw_root, source, year, month))
-        if df is not None:
-            out.append((year, month, df))
-    return out
+    """Scans of the months that exist; footers are read concurrently."""
+    with ThreadPoolExecutor(max_workers=min(8, len(year_months) or 1)) as pool:
+        scans = list(pool.map(lambda ym: try_read(spark, raw_path(raw_root, source, *ym)), year_months))
+    return [(y, m, df) for (y, m), df in zip(year_months, scans) if df is not None]
 
 
 def schema_groups(spark: SparkSession, raw_root: str, source: str,
