@@ -30,6 +30,9 @@ from strata.sources import raw
 
 _LOCK = threading.Lock()
 _BUILT: set[tuple[str, str]] = set()
+# Layer schemas by path: inference (a footer-merge job with mergeSchema) runs
+# once per layer, not on every read. Cleared whenever a layer is rewritten.
+_SCHEMAS: dict[str, object] = {}
 
 
 def _concurrently(steps: dict) -> dict:
@@ -75,14 +78,28 @@ class Lake:
         return f"{self.root}/_manifest"
 
     # ---- readers -------------------------------------------------------
+    def _read(self, path: str, merge: bool = False) -> DataFrame:
+        schema = _SCHEMAS.get(path)
+        if schema is None:
+            reader = self.spark.read.option("mergeSchema", "true") if merge else self.spark.read
+            df = reader.parquet(path)
+            _SCHEMAS[path] = df.schema
+            return df
+        return self.spark.read.schema(schema).parquet(path)
+
     def bronze(self, source: str) -> DataFrame:
-        return bronze.read_bronze(self.spark, self.bronze_root, source)
+        """All months of a source; the merged schema is inferred once."""
+        return self._read(f"{self.bronze_root}/{source}", merge=True)
 
     def silver(self, source: str) -> DataFrame:
-        return self.spark.read.parquet(self.silver_path(source))
+        return self._read(self.silver_path(source))
 
     def gold(self) -> DataFrame:
-        return self.spark.read.parquet(self.gold_path)
+        return self._read(self.gold_path)
+
+    def forget_schemas(self) -> None:
+        for path in [p for p in _SCHEMAS if p.startswith(self.root + "/")]:
+            del _SCHEMAS[path]
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.tables_dir.rstrip('/')}/{name}.parquet")
@@ -93,21 +110,25 @@ class Lake:
 
     def ingest_bronze(self) -> dict[str, dict[tuple[int, int], int]]:
         """One partitioned write per source; the sources' jobs run concurrently."""
+        self.forget_schemas()
         return _concurrently({s: (lambda s=s: bronze.ingest_source(
             self.spark, self.raw_root, self.bronze_root, s, self.cfg)) for s in self.cfg.sources})
 
     def build_silver(self) -> dict[str, int]:
+        self.forget_schemas()
         return _concurrently({spec.name: (lambda spec=spec: silver.build_silver(
             self.spark, self.bronze(spec.name), spec, self.silver_path(spec.name)))
             for spec in self.cfg.trip_sources})
 
     def build_gold(self) -> dict[str, int]:
+        self.forget_schemas()
         specs = self.cfg.trip_sources
         return gold.build_gold([self.silver(s.name) for s in specs], self.gold_path,
                                self.cfg.start, self.cfg.end, tuple(s.name for s in specs))
 
     def build(self, timings: dict[str, float] | None = None) -> dict:
         """Run every layer in order; each step is an idempotent overwrite."""
+        self.forget_schemas()
         out = {}
         for name, step in (("land_raw", self.land), ("bronze", self.ingest_bronze),
                            ("silver", self.build_silver), ("gold", self.build_gold)):

@@ -331,6 +331,8 @@ FROM bronze_yellow WHERE year = 1996 AND month = 3 GROUP BY 2, 3"""),
 FROM bronze_yellow GROUP BY 1 ORDER BY 1"""),
     "bronze_replace_month": q("""SELECT year, month, count(*) AS rows FROM bronze_yellow
 WHERE month <> 3 OR tpep_pickup_datetime IS NOT NULL GROUP BY 1, 2 ORDER BY 1, 2"""),
+    "bronze_incremental": q("""SELECT year, month, count(*) AS rows FROM bronze_yellow
+GROUP BY 1, 2 ORDER BY 1, 2"""),
     "clustered_layout": q("""SELECT 'gold' AS layer, count(*) AS rows, CAST(0 AS BIGINT) AS violations FROM gold
 UNION ALL SELECT 'silver_green', count(*), 0 FROM silver_green
 UNION ALL SELECT 'silver_yellow', count(*), 0 FROM silver_yellow ORDER BY 1"""),

@@ -16,8 +16,8 @@ from strata.sources import fixtures
 
 log = logging.getLogger(__name__)
 
-# Fixed value: how a raw file name ends; lineage keeps the path up to here.
-_RAW_FILE_PATTERN = r"^(.*_tripdata_[0-9]{4}-[0-9]{2}\.parquet)(/.*)?$"
+# Fixed value: the suffix of a raw file, or of a raw file directory holding part files.
+_PARQUET_DIR = ".parquet/"
 
 
 def raw_path(raw_root: str, source: str, year: int, month: int) -> str:
@@ -30,10 +30,12 @@ def logical_source_file(path: Column) -> Column:
     A publisher file is a single parquet file; a landed fixture month is a
     directory of part files. Both map to the ``..._tripdata_YYYY-MM.parquet``
     path so lineage, and the dedup order built on it, do not depend on how
-    many part files a month has.
+    many part files a month has. Plain string functions, no regex: this runs
+    on every ingested row.
     """
-    logical = F.regexp_extract(path, _RAW_FILE_PATTERN, 1)
-    return F.when(logical == "", path).otherwise(logical)
+    return F.when(F.instr(path, _PARQUET_DIR) > 0,
+                  F.concat(F.substring_index(path, _PARQUET_DIR, 1), F.lit(".parquet"))
+                  ).otherwise(path)
 
 
 def file_name(path: Column) -> Column:
@@ -106,15 +108,16 @@ def volume_by_month(spark: SparkSession, raw_root: str, cfg: LakeConfig,
         for _schema, months in schema_groups(spark, raw_root, source, wanted):
             paths = [raw_path(raw_root, source, y, m) for y, m in months]
             parts.append(spark.read.parquet(*paths).select(
-                F.lit(source).alias("taxi_type"),
-                file_name(logical_source_file(F.col("_metadata.file_path"))).alias("_file")))
+                F.lit(source).alias("taxi_type"), F.col("_metadata.file_path").alias("_path")))
     schema = "taxi_type string, year int, month int, trips bigint"
     if not parts:
         return spark.createDataFrame([], schema)
     stamp = r"_tripdata_([0-9]{4})-([0-9]{2})\.parquet$"
-    return (reduce(DataFrame.unionByName, parts)
-            .groupBy("taxi_type", "_file").agg(F.count(F.lit(1)).alias("trips"))
-            .select("taxi_type",
-                    F.regexp_extract("_file", stamp, 1).cast("int").alias("year"),
-                    F.regexp_extract("_file", stamp, 2).cast("int").alias("month"),
-                    "trips"))
+    # count per physical file first (map-side combined), name the few groups after
+    per_file = (reduce(DataFrame.unionByName, parts)
+                .groupBy("taxi_type", "_path").agg(F.count(F.lit(1)).alias("trips"))
+                .withColumn("_file", file_name(logical_source_file(F.col("_path")))))
+    return (per_file.groupBy("taxi_type",
+                             F.regexp_extract("_file", stamp, 1).cast("int").alias("year"),
+                             F.regexp_extract("_file", stamp, 2).cast("int").alias("month"))
+            .agg(F.sum("trips").alias("trips")))

@@ -35,6 +35,7 @@ def con():
 def test_every_query_has_an_oracle_or_is_listed():
     missing = set(entry.queries()) - set(entry.oracle_sql())
     assert missing == {"table_metadata"}
+    assert len(entry.queries()) == len(entry.oracle_sql()) + 1
 
 
 def test_entry_runs(spark):
