@@ -4,17 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def trip_duration_minutes(pickup: str | Column, dropoff: str | Column) -> Column:
     """Whole seconds between pickup and dropoff, in minutes.
 
-    ``timestamp_diff`` works on the wall clock for TIMESTAMP_NTZ, so the
-    result does not move with the session time zone or its DST jumps.
+    The difference of two timestamps is an exact day-time interval; cast to
+    seconds it does not move with the session time zone. (``timestamp_diff``
+    on TIMESTAMP_NTZ passes through the session zone and gains an hour across
+    a DST gap.)
     """
     p = F.col(pickup) if isinstance(pickup, str) else pickup
     d = F.col(dropoff) if isinstance(dropoff, str) else dropoff
-    return F.timestamp_diff("SECOND", p, d) / F.lit(60.0)
+    seconds = (d - p).cast(T.DayTimeIntervalType(T.DayTimeIntervalType.SECOND,
+                                                   T.DayTimeIntervalType.SECOND)).cast("bigint")
+    return seconds / F.lit(60.0)
 
 
 def pct(part: Column, whole: Column, digits: int = 2) -> Column:

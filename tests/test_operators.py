@@ -129,3 +129,15 @@ def test_content_hash_is_order_insensitive(spark):
     fp = lambda d: quality.layer_fingerprint(d, "t", ("k", "v")).first()["content_hash"]
     assert fp(df) == fp(df.orderBy(F.desc("k")).repartition(3))
     assert fp(df) != fp(df.filter("k < 3"))
+
+
+def test_duration_ignores_session_time_zone_and_dst(spark):
+    from strata.functions.expressions import trip_duration_minutes
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        df = spark.createDataFrame([(TS(1996, 4, 7, 1, 30), TS(1996, 4, 7, 2, 20))],
+                                   "p timestamp_ntz, d timestamp_ntz")
+        assert df.select(trip_duration_minutes("p", "d").alias("m")).first()["m"] == 50.0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
