@@ -141,3 +141,24 @@ def test_duration_ignores_session_time_zone_and_dst(spark):
         assert df.select(trip_duration_minutes("p", "d").alias("m")).first()["m"] == 50.0
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_dropped_duplicates_equals_window_form_on_hot_keys(spark):
+    import random
+
+    from pyspark.sql import Window
+    rnd = random.Random(3)
+    t0 = TS(1996, 3, 1, 8)
+    rows = []
+    for _ in range(400):
+        k = rnd.choice([0, 0, 0, 1, 2])  # key 0 is hot
+        rows.append((rnd.choice([None, 1.0]) if k else 1.0, float(rnd.randint(0, 2)),
+                     float(rnd.choice([5, -5, 0, 7])), t0, TS(1996, 3, 1, 9 + k),
+                     f"yellow_tripdata_1996-0{rnd.randint(1, 3)}.parquet"))
+    df = silver.project_canonical(bronze_rows(spark, rows), YELLOW)
+    w = Window.partitionBy(*silver.dedup_key()).orderBy(
+        *[F.col(c).asc_nulls_first() for c in silver.DEDUP_ORDER])
+    window_form = df.withColumn("_rn", F.row_number().over(w)).filter("_rn > 1").drop("_rn")
+    key = lambda d: sorted(repr(tuple(r)) for r in d.collect())
+    assert key(silver.dropped_duplicates(df)) == key(window_form)
+    assert silver.dropped_duplicates(df).count() + silver.deduplicate_trips(df).count() == len(rows)
