@@ -28,6 +28,7 @@ COLUMN_COMMENTS = {
     "_bronze_source_file": "Raw file the row was ingested from (lineage back to the publisher)",
     "_silver_processed_at": "When the silver batch holding this row was written",
     "_computed_at": "When the gold table was last computed",
+    "pickup_month": "First day of the pickup month; the gold table's partition column",
 }
 
 
@@ -43,10 +44,13 @@ def register_table(spark: SparkSession, name: str, path: str, comment: str,
     """K7/K8: (re)create an external table over ``path`` and document it."""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.catalog.createTable(name, path=path, source="parquet")
+    columns = {c.name: c for c in spark.catalog.listColumns(name)}
+    if any(c.isPartition for c in columns.values()):
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
     spark.sql(f"COMMENT ON TABLE {name} IS {sql_string_literal(comment)}")
-    columns = set(spark.table(name).columns)
     for col, text in column_comments.items():
-        if col in columns:
+        # partition columns carry no column comment (Spark refuses to alter them)
+        if col in columns and not columns[col].isPartition:
             spark.sql(f"ALTER TABLE {name} ALTER COLUMN `{col}` COMMENT {sql_string_literal(text)}")
 
 

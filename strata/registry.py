@@ -42,7 +42,7 @@ def _trip_bronze(lake: Lake) -> dict[str, DataFrame]:
 def _table_view(df: DataFrame) -> DataFrame:
     """Layer rows without audit timestamps, lineage reduced to the file name."""
     return df.select(*[c for c in df.columns if c not in ("_silver_processed_at", "_computed_at",
-                                                           "_bronze_source_file")],
+                                                           "_bronze_source_file", "pickup_month")],
                      raw.file_name(F.col("_bronze_source_file")).alias("source_file"))
 
 

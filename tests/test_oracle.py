@@ -58,4 +58,5 @@ def test_table_metadata_documents_columns(spark):
     docs = {(r["table_name"], r["column_name"]): r["comment"]
             for r in entry.queries()["table_metadata"](spark, SF0001).collect()}
     assert docs[("gold.trips", "total_amount")].startswith("Total charged")
-    assert all(v for (t, c), v in docs.items() if c != "_silver_processed_at" or t != "gold.trips")
+    assert all(v for (t, c), v in docs.items() if c != "pickup_month")
+    assert spark.table("gold.trips").count() == entry.queries()["gold_trips"](spark, SF0001).count()

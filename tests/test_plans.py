@@ -29,9 +29,16 @@ def test_query1_pushes_filters_and_prunes_columns(lake):
     assert "ReadSchema: struct<total_amount:double,pickup_datetime:timestamp_ntz,taxi_type:string>" in p
 
 
+def test_month_query_prunes_gold_partitions(lake):
+    p = plan(analytics.avg_passengers_by_hour(lake.gold(), lake.cfg))
+    assert "PartitionFilters: [isnotnull(pickup_month" in p
+    assert "(pickup_month#" in p and ">= 1996-05-01" in p and "<= 1996-06-01" in p
+
+
 def test_query_sql_form_has_the_same_pushdown(spark, lake):
     p = plan(analytics.query1_sql(spark, lake.gold(), lake.cfg))
     assert "GreaterThanOrEqual(pickup_datetime" in p and "GreaterThan(total_amount,0.0)" in p
+    assert "PartitionFilters: [isnotnull(pickup_month" in p
 
 
 def test_dedup_limits_before_the_shuffle(lake):
