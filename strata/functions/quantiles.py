@@ -4,20 +4,25 @@
 of the ascending non-null values.
 
 Spark's own ``percentile_disc`` merges a value->count map of the whole column
-in one final task. Here the work stays distributed:
-
-1. one pass computes ``n`` and a GK sketch (``percentile_approx``) of a grid
-   around every wanted p; the sketch is bounded by its accuracy, not by n;
-2. for each p, the sketch brackets the answer: ``lo``/``hi`` are sketch values
-   whose ranks surely lie below/above the wanted rank;
-3. one more pass reduces the rows inside each bracket to (value, count)
-   pairs, with all rows below ``lo`` folded into one null-valued pair -- a
-   bracket spans about ``8n/accuracy`` ranks however skewed the column (a
-   hot value collapses to one pair in the map-side partial aggregate);
-4. a window over those few pairs finds the exact value. A bracket that does
-   not contain the rank (the sketch guarantee failed) is widened and retried.
-
-Only scalars and one value per percentile reach the driver, never rows.
+in one final task. Here every step is a map-side combined aggregate, and the
+one window runs per percentile over a group of bounded size:
+
+1. one pass counts ``n``, estimates the distinct values (HyperLogLog) and takes
+   a GK sketch (``percentile_approx``) at ``p -/+ margin`` for every wanted p;
+   the two sketch values bracket the wanted rank;
+2. while a bracket may hold more than ``max_pairs`` distinct values, a
+   narrowing pass counts the rows below and inside it, estimates its distinct
+   values and sketches its rows on a uniform grid; the bracket shrinks to the
+   grid cells around the rank (about ``3/grid`` of its rows, plus ties). A
+   bracket that does not hold its rank (the sketch guarantee failed) is
+   reopened over the whole column and narrowed again;
+3. one pass reduces the rows inside each bracket to (value, count) pairs, with
+   all rows below it folded into one null-valued pair; a hot value collapses
+   to one pair in the partial aggregate. A window per bracket, over at most
+   about ``max_pairs`` pairs, turns the counts into absolute ranks.
+
+Only scalars, sketches of fixed size and one value per percentile reach the
+driver, never rows.
 """
 
 from __future__ import annotations
@@ -28,55 +33,110 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_ACCURACY = 100_000
+# Largest number of distinct values one bracket may hold when it is ranked by a window.
+DEFAULT_MAX_PAIRS = 1 << 20
+# Cells of the uniform sketch that narrows a bracket.
+DEFAULT_GRID = 1000
+# Safety stop for narrowing; the result stays exact, only the last window is larger.
+_MAX_ROUNDS = 16
 
 
 def _target_rank(p: float, n: int) -> int:
     return max(1, math.ceil(p * n))
 
 
+def _clip(q: float) -> float:
+    return min(1.0, max(0.0, q))
+
+
 def exact_percentiles(df: DataFrame, value: Column | str, probs: list[float],
-                      accuracy: int = DEFAULT_ACCURACY) -> list:
+                      accuracy: int = DEFAULT_ACCURACY, max_pairs: int = DEFAULT_MAX_PAIRS,
+                      grid: int = DEFAULT_GRID) -> list:
     """Exact ``percentile_disc`` of ``value`` for every p in ``probs`` (None if no rows)."""
     x = (F.col(value) if isinstance(value, str) else value).alias("_x")
     vals = df.select(x).filter(F.col("_x").isNotNull())
+    wanted = list(dict.fromkeys(probs))
     margin = 4.0 / accuracy
+    points = sorted({_clip(q) for p in wanted for q in (p - margin, p + margin)})
+    row = vals.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("_x").alias("d"),
+                   F.percentile_approx("_x", points, accuracy).alias("q")).first()
+    n = int(row["n"])
+    if n == 0:
+        return [None for _ in probs]
+    sketch = dict(zip(points, row["q"]))
+    # open below (None) when p - margin reaches the minimum, open above near the maximum
+    brackets = {p: (None if p - margin <= 0 else sketch[_clip(p - margin)],
+                    None if p + margin >= 1 else sketch[_clip(p + margin)]) for p in wanted}
+    small = int(row["d"]) <= max_pairs
     results: dict[float, object] = {}
-    pending = list(dict.fromkeys(probs))
-    n = None
-    while pending:
-        grid = sorted({min(1.0, max(0.0, q)) for p in pending for q in (p - margin, p + margin)})
-        row = vals.agg(F.count(F.lit(1)).alias("n"),
-                       F.percentile_approx("_x", grid, accuracy).alias("q")).first()
-        n = int(row["n"])
-        if n == 0:
-            return [None for _ in probs]
-        sketch = dict(zip(grid, row["q"]))
-        brackets = {}
-        for p in pending:
-            lo = sketch[min(1.0, max(0.0, p - margin))]
-            hi = sketch[min(1.0, max(0.0, p + margin))]
-            if p - margin <= 0:
-                lo = None          # open below: count from the minimum
-            if p + margin >= 1:
-                hi = None          # open above: up to the maximum
-            brackets[p] = (lo, hi)
+    while brackets:
+        if not small:
+            brackets = _narrow(vals, n, brackets, accuracy, max_pairs, grid)
         found = _resolve(vals, n, brackets)
         results.update({p: v for p, v in found.items() if v is not _MISS})
-        pending = [p for p, v in found.items() if v is _MISS]
-        margin *= 4
+        brackets = {p: (None, None) for p, v in found.items() if v is _MISS}
     return [results[p] for p in probs]
 
 
 _MISS = object()
 
 
+def _in_bracket(lo, hi) -> Column:
+    cond = F.lit(True)
+    if lo is not None:
+        cond = cond & (F.col("_x") >= F.lit(lo))
+    if hi is not None:
+        cond = cond & (F.col("_x") <= F.lit(hi))
+    return cond
+
+
+def _narrow(vals: DataFrame, n: int, brackets: dict[float, tuple], accuracy: int,
+            max_pairs: int, grid: int) -> dict[float, tuple]:
+    """Shrink every bracket until it holds at most about ``max_pairs`` distinct values.
+
+    Each round is one aggregate over the column with, per open bracket: rows
+    below it, rows inside it, a HyperLogLog estimate of its distinct values and
+    a GK sketch of its rows at ``grid + 1`` evenly spaced fractions.
+    """
+    fractions = [i / grid for i in range(grid + 1)]
+    done: dict[float, tuple] = {}
+    todo = dict(brackets)
+    for _ in range(_MAX_ROUNDS):
+        if not todo:
+            break
+        aggs = []
+        for i, (lo, hi) in enumerate(todo.values()):
+            inside = _in_bracket(lo, hi)
+            below = F.count_if(F.col("_x") < F.lit(lo)) if lo is not None else F.lit(0).cast("bigint")
+            aggs += [below.alias(f"b{i}"), F.count_if(inside).alias(f"m{i}"),
+                     F.approx_count_distinct(F.when(inside, F.col("_x"))).alias(f"d{i}"),
+                     F.percentile_approx(F.when(inside, F.col("_x")), fractions, accuracy).alias(f"s{i}")]
+        stats = vals.agg(*aggs).first()
+        nxt = {}
+        for i, (p, (lo, hi)) in enumerate(todo.items()):
+            below, inside, distinct = int(stats[f"b{i}"]), int(stats[f"m{i}"]), int(stats[f"d{i}"])
+            rank = _target_rank(p, n)
+            if not below < rank <= below + inside:
+                nxt[p] = (None, None)      # the sketch missed the rank: reopen
+            elif distinct <= max_pairs:
+                done[p] = (lo, hi)
+            else:
+                cells = stats[f"s{i}"]
+                t = (rank - below) / inside
+                i_lo, i_hi = math.floor(t * grid) - 1, math.ceil(t * grid) + 1
+                nxt[p] = (cells[i_lo] if i_lo > 0 else lo, cells[i_hi] if i_hi < grid else hi)
+        todo = nxt
+    done.update(todo)
+    return done
+
+
 def _resolve(vals: DataFrame, n: int, brackets: dict[float, tuple]) -> dict[float, object]:
     """One pass: every row joins the brackets it can affect, as (bracket, value).
 
-    A row at or above a bracket's ``hi`` is irrelevant to it; a row below its
-    ``lo`` only counts, so its value is blanked to null and all such rows fold
-    into one group per bracket during the map-side partial aggregate. The
-    running count per bracket, nulls first, is then the absolute rank.
+    A row above a bracket's ``hi`` is irrelevant to it; a row below its ``lo``
+    only counts, so its value is blanked to null and all such rows fold into
+    one group per bracket during the map-side partial aggregate. The running
+    count per bracket, nulls first, is then the absolute rank.
     """
     probs = list(brackets)
     ids = []
@@ -96,8 +156,7 @@ def _resolve(vals: DataFrame, n: int, brackets: dict[float, tuple]) -> dict[floa
     rank = F.element_at(F.array(*[F.lit(_target_rank(p, n)) for p in probs]), F.col("_b") + 1)
     hits = (pairs.withColumn("_cum", F.sum("c").over(w))
             .filter(F.col("_cum") >= rank)
-            .groupBy("_b").agg(F.min_by("_x", "_cum").alias("v"),
-                               F.min("_cum").alias("_first_cum"))
+            .groupBy("_b").agg(F.min_by("_x", "_cum").alias("v"))
             .collect())
     out = {p: _MISS for p in probs}
     for row in hits:

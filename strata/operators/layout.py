@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from strata.session import shared_root
+
 CLUSTER_KEYS = ("pickup_datetime", "dropoff_datetime", "VendorID")
 
 
@@ -46,17 +48,32 @@ def file_ranges(df: DataFrame, key: str = "pickup_datetime") -> DataFrame:
                  F.max("_k").alias("max_key")))
 
 
-def overlap_violations(df: DataFrame, key: str = "pickup_datetime") -> DataFrame:
+def overlap_violations(df: DataFrame, key: str = "pickup_datetime", grain: str = "day") -> DataFrame:
     """Files whose key range starts before an earlier file's range ends.
 
-    Files are ordered by (min, max); a file is a violation when its min lies
-    strictly below the running max of all earlier files. Touching ranges (a
-    boundary instant split over two files) are fine. The window runs over one
-    row per file, i.e. over metadata-sized input, and emits no pairs.
+    Files are ordered by (min, max, path); a file is a violation when its min
+    lies strictly below the running max of all earlier files. Touching ranges
+    (a boundary instant split over two files) are fine. No pairs are emitted.
+
+    The running max is taken in two levels, so no step sees all files at
+    once: files are bucketed by the ``grain`` (a day) of their min, a window
+    per bucket gives the max of earlier files of the same bucket, and the max
+    of all earlier buckets comes from one row per bucket. The file ranges (one
+    row per file) are checkpointed to the shared folder first, so both levels
+    read them instead of scanning the table twice.
     """
-    ranges = file_ranges(df, key).filter(F.col("min_key").isNotNull())
-    w = Window.orderBy("min_key", "max_key", "file_path").rowsBetween(Window.unboundedPreceding, -1)
-    return (ranges.withColumn("_prev_max", F.max("max_key").over(w))
+    shared_root(df.sparkSession)
+    ranges = (file_ranges(df, key).filter(F.col("min_key").isNotNull())
+              .withColumn("_bucket", F.date_trunc(grain, F.col("min_key")))
+              .checkpoint(eager=True))
+    in_bucket = Window.partitionBy("_bucket").orderBy("min_key", "max_key", "file_path") \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    ranked = ranges.withColumn("_prev_max", F.max("max_key").over(in_bucket))
+    earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    buckets = (ranked.groupBy("_bucket").agg(F.max("max_key").alias("_bucket_max"))
+               .select("_bucket", F.max("_bucket_max").over(earlier).alias("_prior_max")))
+    return (ranked.join(buckets, "_bucket")
             .agg(F.count(F.lit(1)).alias("files"),
                  F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
-                 F.count_if(F.col("min_key") < F.col("_prev_max")).alias("violations")))
+                 F.count_if(F.col("min_key") < F.greatest("_prev_max", "_prior_max"))
+                 .alias("violations")))

@@ -85,12 +85,40 @@ def read_raw(spark: SparkSession, raw_root: str, source: str, year: int, month:
     return spark.read.parquet(raw_path(raw_root, source, year, month))
 
 
+def landed_files(spark: SparkSession, raw_root: str, source: str) -> set[str]:
+    """Names of the raw month files of a source that exist.
+
+    A listing, not a data read: the ``binaryFile`` source yields one row per
+    file and never opens a file when only its path is selected. Part files of
+    a month directory map to the month file. The result holds one name per
+    month, however many files the months have.
+    """
+    try:
+        listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                   .option("pathGlobFilter", "*.parquet").load(f"{raw_root}/{source}"))
+    except AnalysisException:
+        return set()
+    names = listing.select(file_name(logical_source_file(F.col("path"))).alias("f")).distinct()
+    return {r["f"] for r in names.collect()}
+
+
 def readable_months(spark: SparkSession, raw_root: str, source: str,
                     year_months: list[tuple[int, int]]) -> list[tuple[int, int, DataFrame]]:
-    """Scans of the months that exist; footers are read concurrently."""
-    with ThreadPoolExecutor(max_workers=min(8, len(year_months) or 1)) as pool:
-        scans = list(pool.map(lambda ym: try_read(spark, raw_path(raw_root, source, *ym)), year_months))
-    return [(y, m, df) for (y, m), df in zip(year_months, scans) if df is not None]
+    """Scans of the months that exist; footers are read concurrently.
+
+    Months without a file are skipped with a warning, and so is a file whose
+    footer cannot be read.
+    """
+    landed = landed_files(spark, raw_root, source)
+    present = []
+    for y, m in year_months:
+        if RAW_FILE_TEMPLATE.format(source=source, year=y, month=m) in landed:
+            present.append((y, m))
+        else:
+            log.warning("skipping missing raw file %s", raw_path(raw_root, source, y, m))
+    with ThreadPoolExecutor(max_workers=min(8, len(present) or 1)) as pool:
+        scans = list(pool.map(lambda ym: try_read(spark, raw_path(raw_root, source, *ym)), present))
+    return [(y, m, df) for (y, m), df in zip(present, scans) if df is not None]
 
 
 def schema_groups(spark: SparkSession, raw_root: str, source: str,

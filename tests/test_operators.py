@@ -162,3 +162,24 @@ def test_dropped_duplicates_equals_window_form_on_hot_keys(spark):
     key = lambda d: sorted(repr(tuple(r)) for r in d.collect())
     assert key(silver.dropped_duplicates(df)) == key(window_form)
     assert silver.dropped_duplicates(df).count() + silver.deduplicate_trips(df).count() == len(rows)
+
+
+def test_expand_copies_splits_large_counts_into_chunks(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 7), ("c", 3)], "v string, n bigint")
+    out = silver.expand_copies(df, "n", ["v"], chunk=3)
+    assert out.columns == ["v"]
+    assert sorted(r["v"] for r in out.collect()) == ["a"] + ["b"] * 7 + ["c"] * 3
+
+
+def test_overlap_violations_across_day_buckets(spark, workdir):
+    # a file spanning three days overlaps the files that start on the later days
+    schema = "pickup_datetime timestamp_ntz, dropoff_datetime timestamp_ntz, VendorID int"
+    long_file = spark.createDataFrame([(TS(1996, 1, 1, 5), TS(1996, 1, 1, 6), 1),
+                                       (TS(1996, 1, 3, 12), TS(1996, 1, 3, 13), 1)], schema)
+    later = [spark.createDataFrame([(TS(1996, 1, d, 1), TS(1996, 1, d, 2), 1),
+                                    (TS(1996, 1, d, 2), TS(1996, 1, d, 3), 1)], schema) for d in (2, 3, 4)]
+    long_file.coalesce(1).write.parquet(f"{workdir}/span")
+    for part in later:
+        part.coalesce(1).write.mode("append").parquet(f"{workdir}/span")
+    got = layout.overlap_violations(spark.read.parquet(f"{workdir}/span")).first()
+    assert (got["files"], got["rows"], got["violations"]) == (4, 8, 2)

@@ -36,3 +36,30 @@ def test_empty_column_gives_none(spark):
 def test_property_small_inputs(spark, values, p):
     df = spark.createDataFrame([(float(v),) for v in values], "x double")
     assert exact_percentiles(df, "x", [p], accuracy=50) == [float(brute(values, p))]
+
+
+def test_narrowing_bounds_every_bracket(spark):
+    # max_pairs far below the distinct count: brackets are narrowed before the window
+    rnd = random.Random(11)
+    values = [rnd.uniform(-1e6, 1e6) for _ in range(4000)] + [42.0] * 3000
+    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(4)
+    got = exact_percentiles(df, "x", PROBS, accuracy=100, max_pairs=40, grid=16)
+    assert got == [brute(values, p) for p in PROBS]
+
+
+def test_narrowing_recovers_from_a_coarse_sketch(spark):
+    # accuracy 10 gives sketch brackets that may miss; the result must stay exact
+    rnd = random.Random(3)
+    values = [float(rnd.randint(0, 5000)) for _ in range(3000)]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = exact_percentiles(df, "x", [0.05, 0.5, 0.95], accuracy=10, max_pairs=30, grid=8)
+    assert got == [brute(values, p) for p in (0.05, 0.5, 0.95)]
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.integers(min_value=-300, max_value=300), min_size=1, max_size=200),
+       st.sampled_from([0.0, 0.1, 0.5, 0.77, 1.0]))
+def test_property_narrowed(spark, values, p):
+    df = spark.createDataFrame([(float(v),) for v in values], "x double")
+    got = exact_percentiles(df, "x", [p], accuracy=20, max_pairs=5, grid=4)
+    assert got == [float(brute(values, p))]
