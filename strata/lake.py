@@ -111,8 +111,9 @@ class Lake:
     def ingest_bronze(self) -> dict[str, dict[tuple[int, int], int]]:
         """One partitioned write per source; the sources' jobs run concurrently."""
         self.forget_schemas()
+        landed = raw.landed_files(self.spark, self.raw_root)
         return _concurrently({s: (lambda s=s: bronze.ingest_source(
-            self.spark, self.raw_root, self.bronze_root, s, self.cfg)) for s in self.cfg.sources})
+            self.spark, self.raw_root, self.bronze_root, s, self.cfg, landed)) for s in self.cfg.sources})
 
     def build_silver(self) -> dict[str, int]:
         self.forget_schemas()

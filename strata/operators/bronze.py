@@ -100,10 +100,10 @@ def _check_drift(frames: list[tuple[int, int, DataFrame]], source: str) -> None:
 
 
 def bronze_source_frame(spark: SparkSession, raw_root: str, source: str,
-                        cfg: LakeConfig) -> DataFrame | None:
+                        cfg: LakeConfig, landed: dict[str, set[str]] | None = None) -> DataFrame | None:
     """All readable months of one source, normalised per month, then unioned by name."""
     frames = []
-    for year, month, scan in raw.readable_months(spark, raw_root, source, cfg.year_months()):
+    for year, month, scan in raw.readable_months(spark, raw_root, source, cfg.year_months(), landed):
         frames.append((year, month, bronze_month(scan, year, month, cfg.source_system)))
     if not frames:
         return None
@@ -113,14 +113,14 @@ def bronze_source_frame(spark: SparkSession, raw_root: str, source: str,
 
 
 def ingest_source(spark: SparkSession, raw_root: str, bronze_root: str, source: str,
-                  cfg: LakeConfig) -> dict[tuple[int, int], int]:
+                  cfg: LakeConfig, landed: dict[str, set[str]] | None = None) -> dict[tuple[int, int], int]:
     """K2/K10 first load: every month of a source in one partitioned write.
 
     Each scan split belongs to one month file, so every task writes into a
     single ``year=/month=`` directory: no shuffle and no small-file fan-out.
     Returns rows per (year, month), observed during the write.
     """
-    df = bronze_source_frame(spark, raw_root, source, cfg)
+    df = bronze_source_frame(spark, raw_root, source, cfg, landed)
     if df is None:
         return {}
     obs = Observation(f"bronze_{source}")

@@ -164,8 +164,9 @@ def raw_column_profile(spark: SparkSession, raw_root: str, cfg: LakeConfig) -> D
     A column missing from some months gets a row of type ``absent``.
     """
     parts = []
+    landed = raw.landed_files(spark, raw_root)
     for source in cfg.sources:
-        groups = raw.schema_groups(spark, raw_root, source, cfg.year_months())
+        groups = raw.schema_groups(spark, raw_root, source, cfg.year_months(), landed)
         all_cols = list(dict.fromkeys(f.name for schema, _ in groups for f in schema.fields))
         for schema, months in groups:
             paths = [raw.raw_path(raw_root, source, y, m) for y, m in months]

@@ -85,34 +85,42 @@ def read_raw(spark: SparkSession, raw_root: str, source: str, year: int, month:
     return spark.read.parquet(raw_path(raw_root, source, year, month))
 
 
-def landed_files(spark: SparkSession, raw_root: str, source: str) -> set[str]:
-    """Names of the raw month files of a source that exist.
+def landed_files(spark: SparkSession, raw_root: str) -> dict[str, set[str]]:
+    """Names of the raw month files that exist, per source folder.
 
     A listing, not a data read: the ``binaryFile`` source yields one row per
     file and never opens a file when only its path is selected. Part files of
-    a month directory map to the month file. The result holds one name per
-    month, however many files the months have.
+    a month directory map to the month file, so only one name per (source,
+    month) reaches the driver, however many files the months have.
     """
     try:
         listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-                   .option("pathGlobFilter", "*.parquet").load(f"{raw_root}/{source}"))
+                   .option("pathGlobFilter", "*.parquet").load(raw_root))
     except AnalysisException:
-        return set()
-    names = listing.select(file_name(logical_source_file(F.col("path"))).alias("f")).distinct()
-    return {r["f"] for r in names.collect()}
+        return {}
+    month_file = logical_source_file(F.col("path"))
+    names = listing.select(
+        F.element_at(F.split(month_file, "/"), -2).alias("source"),
+        file_name(month_file).alias("name")).distinct()
+    landed: dict[str, set[str]] = {}
+    for row in names.collect():
+        landed.setdefault(row["source"], set()).add(row["name"])
+    return landed
 
 
 def readable_months(spark: SparkSession, raw_root: str, source: str,
-                    year_months: list[tuple[int, int]]) -> list[tuple[int, int, DataFrame]]:
+                    year_months: list[tuple[int, int]],
+                    landed: dict[str, set[str]] | None = None) -> list[tuple[int, int, DataFrame]]:
     """Scans of the months that exist; footers are read concurrently.
 
     Months without a file are skipped with a warning, and so is a file whose
-    footer cannot be read.
+    footer cannot be read. ``landed`` is a listing from ``landed_files``; it is
+    taken when not given.
     """
-    landed = landed_files(spark, raw_root, source)
+    names = (landed if landed is not None else landed_files(spark, raw_root)).get(source, set())
     present = []
     for y, m in year_months:
-        if RAW_FILE_TEMPLATE.format(source=source, year=y, month=m) in landed:
+        if RAW_FILE_TEMPLATE.format(source=source, year=y, month=m) in names:
             present.append((y, m))
         else:
             log.warning("skipping missing raw file %s", raw_path(raw_root, source, y, m))
@@ -122,10 +130,12 @@ def readable_months(spark: SparkSession, raw_root: str, source: str,
 
 
 def schema_groups(spark: SparkSession, raw_root: str, source: str,
-                  year_months: list[tuple[int, int]]) -> list[tuple[T.StructType, list[tuple[int, int]]]]:
+                  year_months: list[tuple[int, int]],
+                  landed: dict[str, set[str]] | None = None
+                  ) -> list[tuple[T.StructType, list[tuple[int, int]]]]:
     """Readable months grouped by identical file schema (footer metadata only)."""
     groups: dict[str, tuple[T.StructType, list[tuple[int, int]]]] = {}
-    for year, month, df in readable_months(spark, raw_root, source, year_months):
+    for year, month, df in readable_months(spark, raw_root, source, year_months, landed):
         groups.setdefault(df.schema.json(), (df.schema, []))[1].append((year, month))
     return list(groups.values())
 
@@ -139,9 +149,10 @@ def volume_by_month(spark: SparkSession, raw_root: str, cfg: LakeConfig,
     a two-phase aggregate on the file path.
     """
     wanted = year_months or cfg.year_months()
+    landed = landed_files(spark, raw_root)
     parts = []
     for source in cfg.sources:
-        for _schema, months in schema_groups(spark, raw_root, source, wanted):
+        for _schema, months in schema_groups(spark, raw_root, source, wanted, landed):
             paths = [raw_path(raw_root, source, y, m) for y, m in months]
             parts.append(spark.read.parquet(*paths).select(
                 F.lit(source).alias("taxi_type"), F.col("_metadata.file_path").alias("_path")))
