@@ -72,11 +72,15 @@ def land_raw(spark: SparkSession, tables_dir: str, raw_root: str, cfg: LakeConfi
 
 
 def try_read(spark: SparkSession, path: str) -> DataFrame | None:
-    """Scan one raw file; ``None`` (with a warning) when it is missing or unreadable."""
+    """Scan one raw file; ``None`` (with a warning) when it is missing or unreadable.
+
+    A missing path fails analysis; a corrupt footer fails the schema-inference
+    job with a plain Spark error, so any failure of the read counts.
+    """
     try:
         return spark.read.parquet(path)
-    except AnalysisException as exc:
-        log.warning("skipping unreadable raw file %s: %s", path, str(exc).splitlines()[0])
+    except Exception as exc:  # noqa: BLE001 - every unreadable month is skipped, as in S3
+        log.warning("skipping unreadable raw file %s: %s", path, str(exc).strip().splitlines()[0])
         return None
 
 

@@ -86,3 +86,23 @@ def test_volume_by_month_skips_missing_months(spark, workdir):
     land(spark, rroot)
     got = raw.volume_by_month(spark, rroot, CFG, [(1996, m) for m in (1, 2, 3, 4)]).collect()
     assert {(r["month"], r["trips"]) for r in got} == {(1, 2), (2, 3), (3, 2)}
+
+
+def test_landed_files_names_each_month_once(spark, workdir):
+    rroot = f"{workdir}/raw"
+    land(spark, rroot)
+    assert raw.landed_files(spark, rroot) == {
+        "yellow": {f"yellow_tripdata_1996-0{m}.parquet" for m in (1, 2, 3)}}
+    assert raw.landed_files(spark, f"{workdir}/nothing-landed") == {}
+
+
+def test_corrupt_month_file_is_skipped(spark, workdir):
+    import os
+    rroot = f"{workdir}/raw"
+    land(spark, rroot)
+    bad = raw.raw_path(rroot, "yellow", 1996, 4)
+    os.makedirs(os.path.dirname(bad), exist_ok=True)
+    with open(bad, "wb") as f:
+        f.write(b"not parquet")
+    months = raw.readable_months(spark, rroot, "yellow", [(1996, m) for m in (1, 2, 3, 4, 5)])
+    assert [(y, m) for y, m, _ in months] == [(1996, 1), (1996, 2), (1996, 3)]
