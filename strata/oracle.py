@@ -117,7 +117,8 @@ projected_green AS (
 ranked AS (
   SELECT *, row_number() OVER (
            PARTITION BY taxi_type, coalesce(VendorID, -1), pickup_datetime, dropoff_datetime
-           ORDER BY _bronze_source_file, total_amount NULLS FIRST, passenger_count NULLS FIRST) AS rn
+           ORDER BY _bronze_source_file, total_amount NULLS FIRST, passenger_count NULLS FIRST,
+                    VendorID NULLS FIRST) AS rn
   FROM (SELECT * FROM projected_yellow UNION ALL SELECT * FROM projected_green)
   WHERE pickup_datetime IS NOT NULL AND dropoff_datetime IS NOT NULL AND total_amount IS NOT NULL),
 silver_yellow AS (SELECT * EXCLUDE (rn) FROM ranked WHERE rn = 1 AND taxi_type = 'yellow'),

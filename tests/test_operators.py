@@ -183,3 +183,16 @@ def test_overlap_violations_across_day_buckets(spark, workdir):
         part.coalesce(1).write.mode("append").parquet(f"{workdir}/span")
     got = layout.overlap_violations(spark.read.parquet(f"{workdir}/span")).first()
     assert (got["files"], got["rows"], got["violations"]) == (4, 8, 2)
+
+
+def test_null_vendor_and_vendor_minus_one_have_a_fixed_winner(spark):
+    # both rows fall under one dedup key; the null vendor sorts first and wins
+    f = "yellow_tripdata_1996-01.parquet"
+    rows = [(-1.0, 1.0, 5.0, TS(1996, 1, 2, 8), TS(1996, 1, 2, 9), f),
+            (None, 1.0, 5.0, TS(1996, 1, 2, 8), TS(1996, 1, 2, 9), f)]
+    for order in (rows, rows[::-1]):
+        df = silver.project_canonical(bronze_rows(spark, order).repartition(2), YELLOW)
+        kept = silver.deduplicate_trips(df).collect()
+        dropped = silver.dropped_duplicates(df).collect()
+        assert [r["VendorID"] for r in kept] == [None]
+        assert [r["VendorID"] for r in dropped] == [-1]
