@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -47,3 +48,33 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def cluster_conf(input_bytes: int, cores: int, shuffle_partition_bytes: int = 256 << 20,
+                 max_shuffle_partitions: int = 100_000) -> dict[str, str]:
+    """Session settings for building and querying a lake of ``input_bytes`` raw bytes.
+
+    The widest shuffle is the silver dedup: every trip row of the largest
+    source, keyed by (vendor, pickup, dropoff). Its partition count is chosen
+    so a reduce partition holds about ``shuffle_partition_bytes`` of input
+    (it spills beyond executor memory, never fails); at least 3 waves of
+    the cluster's cores, at most ``max_shuffle_partitions`` (more map x reduce
+    blocks than that cost more in fetch overhead than they save). AQE then
+    coalesces the small shuffles of the reports to the advisory size and
+    splits skewed partitions of any join.
+
+    ``spark.checkpoint.dir`` is not set here: it names the cluster's shared
+    folder and must come from the cluster.
+    """
+    partitions = min(max_shuffle_partitions,
+                     max(3 * cores, math.ceil(input_bytes / shuffle_partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        # scan splits of 256 MB: one raw month file is a few splits, each task one month
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.session.timeZone": "UTC",
+    }

@@ -58,3 +58,14 @@ def test_quality_report_is_one_scan(lake):
     from strata.plans import quality
     p = plan(quality.quality_report(lake.gold(), "gold"))
     assert p.count("FileScan parquet") == 1
+
+
+def test_cluster_conf_sizes_shuffles_by_input():
+    from strata.session import cluster_conf
+    small = cluster_conf(10 << 30, cores=64)
+    assert small["spark.sql.shuffle.partitions"] == str(3 * 64)
+    big = cluster_conf(100 * (1 << 40), cores=8000)
+    assert big["spark.sql.shuffle.partitions"] == "100000"
+    mid = cluster_conf(5 * (1 << 40), cores=800)
+    assert mid["spark.sql.shuffle.partitions"] == str(5 * (1 << 40) // (256 << 20))
+    assert "spark.checkpoint.dir" not in big
