@@ -16,7 +16,6 @@ import os
 import re
 import threading
 import time
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from pathlib import Path
 
@@ -25,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strata.config import LakeConfig
 from strata.operators import bronze, gold, silver
-from strata.session import shared_root
+from strata.session import concurrently, shared_root
 from strata.sources import raw
 
 _LOCK = threading.Lock()
@@ -35,13 +34,6 @@ _BUILT: set[tuple[str, str]] = set()
 _SCHEMAS: dict[str, object] = {}
 
 
-def _concurrently(steps: dict) -> dict:
-    """Submit independent Spark jobs from threads so small ones share the cluster."""
-    with ThreadPoolExecutor(max_workers=max(1, len(steps))) as pool:
-        futures = {name: pool.submit(fn) for name, fn in steps.items()}
-        return {name: f.result() for name, f in futures.items()}
-
-
 def code_fingerprint() -> str:
     h = hashlib.sha1()
     pkg = Path(__file__).resolve().parent
@@ -112,12 +104,12 @@ class Lake:
         """One partitioned write per source; the sources' jobs run concurrently."""
         self.forget_schemas()
         landed = raw.landed_files(self.spark, self.raw_root)
-        return _concurrently({s: (lambda s=s: bronze.ingest_source(
+        return concurrently({s: (lambda s=s: bronze.ingest_source(
             self.spark, self.raw_root, self.bronze_root, s, self.cfg, landed)) for s in self.cfg.sources})
 
     def build_silver(self) -> dict[str, int]:
         self.forget_schemas()
-        return _concurrently({spec.name: (lambda spec=spec: silver.build_silver(
+        return concurrently({spec.name: (lambda spec=spec: silver.build_silver(
             self.spark, self.bronze(spec.name), spec, self.silver_path(spec.name)))
             for spec in self.cfg.trip_sources})
 

@@ -16,6 +16,7 @@ from strata.config import MONETARY_KEYWORDS, LakeConfig, SourceSpec
 from strata.functions.expressions import pct, trip_duration_minutes
 from strata.functions.quantiles import exact_percentiles
 from strata.operators.bronze import LINEAGE_COLUMNS
+from strata.session import concurrently
 from strata.sources import raw
 
 PARTITION_COLUMNS = ("year", "month")
@@ -165,8 +166,11 @@ def raw_column_profile(spark: SparkSession, raw_root: str, cfg: LakeConfig) -> D
     """
     parts = []
     landed = raw.landed_files(spark, raw_root)
+    # footers of all sources are read side by side
+    by_source = concurrently({s: (lambda s=s: raw.schema_groups(spark, raw_root, s, cfg.year_months(),
+                                                                landed)) for s in cfg.sources})
     for source in cfg.sources:
-        groups = raw.schema_groups(spark, raw_root, source, cfg.year_months(), landed)
+        groups = by_source[source]
         all_cols = list(dict.fromkeys(f.name for schema, _ in groups for f in schema.fields))
         for schema, months in groups:
             paths = [raw.raw_path(raw_root, source, y, m) for y, m in months]

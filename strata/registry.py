@@ -18,7 +18,7 @@ from strata.config import YELLOW, LakeConfig
 from strata.lake import Lake, open_lake
 from strata.operators import bronze, layout, silver, tables
 from strata.plans import analytics, profile, quality
-from strata.session import scratch_dir
+from strata.session import concurrently, scratch_dir
 from strata.sources import fixtures, raw
 from strata.streaming import incremental
 
@@ -253,11 +253,12 @@ def bronze_incremental(spark, d):
 
 def clustered_layout(spark, d):
     lake = _lake(spark, d)
-    parts = [layout.overlap_violations(lake.silver(s.name)).select(F.lit(f"silver_{s.name}").alias("layer"),
-                                                                 "rows", "violations")
-             for s in CFG.trip_sources]
-    parts.append(layout.overlap_violations(lake.gold()).select(F.lit("gold").alias("layer"),
-                                                              "rows", "violations"))
+    layers = {f"silver_{s.name}": lake.silver(s.name) for s in CFG.trip_sources}
+    layers["gold"] = lake.gold()
+    # each check checkpoints its per-file ranges first; the layers' jobs run side by side
+    checks = concurrently({name: (lambda df=df: layout.overlap_violations(df))
+                           for name, df in layers.items()})
+    parts = [checks[name].select(F.lit(name).alias("layer"), "rows", "violations") for name in layers]
     return reduce(DataFrame.unionByName, parts).orderBy("layer")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -25,6 +26,13 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def concurrently(steps: dict) -> dict:
+    """Submit independent Spark jobs from threads so small ones share the cluster."""
+    with ThreadPoolExecutor(max_workers=max(1, len(steps))) as pool:
+        futures = {name: pool.submit(fn) for name, fn in steps.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh, never reused directory below the shared root."""
     return f"{shared_root(spark)}/strata-scratch/{label}-{uuid.uuid4().hex[:12]}"

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.config import RAW_FILE_TEMPLATE, LakeConfig
+from strata.session import concurrently
 from strata.sources import fixtures
 
 log = logging.getLogger(__name__)
@@ -154,9 +155,11 @@ def volume_by_month(spark: SparkSession, raw_root: str, cfg: LakeConfig,
     """
     wanted = year_months or cfg.year_months()
     landed = landed_files(spark, raw_root)
+    by_source = concurrently({s: (lambda s=s: schema_groups(spark, raw_root, s, wanted, landed))
+                              for s in cfg.sources})
     parts = []
     for source in cfg.sources:
-        for _schema, months in schema_groups(spark, raw_root, source, wanted, landed):
+        for _schema, months in by_source[source]:
             paths = [raw_path(raw_root, source, y, m) for y, m in months]
             parts.append(spark.read.parquet(*paths).select(
                 F.lit(source).alias("taxi_type"), F.col("_metadata.file_path").alias("_path")))
