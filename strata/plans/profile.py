@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.config import MONETARY_KEYWORDS, LakeConfig, SourceSpec
@@ -175,7 +175,7 @@ def raw_column_profile(spark: SparkSession, raw_root: str, cfg: LakeConfig) -> D
         for schema, months in groups:
             paths = [raw.raw_path(raw_root, source, y, m) for y, m in months]
             types = {f.name: f.dataType.simpleString() for f in schema.fields}
-            wide = spark.read.parquet(*paths).agg(
+            wide = spark.read.schema(schema).parquet(*paths).agg(
                 F.count(F.lit(1)).alias("_rows"),
                 *[F.count(F.col(f"`{c}`")).alias(f"nn_{c}") for c in types])
             month_list = ",".join(str(m) for _, m in sorted(months))
@@ -203,9 +203,10 @@ def column_profile(spark: SparkSession, raw_root: str, cfg: LakeConfig) -> DataF
 def schema_drift(spark: SparkSession, raw_root: str, cfg: LakeConfig) -> DataFrame:
     """Q3: columns whose type differs between months, or that some months lack."""
     prof = raw_column_profile(spark, raw_root, cfg)
-    variants = (prof.groupBy("taxi_type", "column_name")
-                .agg(F.count(F.lit(1)).alias("variants")).filter(F.col("variants") > 1))
-    return (prof.join(variants, ["taxi_type", "column_name"], "left_semi")
+    # one row per (source, column, type): the window's groups hold a column's few types
+    per_column = Window.partitionBy("taxi_type", "column_name")
+    return (prof.withColumn("_variants", F.count(F.lit(1)).over(per_column))
+            .filter(F.col("_variants") > 1).drop("_variants")
             .orderBy("taxi_type", "column_name", "months"))
 
 

@@ -159,9 +159,10 @@ def volume_by_month(spark: SparkSession, raw_root: str, cfg: LakeConfig,
                               for s in cfg.sources})
     parts = []
     for source in cfg.sources:
-        for _schema, months in by_source[source]:
+        for file_schema, months in by_source[source]:
             paths = [raw_path(raw_root, source, y, m) for y, m in months]
-            parts.append(spark.read.parquet(*paths).select(
+            # the group's schema is known from its footers; no second inference
+            parts.append(spark.read.schema(file_schema).parquet(*paths).select(
                 F.lit(source).alias("taxi_type"), F.col("_metadata.file_path").alias("_path")))
     schema = "taxi_type string, year int, month int, trips bigint"
     if not parts:
