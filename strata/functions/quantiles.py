@@ -28,6 +28,7 @@ driver, never rows.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -53,21 +54,60 @@ def exact_percentiles(df: DataFrame, value: Column | str, probs: list[float],
                       accuracy: int = DEFAULT_ACCURACY, max_pairs: int = DEFAULT_MAX_PAIRS,
                       grid: int = DEFAULT_GRID) -> list:
     """Exact ``percentile_disc`` of ``value`` for every p in ``probs`` (None if no rows)."""
+    vals = _values(df, value)
+    first = vals.agg(*_first_pass(probs, accuracy)).first()
+    return _finish(vals, probs, first, accuracy, max_pairs, grid)
+
+
+def percentile_profile(df: DataFrame, value: Column | str, probs: dict[str, float],
+                       summary: dict[str, Callable[[Column], Column]], columns: list[str],
+                       accuracy: int = DEFAULT_ACCURACY, max_pairs: int = DEFAULT_MAX_PAIRS,
+                       grid: int = DEFAULT_GRID) -> DataFrame:
+    """One row: the ``summary`` aggregates and the exact percentiles ``probs``, as ``columns``.
+
+    The summary aggregates (min, max, mean, ...) ride along in the first
+    pass over the non-null values. That one-row result is cached when the
+    first pass runs, and the returned frame reads it, so the profile costs no
+    pass of its own. (A lost cache block is recomputed from lineage.)
+    """
+    vals = _values(df, value)
+    first = vals.agg(*_first_pass(list(probs.values()), accuracy),
+                     *[fn(F.col("_x")).alias(name) for name, fn in summary.items()]).cache()
+    found = dict(zip(probs, _finish(vals, list(probs.values()), first.first(), accuracy,
+                                    max_pairs, grid)))
+    return first.select(*[F.col(c) if c in summary else F.lit(found[c]).cast("double").alias(c)
+                          for c in columns])
+
+
+def _values(df: DataFrame, value: Column | str) -> DataFrame:
     x = (F.col(value) if isinstance(value, str) else value).alias("_x")
-    vals = df.select(x).filter(F.col("_x").isNotNull())
-    wanted = list(dict.fromkeys(probs))
+    return df.select(x).filter(F.col("_x").isNotNull())
+
+
+def _sketch_points(probs: list[float], accuracy: int) -> list[float]:
     margin = 4.0 / accuracy
-    points = sorted({_clip(q) for p in wanted for q in (p - margin, p + margin)})
-    row = vals.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("_x").alias("d"),
-                   F.percentile_approx("_x", points, accuracy).alias("q")).first()
-    n = int(row["n"])
+    return sorted({_clip(q) for p in probs for q in (p - margin, p + margin)})
+
+
+def _first_pass(probs: list[float], accuracy: int) -> list[Column]:
+    """Aggregates of the first pass: n, distinct estimate, sketch around every p."""
+    return [F.count(F.lit(1)).alias("_n"), F.approx_count_distinct("_x").alias("_d"),
+            F.percentile_approx("_x", _sketch_points(probs, accuracy), accuracy).alias("_q")]
+
+
+def _finish(vals: DataFrame, probs: list[float], first, accuracy: int, max_pairs: int,
+            grid: int) -> list:
+    """The exact values, from the first pass's row onwards."""
+    wanted = list(dict.fromkeys(probs))
+    n = int(first["_n"])
     if n == 0:
         return [None for _ in probs]
-    sketch = dict(zip(points, row["q"]))
+    margin = 4.0 / accuracy
+    sketch = dict(zip(_sketch_points(wanted, accuracy), first["_q"]))
     # open below (None) when p - margin reaches the minimum, open above near the maximum
     brackets = {p: (None if p - margin <= 0 else sketch[_clip(p - margin)],
                     None if p + margin >= 1 else sketch[_clip(p + margin)]) for p in wanted}
-    small = int(row["d"]) <= max_pairs
+    small = int(first["_d"]) <= max_pairs
     results: dict[float, object] = {}
     while brackets:
         if not small:

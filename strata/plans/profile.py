@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from strata.config import MONETARY_KEYWORDS, LakeConfig, SourceSpec
 from strata.functions.expressions import pct, trip_duration_minutes
-from strata.functions.quantiles import exact_percentiles
+from strata.functions.quantiles import percentile_profile
 from strata.operators.bronze import LINEAGE_COLUMNS
 from strata.session import concurrently
 from strata.sources import raw
@@ -60,27 +60,22 @@ AMOUNT_PROBS = {"p1": 0.01, "p25": 0.25, "median": 0.5, "p75": 0.75, "p99": 0.99
 DURATION_PROBS = {"p1": 0.01, "median": 0.5, "p99": 0.99}
 
 
-def _profile(spark: SparkSession, df: DataFrame, value, probs: dict[str, float],
-             with_mean: bool) -> DataFrame:
-    named = df.select(value.alias("_v"))
-    qs = exact_percentiles(named, "_v", list(probs.values()))
-    aggs = [F.min("_v").alias("min"), F.max("_v").alias("max")]
+def _profile(df: DataFrame, value, probs: dict[str, float], with_mean: bool) -> DataFrame:
+    summary = {"min": F.min, "max": F.max}
     if with_mean:
-        aggs.append(F.round(F.avg("_v"), 4).alias("mean"))
-    base = named.agg(*aggs)
-    return base.select(
-        "min", *[F.lit(q).cast("double").alias(k) for k, q in zip(probs, qs)], "max",
-        *(["mean"] if with_mean else []))
+        summary["mean"] = lambda c: F.round(F.avg(c), 4)
+    columns = ["min", *probs, "max", *(["mean"] if with_mean else [])]
+    return percentile_profile(df, value, probs, summary, columns)
 
 
 def amount_stats(spark: SparkSession, df: DataFrame, spec: SourceSpec) -> DataFrame:
     """A10: min, p1, p25, median, p75, p99, max and mean of the amount (exact percentiles)."""
-    return _profile(spark, df, F.col(spec.amount), AMOUNT_PROBS, with_mean=True)
+    return _profile(df, F.col(spec.amount), AMOUNT_PROBS, with_mean=True)
 
 
 def duration_stats(spark: SparkSession, df: DataFrame, spec: SourceSpec) -> DataFrame:
     """Min, p1, median, p99 and max of the trip duration in minutes (exact percentiles)."""
-    return _profile(spark, df, trip_duration_minutes(spec.pickup, spec.dropoff), DURATION_PROBS,
+    return _profile(df, trip_duration_minutes(spec.pickup, spec.dropoff), DURATION_PROBS,
                     with_mean=False)
 
 
