@@ -51,6 +51,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # independent jobs are submitted from threads; FAIR lets them share the cores
+        .config("spark.scheduler.mode", "FAIR")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
@@ -72,7 +74,8 @@ def cluster_conf(input_bytes: int, cores: int, shuffle_partition_bytes: int = 25
     splits skewed partitions of any join.
 
     ``spark.checkpoint.dir`` is not set here: it names the cluster's shared
-    folder and must come from the cluster.
+    folder and must come from the cluster. The scheduler mode is read at
+    start-up, so pass these to the session builder.
     """
     partitions = min(max_shuffle_partitions,
                      max(3 * cores, math.ceil(input_bytes / shuffle_partition_bytes)))
@@ -85,4 +88,6 @@ def cluster_conf(input_bytes: int, cores: int, shuffle_partition_bytes: int = 25
         # scan splits of 256 MB: one raw month file is a few splits, each task one month
         "spark.sql.files.maxPartitionBytes": str(256 << 20),
         "spark.sql.session.timeZone": "UTC",
+        # the build submits independent jobs (sources, layers) from threads
+        "spark.scheduler.mode": "FAIR",
     }
