@@ -300,7 +300,15 @@ FROM (
   SELECT 'green', (SELECT count(*) FROM bronze_green),
          (SELECT count(*) FROM bronze_green WHERE lpep_pickup_datetime IS NULL OR lpep_dropoff_datetime IS NULL
             OR total_amount IS NULL),
-         (SELECT count(*) FROM silver_green), (SELECT count(*) FROM gold WHERE taxi_type = 'green'))
+         (SELECT count(*) FROM silver_green), (SELECT count(*) FROM gold WHERE taxi_type = 'green')
+  UNION ALL
+  SELECT 'all', (SELECT count(*) FROM bronze_yellow) + (SELECT count(*) FROM bronze_green),
+         (SELECT count(*) FROM bronze_yellow WHERE tpep_pickup_datetime IS NULL OR tpep_dropoff_datetime IS NULL
+            OR total_amount IS NULL)
+         + (SELECT count(*) FROM bronze_green WHERE lpep_pickup_datetime IS NULL OR lpep_dropoff_datetime IS NULL
+            OR total_amount IS NULL),
+         (SELECT count(*) FROM silver_yellow) + (SELECT count(*) FROM silver_green),
+         (SELECT count(*) FROM gold))
 ORDER BY taxi_type"""),
     "layer_counts": q(_layer_counts(LAYERS) + " ORDER BY layer"),
     "silver_yellow": q(f"SELECT {VIEW_COLUMNS} FROM silver_yellow"),

@@ -51,7 +51,8 @@ def audit_trail(bronze: dict[str, DataFrame], silver: dict[str, DataFrame], gold
 
     bronze -> silver loses rows with a missing required field *and* duplicates
     (the reference's text names only the first); silver -> gold loses pickups
-    before the date floor. One union of tagged scans, one aggregate.
+    before the date floor. One union of tagged scans, one aggregate; a rollup
+    adds the row ``all`` over every taxi type.
     """
     parts = []
     for spec in cfg.trip_sources:
@@ -64,13 +65,14 @@ def audit_trail(bronze: dict[str, DataFrame], silver: dict[str, DataFrame], gold
                                               F.lit("silver").alias("layer"), F.lit(False).alias("missing")))
     parts.append(gold.select("taxi_type", F.lit("gold").alias("layer"), F.lit(False).alias("missing")))
     tagged = reduce(DataFrame.unionByName, parts)
-    counted = tagged.groupBy("taxi_type").agg(
+    # rollup adds the all-types row the reference reports its drop totals on
+    counted = tagged.rollup("taxi_type").agg(
         F.count_if(F.col("layer") == "bronze").alias("bronze_rows"),
         F.count_if((F.col("layer") == "bronze") & F.col("missing")).alias("dropped_missing"),
         F.count_if(F.col("layer") == "silver").alias("silver_rows"),
         F.count_if(F.col("layer") == "gold").alias("gold_rows"))
     return (counted.select(
-        "taxi_type", "bronze_rows", "silver_rows", "gold_rows", "dropped_missing",
+        F.coalesce("taxi_type", F.lit("all")).alias("taxi_type"), "bronze_rows", "silver_rows", "gold_rows", "dropped_missing",
         (F.col("bronze_rows") - F.col("dropped_missing") - F.col("silver_rows")).alias("dropped_duplicate"),
         (F.col("silver_rows") - F.col("gold_rows")).alias("dropped_before_start"),
         pct(F.col("bronze_rows") - F.col("silver_rows"), F.col("bronze_rows")).alias("silver_drop_pct"),
