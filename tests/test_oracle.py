@@ -60,3 +60,13 @@ def test_table_metadata_documents_columns(spark):
     assert docs[("gold.trips", "total_amount")].startswith("Total charged")
     assert all(v for (t, c), v in docs.items() if c != "pickup_month")
     assert spark.table("gold.trips").count() == entry.queries()["gold_trips"](spark, SF0001).count()
+
+
+def test_command_line_lists_and_reports(spark, capsys):
+    from strata.__main__ import main
+    assert main(["list"]) == 0
+    assert "audit_trail" in capsys.readouterr().out.split()
+    assert main(["report", SF0001, "q1", "3"]) == 0
+    out = capsys.readouterr().out
+    assert "avg_total_amount" in out and "only showing top 3 rows" in out
+    assert main(["report", SF0001, "no_such_report"]) == 2
