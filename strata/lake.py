@@ -19,7 +19,6 @@ import time
 from dataclasses import dataclass, field
 from pathlib import Path
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.config import LakeConfig
@@ -133,11 +132,15 @@ class Lake:
 
     # ---- manifest ------------------------------------------------------
     def is_built(self, version: str) -> bool:
-        try:
-            rows = self.spark.read.json(self.manifest_path).collect()
-        except AnalysisException:
-            return False
-        return bool(rows) and rows[0]["version"] == version
+        """Whether a finished build of this code version is in place.
+
+        An empty manifest is written first unless one exists (``ignore`` mode
+        writes nothing over an existing one), so the read below never fails.
+        """
+        schema = "version string"
+        self.spark.createDataFrame([], schema).write.mode("ignore").json(self.manifest_path)
+        rows = self.spark.read.schema(schema).json(self.manifest_path).collect()
+        return any(r["version"] == version for r in rows)
 
     def mark_built(self, version: str) -> None:
         (self.spark.createDataFrame([(version,)], "version string")
