@@ -69,3 +69,20 @@ def test_cluster_conf_sizes_shuffles_by_input():
     mid = cluster_conf(5 * (1 << 40), cores=800)
     assert mid["spark.sql.shuffle.partitions"] == str(5 * (1 << 40) // (256 << 20))
     assert "spark.checkpoint.dir" not in big
+
+
+def test_dropped_duplicates_has_no_join_and_regroups_by_the_whole_row(lake):
+    df = silver.dropped_duplicates(silver.filter_valid_records(
+        silver.project_canonical(lake.bronze("yellow"), YELLOW)))
+    p = plan(df)
+    assert "Join" not in p
+    # the regrouping exchange hashes every canonical column, not the trip key alone
+    assert any("hashpartitioning(_vk" in line and "total_amount" in line and "_bronze_source_file" in line
+               for line in p.splitlines())
+
+
+def test_layout_check_scans_its_layer_once(lake):
+    from strata.operators import layout
+    p = plan(layout.overlap_violations(lake.gold()))
+    assert p.count("FileScan parquet") == 0     # both levels read the checkpointed file ranges
+    assert "Window" in p
