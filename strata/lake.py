@@ -29,8 +29,11 @@ from strata.sources import raw
 _LOCK = threading.Lock()
 _BUILT: set[tuple[str, str]] = set()
 # Layer schemas by path: inference (a footer-merge job with mergeSchema) runs
-# once per layer, not on every read. Cleared whenever a layer is rewritten.
+# once per layer, not on every read. Layer DataFrames by (application, path):
+# a DataFrame keeps its file index, so a partitioned layer's folders are listed
+# once, not by every report. Both are cleared whenever a layer is rewritten.
 _SCHEMAS: dict[str, object] = {}
+_FRAMES: dict[tuple[str, str], DataFrame] = {}
 
 
 def code_fingerprint() -> str:
@@ -70,13 +73,19 @@ class Lake:
 
     # ---- readers -------------------------------------------------------
     def _read(self, path: str, merge: bool = False) -> DataFrame:
+        key = (self.spark.sparkContext.applicationId, path)
+        df = _FRAMES.get(key)
+        if df is not None:
+            return df
         schema = _SCHEMAS.get(path)
         if schema is None:
             reader = self.spark.read.option("mergeSchema", "true") if merge else self.spark.read
             df = reader.parquet(path)
             _SCHEMAS[path] = df.schema
-            return df
-        return self.spark.read.schema(schema).parquet(path)
+        else:
+            df = self.spark.read.schema(schema).parquet(path)
+        _FRAMES[key] = df
+        return df
 
     def bronze(self, source: str) -> DataFrame:
         """All months of a source; the merged schema is inferred once."""
@@ -89,8 +98,11 @@ class Lake:
         return self._read(self.gold_path)
 
     def forget_schemas(self) -> None:
+        """Drop the cached schemas and DataFrames of this lake's layers (call after a rewrite)."""
         for path in [p for p in _SCHEMAS if p.startswith(self.root + "/")]:
-            del _SCHEMAS[path]
+            _SCHEMAS.pop(path, None)
+        for key in [k for k in _FRAMES if k[1].startswith(self.root + "/")]:
+            _FRAMES.pop(key, None)
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.tables_dir.rstrip('/')}/{name}.parquet")
