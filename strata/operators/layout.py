@@ -17,8 +17,18 @@ from strata.session import shared_root
 CLUSTER_KEYS = ("pickup_datetime", "dropoff_datetime", "VendorID")
 
 
-def clustered(df: DataFrame, keys: tuple[str, ...] = CLUSTER_KEYS) -> DataFrame:
-    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+def clustered(df: DataFrame, keys: tuple[str, ...] = CLUSTER_KEYS,
+              leading: tuple[str, ...] = ()) -> DataFrame:
+    """Range-partition on ``keys`` and sort each partition by ``leading + keys``.
+
+    ``leading`` holds the Hive partition columns of the write. A partitioned
+    write needs its rows ordered by them; when the plan's order does not start
+    with them, Spark drops the sort below and sorts by the partition columns
+    alone, which loses the key order inside each file. A leading column that is
+    a coarse, monotone function of the first key (the pickup month) gives the
+    same order as ``keys`` and satisfies the write, so no sort is added.
+    """
+    return df.repartitionByRange(*keys).sortWithinPartitions(*leading, *keys)
 
 
 def write_clustered(df: DataFrame, path: str, keys: tuple[str, ...] = CLUSTER_KEYS,
@@ -31,7 +41,7 @@ def write_clustered(df: DataFrame, path: str, keys: tuple[str, ...] = CLUSTER_KE
     pickup month) each range partition spans one or two directories, so the
     partitioned write adds no small-file fan-out.
     """
-    out = clustered(df, keys)
+    out = clustered(df, keys, leading=partition_by)
     if observation is not None:
         out = out.observe(observation, *metrics)
     writer = out.write.mode("overwrite")

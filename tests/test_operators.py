@@ -196,3 +196,23 @@ def test_null_vendor_and_vendor_minus_one_have_a_fixed_winner(spark):
         dropped = silver.dropped_duplicates(df).collect()
         assert [r["VendorID"] for r in kept] == [None]
         assert [r["VendorID"] for r in dropped] == [-1]
+
+
+def test_partitioned_clustered_write_keeps_the_key_order_inside_files(spark, workdir):
+    import glob
+
+    import pyarrow.parquet as pq
+    start = TS(1996, 1, 1)
+    # rows arrive newest first (built that way, so no sort exists for the optimizer to drop)
+    rows = [(start + dt.timedelta(minutes=131 * i), start + dt.timedelta(minutes=131 * i + 9), i % 3)
+            for i in reversed(range(900))]
+    df = (spark.createDataFrame(rows, "pickup_datetime timestamp_ntz, dropoff_datetime timestamp_ntz, "
+                                      "VendorID int")
+          .withColumn("pickup_month", F.trunc(F.col("pickup_datetime").cast("date"), "month"))
+          .coalesce(1))
+    layout.write_clustered(df, f"{workdir}/t", partition_by=("pickup_month",))
+    files = glob.glob(f"{workdir}/t/pickup_month=*/*.parquet")
+    assert files
+    for f in files:
+        col = pq.read_table(f, columns=["pickup_datetime"]).column(0).to_pylist()
+        assert col == sorted(col), f
