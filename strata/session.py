@@ -10,6 +10,12 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import SparkSession
 
 
+# Open output files per write task before Spark falls back to sorting by the
+# partition columns. A bronze task writes one month and a gold task one or two,
+# so no partitioned write of the lake needs the sort (which buffers a whole task).
+CONCURRENT_WRITERS = 4
+
+
 def shared_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -53,6 +59,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         # independent jobs are submitted from threads; FAIR lets them share the cores
         .config("spark.scheduler.mode", "FAIR")
+        .config("spark.sql.maxConcurrentOutputFileWriters", str(CONCURRENT_WRITERS))
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
@@ -90,4 +97,5 @@ def cluster_conf(input_bytes: int, cores: int, shuffle_partition_bytes: int = 25
         "spark.sql.session.timeZone": "UTC",
         # the build submits independent jobs (sources, layers) from threads
         "spark.scheduler.mode": "FAIR",
+        "spark.sql.maxConcurrentOutputFileWriters": str(CONCURRENT_WRITERS),
     }
