@@ -321,8 +321,10 @@ ORDER BY taxi_type"""),
                         AND total_amount IS NOT NULL) AS rows_valid
 FROM (SELECT * FROM projected_yellow UNION ALL SELECT * FROM projected_green) GROUP BY 1 ORDER BY 1"""),
     "deduplicate": q(f"SELECT {VIEW_COLUMNS} FROM ranked WHERE rn > 1"),
-    "raw_scan": q("""SELECT VendorID, passenger_count, total_amount, tpep_pickup_datetime, tpep_dropoff_datetime
-FROM yellow_raw WHERE file_month = 1"""),
+    "raw_scan": q("""SELECT CAST(VendorID AS DOUBLE) AS VendorID, CAST(passenger_count AS DOUBLE) AS passenger_count,
+       total_amount, tpep_pickup_datetime, tpep_dropoff_datetime,
+       CASE WHEN file_month >= 3 THEN payment_type END AS payment_type, CAST(file_month AS INTEGER) AS month
+FROM yellow_raw"""),
     "volume_by_month": q(" UNION ALL ".join(
         f"SELECT '{s}' AS taxi_type, CAST({YEAR} AS INTEGER) AS year, CAST(file_month AS INTEGER) AS month, "
         f"count(*) AS trips FROM {t} GROUP BY file_month"

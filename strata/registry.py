@@ -157,8 +157,16 @@ def deduplicate(spark, d):
 # ---- raw and bronze storage ---------------------------------------------------
 
 def raw_scan(spark, d):
+    """S1 on every landed yellow month, each scanned by its path with its own inferred schema.
+
+    The months disagree (counters BIGINT in months 1-2 and DOUBLE after,
+    ``payment_type`` only from month 3); the union by name widens the
+    counters to DOUBLE and leaves ``payment_type`` null where it is absent.
+    """
     lake = _lake(spark, d)
-    return raw.read_raw(spark, lake.raw_root, "yellow", CFG.years[0], 1)
+    scans = [scan.withColumn("month", F.lit(m))
+             for _y, m, scan in raw.readable_months(spark, lake.raw_root, "yellow", CFG.year_months())]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
 def volume_by_month(spark, d):
