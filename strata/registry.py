@@ -193,8 +193,11 @@ def bronze_counts(spark, d):
 
 
 def bronze_partition_count(spark, d):
+    """S5/F10 for every month: each count reads only its own partition directory."""
     lake = _lake(spark, d)
-    return bronze.partition_count(spark, lake.bronze_root, "yellow", CFG.years[0], REPLACED_MONTH)
+    return reduce(DataFrame.unionByName,
+                  [bronze.partition_count(spark, lake.bronze_root, "yellow", y, m)
+                   for y, m in CFG.year_months()]).orderBy("year", "month")
 
 
 def normalize_types(spark, d):
