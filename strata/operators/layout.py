@@ -58,31 +58,36 @@ def file_ranges(df: DataFrame, key: str = "pickup_datetime") -> DataFrame:
                  F.max("_k").alias("max_key")))
 
 
-def overlap_violations(df: DataFrame, key: str = "pickup_datetime", grain: str = "day") -> DataFrame:
+def overlap_violations(df: DataFrame, key: str = "pickup_datetime") -> DataFrame:
     """Files whose key range starts before an earlier file's range ends.
 
     Files are ordered by (min, max, path); a file is a violation when its min
-    lies strictly below the running max of all earlier files. Touching ranges
-    (a boundary instant split over two files) are fine. No pairs are emitted.
-
-    The running max is taken in two levels, so no step sees all files at
-    once: files are bucketed by the ``grain`` (a day) of their min, a window
-    per bucket gives the max of earlier files of the same bucket, and the max
-    of all earlier buckets comes from one row per bucket. The file ranges (one
-    row per file) are checkpointed to the shared folder first, so both levels
-    read them instead of scanning the table twice.
+    lies strictly below the max of all earlier files. Touching ranges (a
+    boundary instant split over two files) are fine. No pairs are emitted and
+    no step orders all files:
+
+    * files are bucketed by the day of their min; a window per day gives the
+      max of the earlier files of the same day;
+    * an earlier day's file can only overlap a later day's file if its range
+      reaches past that day's start. Such a file emits one row per later day
+      it reaches into, carrying its max; the max per day of those rows is the
+      max of all earlier days' files that matter.
+
+    The per-file ranges (one row per file) are checkpointed to the shared
+    folder first, so both parts read them instead of scanning the table twice.
     """
     shared_root(df.sparkSession)
     ranges = (file_ranges(df, key).filter(F.col("min_key").isNotNull())
-              .withColumn("_bucket", F.date_trunc(grain, F.col("min_key")))
+              .withColumn("_day", F.to_date("min_key"))
               .checkpoint(eager=True))
-    in_bucket = Window.partitionBy("_bucket").orderBy("min_key", "max_key", "file_path") \
+    in_day = Window.partitionBy("_day").orderBy("min_key", "max_key", "file_path") \
         .rowsBetween(Window.unboundedPreceding, -1)
-    ranked = ranges.withColumn("_prev_max", F.max("max_key").over(in_bucket))
-    earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = (ranked.groupBy("_bucket").agg(F.max("max_key").alias("_bucket_max"))
-               .select("_bucket", F.max("_bucket_max").over(earlier).alias("_prior_max")))
-    return (ranked.join(buckets, "_bucket")
+    ranked = ranges.withColumn("_prev_max", F.max("max_key").over(in_day))
+    reach = (ranges.filter(F.to_date("max_key") > F.col("_day"))
+             .select(F.explode(F.sequence(F.date_add("_day", 1), F.to_date("max_key"))).alias("_day"),
+                     "max_key")
+             .groupBy("_day").agg(F.max("max_key").alias("_prior_max")))
+    return (ranked.join(reach, "_day", "left")
             .agg(F.count(F.lit(1)).alias("files"),
                  F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
                  F.count_if(F.col("min_key") < F.greatest("_prev_max", "_prior_max"))
