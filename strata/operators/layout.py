@@ -77,9 +77,12 @@ def overlap_violations(df: DataFrame, key: str = "pickup_datetime") -> DataFrame
     folder first, so both parts read them instead of scanning the table twice.
     """
     shared_root(df.sparkSession)
-    ranges = (file_ranges(df, key).filter(F.col("min_key").isNotNull())
-              .withColumn("_day", F.to_date("min_key"))
-              .checkpoint(eager=True))
+    return range_violations(file_ranges(df, key).checkpoint(eager=True))
+
+
+def range_violations(ranges: DataFrame) -> DataFrame:
+    """``overlap_violations`` over per-file rows (file_path, rows, min_key, max_key)."""
+    ranges = ranges.filter(F.col("min_key").isNotNull()).withColumn("_day", F.to_date("min_key"))
     in_day = Window.partitionBy("_day").orderBy("min_key", "max_key", "file_path") \
         .rowsBetween(Window.unboundedPreceding, -1)
     ranked = ranges.withColumn("_prev_max", F.max("max_key").over(in_day))

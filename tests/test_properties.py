@@ -70,3 +70,22 @@ def test_gold_union_is_additive_and_layers_reconcile(spark, yellow_rows, green_r
     first = quality.layer_fingerprint(y, "s", cols).first()
     again = quality.layer_fingerprint(silver_of(yellow_rows, "yellow"), "s", cols).first()
     assert (first["rows"], first["content_hash"]) == (again["rows"], again["content_hash"])
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 6 * 24), st.integers(0, 3 * 24)), min_size=1, max_size=25))
+def test_range_violations_match_brute_force(spark, spans):
+    from strata.operators import layout
+    t0 = dt.datetime(1996, 1, 1)
+    files = [(f"f{i:03d}", 1, t0 + dt.timedelta(hours=a), t0 + dt.timedelta(hours=a + n))
+             for i, (a, n) in enumerate(spans)]
+    ordered = sorted(files, key=lambda f: (f[2], f[3], f[0]))
+    expected, running = 0, None
+    for _, _, lo, hi in ordered:
+        if running is not None and lo < running:
+            expected += 1
+        running = hi if running is None else max(running, hi)
+    df = spark.createDataFrame(files, "file_path string, rows bigint, min_key timestamp_ntz, "
+                                      "max_key timestamp_ntz")
+    got = layout.range_violations(df).first()
+    assert (got["files"], got["violations"]) == (len(files), expected)
