@@ -130,12 +130,37 @@ class Lake:
         return gold.build_gold([self.silver(s.name) for s in specs], self.gold_path,
                                self.cfg.start, self.cfg.end, tuple(s.name for s in specs))
 
+    def _source_chain(self, source: str, landed: dict[str, set[str]]) -> tuple:
+        """Bronze of one source, then its silver table if it reaches silver."""
+        months = bronze.ingest_source(self.spark, self.raw_root, self.bronze_root, source,
+                                      self.cfg, landed)
+        spec = self.cfg.spec(source)
+        if spec not in self.cfg.trip_sources:
+            return months, None
+        return months, silver.build_silver(self.spark, self.bronze(source), spec,
+                                           self.silver_path(source))
+
+    def bronze_and_silver(self) -> dict[str, dict]:
+        """Each source runs bronze -> silver as its own chain, the chains side by side.
+
+        A silver table needs only its own source's bronze, so a small source
+        does not wait for the largest one's ingest before it deduplicates.
+        """
+        self.forget_schemas()
+        landed = raw.landed_files(self.spark, self.raw_root)
+        chains = concurrently({s: (lambda s=s: self._source_chain(s, landed)) for s in self.cfg.sources})
+        return {"bronze": {s: b for s, (b, _) in chains.items()},
+                "silver": {s: n for s, (_, n) in chains.items() if n is not None}}
+
     def build(self, timings: dict[str, float] | None = None) -> dict:
-        """Run every layer in order; each step is an idempotent overwrite."""
+        """Land, then bronze -> silver per source (side by side), then gold.
+
+        Each step is an idempotent overwrite of its own output.
+        """
         self.forget_schemas()
         out = {}
-        for name, step in (("land_raw", self.land), ("bronze", self.ingest_bronze),
-                           ("silver", self.build_silver), ("gold", self.build_gold)):
+        for name, step in (("land_raw", self.land), ("bronze_silver", self.bronze_and_silver),
+                           ("gold", self.build_gold)):
             t0 = time.perf_counter()
             out[name] = step()
             if timings is not None:
