@@ -53,10 +53,14 @@ def touched_months(batch: DataFrame) -> DataFrame:
 
 def ingest_arrivals(spark: SparkSession, raw_root: str, bronze_root: str, source: str,
                     checkpoint: str, cfg: LakeConfig | None = None,
-                    trigger: dict | None = None) -> list[bronze.IngestResult]:
+                    trigger: dict | None = None,
+                    max_files_per_trigger: int | None = None) -> list[bronze.IngestResult]:
     """Run the ingestion stream until everything landed so far is in bronze.
 
-    Returns the month replaces it ran, in order.
+    Returns the month replaces it ran, in order. With ``max_files_per_trigger``
+    a month's part files may be spread over several micro-batches; each one
+    replaces the month from all of its files present, so the last one leaves
+    the month complete.
     """
     cfg = cfg or LakeConfig()
     done: list[bronze.IngestResult] = []
@@ -67,7 +71,7 @@ def ingest_arrivals(spark: SparkSession, raw_root: str, bronze_root: str, source
             done.append(bronze.ingest_month(session, raw_root, bronze_root, source,
                                             row["year"], row["month"], cfg))
 
-    query = (arrivals(spark, raw_root, source).writeStream
+    query = (arrivals(spark, raw_root, source, max_files_per_trigger).writeStream
              .foreachBatch(on_batch)
              .option("checkpointLocation", checkpoint)
              .trigger(**(trigger or {"availableNow": True}))
