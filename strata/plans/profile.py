@@ -79,6 +79,33 @@ def duration_stats(spark: SparkSession, df: DataFrame, spec: SourceSpec) -> Data
                     with_mean=False)
 
 
+# Spark's default accuracy of percentile_approx, which the reference's profiles use.
+APPROX_ACCURACY = 10_000
+
+
+def _approx_profile(df: DataFrame, value, probs: dict[str, float], with_mean: bool) -> DataFrame:
+    """One pass: min, max, (mean) and one GK sketch read at every p; rank error <= n/accuracy."""
+    v = value.alias("_v")
+    aggs = [F.min("_v").alias("min"), F.max("_v").alias("max"),
+            F.percentile_approx("_v", list(probs.values()), APPROX_ACCURACY).alias("_q")]
+    if with_mean:
+        aggs.append(F.round(F.avg("_v"), 4).alias("mean"))
+    row = df.select(v).agg(*aggs)
+    return row.select("min", *[F.col("_q")[i].alias(k) for i, k in enumerate(probs)], "max",
+                      *(["mean"] if with_mean else []))
+
+
+def amount_stats_approx(df: DataFrame, spec: SourceSpec) -> DataFrame:
+    """A10 as the reference computes it: approximate percentiles, in one pass."""
+    return _approx_profile(df, F.col(spec.amount), AMOUNT_PROBS, with_mean=True)
+
+
+def duration_stats_approx(df: DataFrame, spec: SourceSpec) -> DataFrame:
+    """A11 as the reference computes it: approximate percentiles, in one pass."""
+    return _approx_profile(df, trip_duration_minutes(spec.pickup, spec.dropoff), DURATION_PROBS,
+                           with_mean=False)
+
+
 def negative_duration(df: DataFrame, spec: SourceSpec) -> DataFrame:
     """trips whose dropoff lies before their pickup."""
     d = trip_duration_minutes(spec.pickup, spec.dropoff)

@@ -336,6 +336,14 @@ def duration_stats(spark, d):
     return profile.duration_stats(spark, _lake(spark, d).bronze("yellow"), YELLOW)
 
 
+def amount_stats_approx(spark, d):
+    return profile.amount_stats_approx(_lake(spark, d).bronze("yellow"), YELLOW)
+
+
+def duration_stats_approx(spark, d):
+    return profile.duration_stats_approx(_lake(spark, d).bronze("yellow"), YELLOW)
+
+
 def negative_duration(spark, d):
     return profile.negative_duration(_lake(spark, d).bronze("yellow"), YELLOW)
 
@@ -391,6 +399,6 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     deduplicate, raw_scan, volume_by_month, bronze_lineage, bronze_counts, bronze_partition_count,
     normalize_types, bronze_schema_evolution, bronze_replace_month, bronze_incremental, clustered_layout, idempotency,
     table_metadata, pickup_year_distribution, passenger_distribution, vendor_distribution,
-    amount_stats, duration_stats, negative_duration, passenger_avg_compare, passenger_problem_rate,
+    amount_stats, duration_stats, amount_stats_approx, duration_stats_approx, negative_duration, passenger_avg_compare, passenger_problem_rate,
     amount_anomalies, top_outliers, negative_amount_sample, null_report, column_profile,
     schema_drift, key_column_presence, column_overlap, monetary_columns)}

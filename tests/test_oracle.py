@@ -34,8 +34,8 @@ def con():
 
 def test_every_query_has_an_oracle_or_is_listed():
     missing = set(entry.queries()) - set(entry.oracle_sql())
-    assert missing == {"table_metadata"}
-    assert len(entry.queries()) == len(entry.oracle_sql()) + 1
+    assert missing == {"table_metadata", "amount_stats_approx", "duration_stats_approx"}
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry_runs(spark):
@@ -70,3 +70,25 @@ def test_command_line_lists_and_reports(spark, capsys):
     out = capsys.readouterr().out
     assert "avg_total_amount" in out and "only showing top 3 rows" in out
     assert main(["report", SF0001, "no_such_report"]) == 2
+
+
+@pytest.mark.parametrize("key,column", [("amount_stats_approx", "total_amount"),
+                                        ("duration_stats_approx", None)])
+def test_approximate_profiles_stay_within_their_rank_error(spark, con, key, column):
+    import bisect
+
+    from strata.plans.profile import AMOUNT_PROBS, APPROX_ACCURACY, DURATION_PROBS
+    from strata.oracle import q
+    got = entry.queries()[key](spark, SF0001).first()
+    value = ("total_amount" if column else
+             "(epoch(tpep_dropoff_datetime) - epoch(tpep_pickup_datetime)) / 60.0")
+    vals = [r[0] for r in con.execute(
+        q(f"SELECT {value} AS v FROM bronze_yellow WHERE {value} IS NOT NULL ORDER BY 1")).fetchall()]
+    n = len(vals)
+    probs = AMOUNT_PROBS if column else DURATION_PROBS
+    assert got["min"] == vals[0] and got["max"] == vals[-1]
+    for name, p in probs.items():
+        lo, hi = bisect.bisect_left(vals, got[name]) + 1, bisect.bisect_right(vals, got[name])
+        target = max(1, math.ceil(p * n))
+        slack = n / APPROX_ACCURACY + 1
+        assert lo - slack <= target <= hi + slack, (name, got[name], lo, hi, target)
