@@ -24,28 +24,42 @@ def ts_literal(df: DataFrame, column: str, value: dt.datetime) -> Column:
 PARTITION_COLUMN = "pickup_month"
 
 
-def _month_floor(value: dt.datetime) -> Column:
-    return F.lit(value.strftime("%Y-%m-01")).cast("date")
+def month_bounds(start: dt.datetime | None, end: dt.datetime | None) -> tuple:
+    """First and last ``pickup_month`` that can hold a pickup in ``[start, end)``.
+
+    The last month is that of the instant just before ``end``, so a period
+    ending on the first of a month does not reach into that month's folder.
+    """
+    first = dt.date(start.year, start.month, 1) if start is not None else None
+    if end is None:
+        return first, None
+    before = end - dt.timedelta(microseconds=1)
+    return first, dt.date(before.year, before.month, 1)
+
+
+def _date_literal(value: dt.date) -> Column:
+    return F.lit(value.isoformat()).cast("date")
 
 
 def in_period(df: DataFrame, start: dt.datetime | None, end: dt.datetime | None,
               column: str = "pickup_datetime") -> Column:
     """``start <= column < end``; either bound may be absent.
 
-    On a table partitioned by ``pickup_month`` the matching (slightly wider)
-    predicate on the partition column is added, so the scan prunes whole
+    On a table partitioned by ``pickup_month`` the matching predicate on the
+    partition column is added (``month_bounds``), so the scan prunes whole
     month directories instead of opening every file's footer.
     """
     cond = F.lit(True)
     pruned = column == "pickup_datetime" and PARTITION_COLUMN in df.columns
+    first, last = month_bounds(start, end)
     if start is not None:
         cond = cond & (F.col(column) >= ts_literal(df, column, start))
         if pruned:
-            cond = cond & (F.col(PARTITION_COLUMN) >= _month_floor(start))
+            cond = cond & (F.col(PARTITION_COLUMN) >= _date_literal(first))
     if end is not None:
         cond = cond & (F.col(column) < ts_literal(df, column, end))
         if pruned:
-            cond = cond & (F.col(PARTITION_COLUMN) <= _month_floor(end))
+            cond = cond & (F.col(PARTITION_COLUMN) <= _date_literal(last))
     return cond
 
 

@@ -216,3 +216,12 @@ def test_partitioned_clustered_write_keeps_the_key_order_inside_files(spark, wor
     for f in files:
         col = pq.read_table(f, columns=["pickup_datetime"]).column(0).to_pylist()
         assert col == sorted(col), f
+
+
+def test_month_bounds_stop_before_a_boundary_end():
+    d = dt.date
+    assert gold.month_bounds(TS(1996, 5, 1), TS(1996, 6, 1)) == (d(1996, 5, 1), d(1996, 5, 1))
+    assert gold.month_bounds(TS(1996, 5, 3), TS(1996, 6, 15)) == (d(1996, 5, 1), d(1996, 6, 1))
+    assert gold.month_bounds(TS(1996, 1, 1), TS(1996, 6, 1, 0, 0, 1)) == (d(1996, 1, 1), d(1996, 6, 1))
+    assert gold.month_bounds(TS(1996, 12, 31), None) == (d(1996, 12, 1), None)
+    assert gold.month_bounds(None, TS(1997, 1, 1)) == (None, d(1996, 12, 1))
