@@ -63,3 +63,24 @@ def test_property_narrowed(spark, values, p):
     df = spark.createDataFrame([(float(v),) for v in values], "x double")
     got = exact_percentiles(df, "x", [p], accuracy=20, max_pairs=5, grid=4)
     assert got == [float(brute(values, p))]
+
+
+def test_percentile_profile_matches_brute_force_and_handles_empty(spark):
+    from pyspark.sql import functions as F
+
+    from strata.functions.quantiles import percentile_profile
+    rnd = random.Random(5)
+    values = [round(rnd.gauss(50, 30), 3) for _ in range(2500)] + [None] * 7
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    probs = {"p1": 0.01, "median": 0.5, "p99": 0.99}
+    summary = {"min": F.min, "max": F.max, "mean": lambda c: F.round(F.avg(c), 4)}
+    cols = ["min", *probs, "max", "mean"]
+    row = percentile_profile(df, F.col("x"), probs, summary, cols, max_pairs=50, grid=16).first()
+    present = [v for v in values if v is not None]
+    assert list(row.asDict()) == cols
+    assert row["min"] == min(present) and row["max"] == max(present)
+    assert row["mean"] == round(sum(present) / len(present), 4)
+    assert [row[k] for k in probs] == [brute(values, p) for p in probs.values()]
+    empty = percentile_profile(spark.createDataFrame([(None,)], "x double"), F.col("x"), probs,
+                               summary, cols).first()
+    assert all(empty[c] is None for c in cols)
