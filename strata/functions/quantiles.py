@@ -16,10 +16,11 @@ one window runs per percentile over a group of bounded size:
    grid cells around the rank (about ``3/grid`` of its rows, plus ties). A
    bracket that does not hold its rank (the sketch guarantee failed) is
    reopened over the whole column and narrowed again;
-3. one pass reduces the rows inside each bracket to (value, count) pairs, with
-   all rows below it folded into one null-valued pair; a hot value collapses
-   to one pair in the partial aggregate. A window per bracket, over at most
-   about ``max_pairs`` pairs, turns the counts into absolute ranks.
+3. one pass reduces the rows inside each bracket to (value, count) pairs and
+   counts the rows below each bracket by segment (one marker per row, not one
+   row per bracket); a hot value collapses to one pair in the partial
+   aggregate. A window per bracket, over at most about ``max_pairs`` pairs,
+   turns the counts into absolute ranks.
 
 Only scalars, sketches of fixed size and one value per percentile reach the
 driver, never rows.
@@ -171,26 +172,34 @@ def _narrow(vals: DataFrame, n: int, brackets: dict[float, tuple], accuracy: int
 
 
 def _resolve(vals: DataFrame, n: int, brackets: dict[float, tuple]) -> dict[float, object]:
-    """One pass: every row joins the brackets it can affect, as (bracket, value).
-
-    A row above a bracket's ``hi`` is irrelevant to it; a row below its ``lo``
-    only counts, so its value is blanked to null and all such rows fold into
-    one group per bracket during the map-side partial aggregate. The running
-    count per bracket, nulls first, is then the absolute rank.
+    """One pass: exact ranks inside every bracket.
+
+    A row inside a bracket becomes a (bracket, value) pair; pairs of a hot
+    value collapse in the map-side partial aggregate. A row below a bracket
+    only has to be counted, so instead of one row per bracket it emits a
+    single marker: its segment, the number of bracket lower bounds at or below
+    it. After the aggregate, each segment's count (a handful of rows) is
+    spread onto the brackets whose lower bound lies above it, as a null-valued
+    pair. The running count per bracket, nulls first, is then the absolute rank.
     """
     probs = list(brackets)
-    ids = []
-    for i, (lo, hi) in enumerate(brackets.values()):
-        keep = F.lit(True) if hi is None else F.col("_x") <= F.lit(hi)
-        ids.append(F.when(keep, F.lit(i)))
-    los = [lo for lo, _ in brackets.values()]
-    exploded = vals.select("_x", F.explode(F.array(*ids)).alias("_b")).filter(F.col("_b").isNotNull())
-    lo_of = F.element_at(F.array(*[F.lit(lo) if lo is not None else F.lit(None).cast("double")
-                                   for lo in los]), F.col("_b") + 1)
-    keyed = exploded.select(
-        "_b", F.when(lo_of.isNotNull() & (F.col("_x") < lo_of), F.lit(None)).otherwise(F.col("_x"))
-        .alias("_x"))
-    pairs = keyed.groupBy("_b", "_x").agg(F.count(F.lit(1)).alias("c"))
+    bounds = list(brackets.values())
+    los = sorted({lo for lo, _ in bounds if lo is not None})
+    seg = sum(((F.col("_x") >= F.lit(v)).cast("int") for v in los), F.lit(0))
+    # only rows below some lower bound need counting; their key is negative
+    marker = F.when(seg < len(los), -1 - seg)
+    members = [F.when(_in_bracket(lo, hi), F.lit(i)) for i, (lo, hi) in enumerate(bounds)]
+    keyed = (vals.select("_x", F.explode(F.array(marker, *members)).alias("_b"))
+             .filter(F.col("_b").isNotNull())
+             .select("_b", F.when(F.col("_b") < 0, F.lit(None)).otherwise(F.col("_x")).alias("_x")))
+    counts = keyed.groupBy("_b", "_x").agg(F.count(F.lit(1)).alias("c"))
+    # segment s lies below bracket i when s < (number of lower bounds <= lo_i)
+    reach = [los.index(lo) + 1 if lo is not None else 0 for lo, _ in bounds]
+    segment = -1 - F.col("_b")
+    targets = F.when(F.col("_b") < 0,
+                     F.array(*[F.when(segment < F.lit(r), F.lit(i)) for i, r in enumerate(reach)])
+                     ).otherwise(F.array(F.col("_b")))
+    pairs = counts.select(F.explode(targets).alias("_b"), "_x", "c").filter(F.col("_b").isNotNull())
     w = Window.partitionBy("_b").orderBy(F.col("_x").asc_nulls_first()).rowsBetween(
         Window.unboundedPreceding, 0)
     rank = F.element_at(F.array(*[F.lit(_target_rank(p, n)) for p in probs]), F.col("_b") + 1)
