@@ -30,6 +30,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from strata.llm.common import map_batches
+
 BLOCK_CHARS = 1 << 23
 CACHE_PIECES = 500_000
 # Over the number of ids of any vocabulary read here; a pair is one integer.
@@ -234,4 +236,4 @@ def encode(docs: DataFrame, tokenizer_path: str, with_ids: bool = False) -> Data
                 done += len(block)
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<long>" * with_ids
-    return docs.select(docs["doc_id"].cast("long"), docs["text"].cast("string")).mapInArrow(run, schema)
+    return map_batches(docs.select(docs["doc_id"].cast("long"), docs["text"].cast("string")), run, schema)

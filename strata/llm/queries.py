@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import bpe, decontaminate, quality_rules
+from strata.llm import bpe, decontaminate, ngram_jaccard, quality_rules
 from strata.llm.common import read_table
 
 # Tokenizer files are never part of this repository; the folder is a parameter.
@@ -18,6 +18,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(read_table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard.components(read_table(spark, sf_dir, "documents"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -26,5 +30,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe, op8_decontaminate, op10_quality_rules)}
-ORACLE_SQL = {"op8_decontaminate": decontaminate.ORACLE_SQL, "op10_quality_rules": quality_rules.ORACLE_SQL}
+QUERIES = {f.__name__: f for f in (op2_bpe, op3_ngram_jaccard, op8_decontaminate, op10_quality_rules)}
+ORACLE_SQL = {"op3_ngram_jaccard": ngram_jaccard.ORACLE_SQL, "op8_decontaminate": decontaminate.ORACLE_SQL, "op10_quality_rules": quality_rules.ORACLE_SQL}
