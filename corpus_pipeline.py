@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import bpe, decontaminate, quality_rules
+from strata.llm import bpe, decontaminate, ngram_jaccard, quality_rules
 from strata.llm.common import read_table
 from strata.llm.queries import TOKENIZER
 from strata.session import scratch_dir
@@ -22,6 +22,11 @@ def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return quality_rules.keep(docs)
 
 
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of copies and near copies the document with the smallest id stays."""
+    return ngram_jaccard.keep_one(docs)
+
+
 def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents contaminated with benchmark windows go."""
     return decontaminate.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
@@ -34,6 +39,7 @@ def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality_rules", apply_quality_rules),
+    ("ngram_jaccard", keep_one_of_each_group),
     ("decontaminate", remove_contaminated),
     ("bpe", tokenise),
 ]
