@@ -23,7 +23,7 @@ SPACE = r"[\x20\x09-\x0D]+"
 _SHIPPED: set[str] = set()
 
 
-def map_batches(df: DataFrame, function, schema: str) -> DataFrame:
+def map_batches(df: DataFrame, function, schema) -> DataFrame:
     """``df.mapInArrow``, with this package sent to the executors once per application."""
     context = df.sparkSession.sparkContext
     if context.applicationId not in _SHIPPED:
