@@ -11,12 +11,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import bpe, decontaminate, ngram_jaccard, quality_rules
+from strata.llm import bpe, decontaminate, language_id, ngram_jaccard, quality_rules
 from strata.llm.common import read_table
 from strata.llm.queries import TOKENIZER
 from strata.session import scratch_dir
 
 
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of no known language, or of none in the main, go; languages are learned from ``docs``."""
+    return language_id.keep(docs, language_id.train(docs))
+
+
 def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
     return quality_rules.keep(docs)
@@ -38,6 +43,7 @@ def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("language_id", identify_language),
     ("quality_rules", apply_quality_rules),
     ("ngram_jaccard", keep_one_of_each_group),
     ("decontaminate", remove_contaminated),
