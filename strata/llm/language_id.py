@@ -170,7 +170,7 @@ def _best_paths(scores: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     sizes = np.diff(bounds)
     order = np.argsort(-sizes, kind="stable")
     order = order[sizes[order] > 0]
-    if not len(order):
+    if not len(order) or not scores.shape[1]:
         return labels
     first, sizes = bounds[:-1][order], sizes[order]
     active = np.searchsorted(-sizes, -np.arange(sizes[0]), "left")  # documents longer than t

@@ -7,20 +7,21 @@ on *nodes*, the distinct token sets, so copies are never paired.
 1. *Possible nodes.* A node of n tokens has at most ``e = n - ceil(0.8 n)``
    tokens that a linked node lacks. So of its ``p`` smallest tokens at least
    ``p - e`` occur in another node's ``p`` smallest. Tokens are compared in one
-   shuffle, of which each block sends every token once; nodes that fall short
-   have no link and leave.
+   shuffle, to which each block sends every token once; nodes that fall short
+   have no link and leave. Those left are compared once more, by all tokens.
 2. *Classes.* Tokens of more than ``F`` remaining nodes are frequent, the others
    rare; rare ones come first in the order of tokens. ``F`` starts at
    ``RARE_UP_TO`` and doubles until the frequent tokens fit a broadcast of
    ``FREQUENT_TOKENS``; any ``F`` gives the same links.
-3. *Signatures.* Each of the first ``e + 1`` tokens that is rare is a signature.
-   If two linked nodes share no rare token, all rare tokens are differences, of
+3. *Signatures.* Tokens no other node has come first of all. Each of the first
+   ``e + 1`` tokens that is rare and shared is a signature. If two linked nodes
+   share no rare token, all rare tokens are differences, of
    which the union has at most ``E = floor(n / 4)``. So among the first
    ``2 (E - rare + 1)`` frequent tokens of both, extended from the prefix, two
    neighbours are shared: pairs of neighbouring frequent tokens are the other
    signatures. A node with more than ``e`` rare tokens needs none.
-4. *Candidates and verification.* Nodes are first compared with two hubs of
-   each signature they hold, exactly, on the whole sets. Components follow. Then
+4. *Candidates and verification.* Nodes are first compared with three hubs
+   of each signature they hold, exactly, on the whole sets. Components follow. Then
    all pairs of a signature that are still in different components and can reach
    80 % by their sizes are compared too, so no link between components is lost;
    the largest component of a signature is only compared with what is outside.
@@ -61,97 +62,146 @@ def _spare(n):
     return n - (SIMILAR * n + OF - 1) // OF
 
 
+def _by_node(nodes: list[int], tokens: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+    """The tokens of a block's distinct nodes, sorted: token, owner (index of its node), first of its run, of several nodes."""
+    token, owner = np.concatenate(tokens), np.repeat(np.arange(len(nodes)), [len(t) for t in tokens])
+    order = np.argsort(token, kind="stable")
+    token, owner = token[order], owner[order]
+    first = np.append(True, token[1:] != token[:-1])
+    run = np.cumsum(first) - 1
+    return token, owner, first, np.bincount(run)[run] > 1
+
+
+def _rows(key, token, node, value, n_marks) -> pa.RecordBatch:
+    """(key, token, node, value): the last ``n_marks`` rows are marks, that is tokens of several nodes of a block (node null)."""
+    size = len(key)
+    marks = np.arange(size) >= size - n_marks
+    return pa.RecordBatch.from_arrays([pa.array(key), pa.array(token), pa.array(node, mask=marks), pa.array(value)],
+                                      names=["key", "token", "node", "value"])
+
+
+_COMPARED = "key long, token long, node long, value long"
+# ``value`` of a row that is to be compared by its token; other rows pass by.
+_COMPARE = np.iinfo(np.int64).min
+
+
 def _prefix_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (token, node, cnt): a token of one node of the block; a token of several (node null);
-    or, with cnt, how many shared tokens a node has so far beyond those it needs."""
+    """The smallest tokens of each text's node, to be compared; and for each node, in ``value``, how many
+    are shared inside the block less those it needs."""
     for batch in batches:
-        texts = batch.column(0).to_pylist()
-        nodes, tokens, owners, need = [], [], [], []
+        nodes, tokens, need = [], [], []
         seen: set[int] = set()
-        for found in shingle_sets(texts):
+        for found in shingle_sets(batch.column(0).to_pylist()):
             n = len(found)
             if not n or (key := set_key(found)) in seen:
                 continue
             seen.add(key)
             looked = min(n, _spare(n) + max(1, -(-n // BEYOND)))
-            tokens.append(found[:looked])
-            owners.append(np.full(looked, len(nodes)))
             nodes.append(key)
+            tokens.append(found[:looked])
             need.append(looked - _spare(n))
         if not nodes:
             continue
         node = np.array(nodes, np.int64)
-        token, owner = np.concatenate(tokens), np.concatenate(owners)
-        order = np.argsort(token, kind="stable")
-        token, owner = token[order], owner[order]
-        first = np.append(True, token[1:] != token[:-1])
-        run = np.cumsum(first) - 1
-        several = np.bincount(run)[run] > 1
+        token, owner, first, several = _by_node(nodes, tokens)
         surplus = np.bincount(owner[several], minlength=len(node)) - np.array(need)
-        marks = token[first & several]
-        alone, its = token[~several], node[owner[~several]]
-        yield pa.RecordBatch.from_arrays([
-            pa.array(np.concatenate((alone, marks, node))),
-            pa.array(np.concatenate((its, np.zeros(len(marks), np.int64), node)),
-                     mask=np.concatenate((np.zeros(len(alone), bool), np.ones(len(marks), bool), np.zeros(len(node), bool)))),
-            pa.array(np.concatenate((np.zeros(len(alone) + len(marks), np.int64), surplus)),
-                     mask=np.arange(len(alone) + len(marks) + len(node)) < len(alone) + len(marks))],
-            names=["token", "node", "cnt"])
+        alone, marks = token[~several], token[first & several]
+        compare = np.full(len(alone), _COMPARE)
+        key = np.concatenate((node, alone, marks))
+        yield _rows(key, key, np.concatenate((node, node[owner[~several]], marks)),
+                    np.concatenate((surplus, compare, np.full(len(marks), _COMPARE))), len(marks))
 
 
-def _shared_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by token: (node, cnt), one more for each token that another node has too.
+def _all_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All tokens of distinct nodes, to be compared; those shared inside the block pass by (``value`` 0),
+    as does each node's size (``value``)."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        lists = batch.column(1)
+        sizes = lists.value_lengths().to_numpy().astype(np.int64)
+        node = batch.column(0).to_numpy()
+        token, owner, first, several = _by_node(node, np.split(lists.flatten().to_numpy(), np.cumsum(sizes)[:-1]))
+        alone, known, marks = token[~several], token[several], token[first & several]
+        its = node[owner[several]]
+        yield _rows(np.concatenate((node, its, alone, marks)), np.concatenate((node, known, alone, marks)),
+                    np.concatenate((node, its, node[owner[~several]], marks)),
+                    np.concatenate((sizes, np.zeros(len(known), np.int64), np.full(len(alone) + len(marks), _COMPARE))), len(marks))
 
-    Of the token at a batch's end only its one node so far is carried on."""
-    open_token, open_node, open_rows, open_shared = None, 0, 0, False
 
-    def out(nodes, counts):
-        return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(counts, pa.int64())], names=["node", "cnt"])
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """From rows sorted by key: those that pass by, and node and token of each token that another node has too.
 
+    Of the token at a batch's end only its one node so far is carried on."""
+    open_token, open_node, open_rows, open_shared = None, 0, 0, False
+    none = np.empty(0, np.int64)
     for batch in batches:
-        cnt = batch.column(2)
-        counted = np.asarray(cnt.is_valid())
-        if counted.any():
-            rows = batch.filter(pa.array(counted))
-            yield out(rows.column(1), rows.column(2))
-            batch = batch.filter(pa.array(~counted))
+        compare = batch.column(3).to_numpy() == _COMPARE
+        passing = batch.filter(pa.array(~compare))
+        batch = batch.filter(pa.array(compare))
         if not batch.num_rows:
+            yield passing, none, none
             continue
-        token = batch.column(0).to_numpy()
-        marked = np.asarray(batch.column(1).is_null())
-        node = batch.column(1).fill_null(0).to_numpy()
+        token = batch.column(1).to_numpy()
+        marked = np.asarray(batch.column(2).is_null())
+        node = batch.column(2).fill_null(0).to_numpy()
         starts = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
         sizes = np.diff(np.append(starts, len(token)))
         # of unmarked rows, the smallest and largest node of each token
         low = np.minimum.reduceat(np.where(marked, np.iinfo(np.int64).max, node), starts)
         high = np.maximum.reduceat(np.where(marked, np.iinfo(np.int64).min, node), starts)
         shared = np.logical_or.reduceat(marked, starts) | (low < high)
-        if open_token == token[0]:
-            if open_shared or shared[0] or (open_rows and open_node != low[0]):
-                shared[0] = True
-                if open_rows:
-                    yield out([open_node], [open_rows])
-                    open_rows = 0
-        else:
+        late = none
+        if open_token != token[0]:
+            open_rows = 0
+        elif open_shared or shared[0] or (open_rows and open_node != low[0]):
+            shared[0] = True
+            late = np.full(open_rows, open_node)
             open_rows = 0
         last = len(starts) - 1
-        carry = open_rows if last == 0 and open_token == token[0] else 0
+        carry = open_rows if last == 0 else 0
         hit = np.repeat(shared, sizes) & ~marked
-        if hit.any():
-            nodes, counts = np.unique(node[hit], return_counts=True)
-            yield out(nodes, counts)
+        yield passing, np.concatenate((late, node[hit])), np.concatenate((np.full(len(late), token[0]), token[hit]))
         open_token, open_shared = token[-1], bool(shared[last])
-        open_node, open_rows = (int(low[last]), carry + int(sizes[last])) if not open_shared else (0, 0)
+        open_node, open_rows = (0, 0) if open_shared else (int(low[last]), carry + int(sizes[last]))
+
+
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for passing, nodes, _ in _shared(batches):
+        node, n = np.unique(nodes, return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate((passing.column(2).to_numpy(), node))),
+                                          pa.array(np.concatenate((passing.column(3).to_numpy(), n)))], names=["node", "cnt"])
+
+
+def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for passing, nodes, tokens in _shared(batches):
+        size = passing.column(3).to_numpy()
+        known = size == 0
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate((passing.column(2).to_numpy(), nodes))),
+             pa.array(np.concatenate((passing.column(1).to_numpy(), tokens)),
+                      mask=np.concatenate((~known, np.zeros(len(nodes), bool)))),
+             pa.array(np.concatenate((size, np.zeros(len(nodes), np.int64))))], names=["node", "token", "n"])
+
+
+def _by_key(compared: DataFrame) -> DataFrame:
+    return compared.repartition("key").sortWithinPartitions("key")
 
 
 def _possible_nodes(docs: DataFrame) -> DataFrame:
-    """Nodes that may have a link (and perhaps others)."""
-    tokens = map_batches(docs.select(docs["text"].cast("string")), _prefix_tokens, "token long, node long, cnt long")
-    by_token = tokens.repartition("token").sortWithinPartitions("token")
-    counts = map_batches(by_token, _shared_tokens, "node long, cnt long")
+    """Nodes of which enough of the smallest tokens are shared."""
+    compared = map_batches(docs.select(docs["text"].cast("string")), _prefix_tokens, _COMPARED)
+    counts = map_batches(_by_key(compared), _counts, "node long, cnt long")
     return counts.groupBy("node").agg(F.sum("cnt").alias("surplus")).where("surplus >= 0").select("node")
 
 
+def _shared_sets(sets: DataFrame) -> DataFrame:
+    """(node, n, tokens) of the nodes of which enough of all tokens are shared; only shared tokens are kept."""
+    found = map_batches(_by_key(map_batches(sets, _all_tokens, _COMPARED)), _lists, "node long, token long, n long")
+    held = found.groupBy("node").agg(F.max("n").alias("n"), F.sort_array(F.collect_list("token")).alias("tokens"))
+    return held.where(OF * F.size("tokens") >= SIMILAR * F.col("n"))
+
+
 def _node_filter(nodes: DataFrame) -> np.ndarray:
     """A bitmap of the nodes' low bits; of bounded size, and right for all that are in."""
     bits = 1 << 16
@@ -202,7 +252,7 @@ def _frequent(sets: DataFrame) -> np.ndarray:
 
 
 def _signatures(sets: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """(sig, paired, node, n, f): f is the number of frequent tokens of the node."""
+    """(sig, paired, node, n, f, s): the node has n tokens, f of them frequent and s shared with any other."""
     shared = sets.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,47 +263,52 @@ def _signatures(sets: DataFrame, frequent: np.ndarray) -> DataFrame:
             values, offsets = lists.flatten().to_numpy(), np.append(0, np.cumsum(lists.value_lengths().to_numpy()))
             slot = np.minimum(np.searchsorted(frequent, values), max(len(frequent) - 1, 0))
             often = frequent[slot] == values if len(frequent) else np.zeros(len(values), bool)
-            for node, a, b in zip(batch.column(0).to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-                tokens, is_often, n = values[a:b], often[a:b], b - a
+            for node, n, a, b in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), offsets[:-1].tolist(),
+                                     offsets[1:].tolist(), strict=True):
+                tokens, is_often = values[a:b], often[a:b]
                 spare, n_often = _spare(n), int(is_often.sum())
                 n_rare = n - n_often
-                single = tokens[~is_often][:spare + 1].view(np.uint64)
+                # a node's own tokens come first and match nothing; then the rare shared ones
+                single = tokens[~is_often][:max(spare + 1 - (n - len(tokens)), 0)].view(np.uint64)
                 pair = np.empty(0, np.uint64)
                 if n_rare <= spare:
                     few = tokens[is_often][:2 * (max(n // 4 - n_rare, 0) + 1)].view(np.uint64)
                     pair = mixed(mixed(few[:-1]) * np.uint64(3) + few[1:])
-                rows.append((node, n, n_often, mixed(single).view(np.int64), pair.view(np.int64)))
+                rows.append((node, n, n_often, len(tokens), mixed(single).view(np.int64), pair.view(np.int64)))
             if not rows:
                 continue
-            singles, pairs = [r[3] for r in rows], [r[4] for r in rows]
+            singles, pairs = [r[4] for r in rows], [r[5] for r in rows]
             lengths = [len(x) for x in singles] + [len(x) for x in pairs]
             repeat = lambda k: np.repeat(np.array([r[k] for r in rows] * 2, np.int64), lengths)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(singles + pairs)),
                  pa.array(np.arange(sum(lengths)) >= sum(lengths[:len(rows)])),
-                 pa.array(repeat(0)), pa.array(repeat(1)), pa.array(repeat(2))],
-                names=["sig", "paired", "node", "n", "f"])
+                 pa.array(repeat(0)), pa.array(repeat(1)), pa.array(repeat(2)), pa.array(repeat(3))],
+                names=["sig", "paired", "node", "n", "f", "s"])
 
-    return map_batches(sets.select("node", "tokens"), run, "sig long, paired boolean, node long, n long, f long")
+    return map_batches(sets.select("node", "tokens", "n"), run, "sig long, paired boolean, node long, n long, f long, s long")
 
 
-def _can_link(paired: Column, n: Column, f: Column, m: Column, g: Column) -> Column:
-    """Sizes allow a link: by all tokens, or by frequent ones where no rare token is shared."""
-    most = F.when(paired, F.least(f, g)).otherwise(F.least(n, m))
-    return OF * most >= SIMILAR * (n + m - most)
+def _can_link(x: str, y: str, sep: str = "_") -> Column:
+    """Sizes allow a link: by shared tokens, or by frequent ones where no rare token need be shared."""
+    col = lambda side, c: F.col(f"{side}{sep}{c}" if side else c)
+    most = F.when(F.col("paired"), F.least(col(x, "f"), col(y, "f"))).otherwise(F.least(col(x, "s"), col(y, "s")))
+    return OF * most >= SIMILAR * (col(x, "n") + col(y, "n") - most)
 
 
 def _hub_pairs(sigs: DataFrame) -> DataFrame:
-    """Each node with the two hubs of every signature it shares."""
-    me = F.struct("node", "n", "f")
+    """Each node with the hubs of every signature it shares: two with the fewest tokens of their own, and any other.
+
+    Copies edited in different places are most like the one edited least."""
+    me, own = F.struct("node", "n", "f", "s"), F.col("n") - F.col("f")
     hubs = (sigs.groupBy("sig", "paired")
             .agg(F.min("node").alias("lo"), F.max("node").alias("hi"),
-                 F.array(F.min_by(me, F.xxhash64("node", F.lit(1))), F.min_by(me, F.xxhash64("node", F.lit(2)))).alias("hubs"))
+                 F.array(F.min_by(me, F.struct(own, F.xxhash64("node", F.lit(1)))), F.min_by(me, F.struct(own, F.xxhash64("node", F.lit(2)))),
+                         F.min_by(me, F.xxhash64("node", F.lit(3)))).alias("hubs"))
             .where(F.col("lo") < F.col("hi")).drop("lo", "hi"))
     hubs = broadcast_if_small(settled(hubs))
-    each = sigs.join(hubs, ["sig", "paired"]).select("paired", "node", "n", "f", F.explode("hubs").alias("hub"))
-    ok = (F.col("node") != F.col("hub.node")) & _can_link(
-        F.col("paired"), F.col("n"), F.col("f"), F.col("hub.n"), F.col("hub.f"))
+    each = sigs.join(hubs, ["sig", "paired"]).select("paired", "node", "n", "f", "s", F.explode("hubs").alias("hub"))
+    ok = (F.col("node") != F.col("hub.node")) & _can_link("", "hub", ".")
     return each.where(ok).select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
 
 
@@ -267,23 +322,23 @@ def _open_pairs(sigs: DataFrame, roots: DataFrame) -> DataFrame:
                .where("parts > 1").drop("parts"))
     largest = broadcast_if_small(settled(largest))
     rows = settled(placed.join(largest, ["sig", "paired"]).withColumn("minor", F.col("root") != F.col("main")).drop("main"))
-    left = rows.where("minor").select("sig", "paired", *[F.col(c).alias(f"a_{c}") for c in ("node", "root", "n", "f")])
-    right = rows.select("sig", "paired", "minor", *[F.col(c).alias(f"b_{c}") for c in ("node", "root", "n", "f")])
+    side = lambda x: [F.col(c).alias(f"{x}_{c}") for c in ("sig", "node", "root", "n", "f", "s")]
+    left = rows.where("minor").select(F.col("paired").alias("a_paired"), *side("a"))
+    right = rows.select("paired", "minor", *side("b"))
     # the conditions are part of the join, so pairs that cannot link are never put out
-    pair = left.alias("l").join(right.alias("r"), (F.col("l.sig") == F.col("r.sig")) & (F.col("l.paired") == F.col("r.paired"))
-                                & (F.col("a_root") != F.col("b_root"))
-                                & (~F.col("minor") | (F.col("a_node") < F.col("b_node")))
-                                & _can_link(F.col("l.paired"), F.col("a_n"), F.col("a_f"), F.col("b_n"), F.col("b_f")))
+    pair = left.join(right, (F.col("a_sig") == F.col("b_sig")) & (F.col("a_paired") == F.col("paired"))
+                     & (F.col("a_root") != F.col("b_root")) & (~F.col("minor") | (F.col("a_node") < F.col("b_node")))
+                     & _can_link("a", "b"))
     return pair.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
 
 
 def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs that are links, by their whole sets."""
+    """The pairs that are links, by all tokens: those that both have are among the shared ones of each."""
     pairs = broadcast_if_small(settled(pairs))
-    one = sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
-    two = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb"))
+    one = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
+    two = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
     both = one.join(pairs, "a").join(two, "b").select(
-        "a", "b", F.size(F.array_intersect("ta", "tb")).alias("i"), (F.size("ta") + F.size("tb")).alias("s"))
+        "a", "b", F.size(F.array_intersect("ta", "tb")).alias("i"), (F.col("na") + F.col("nb")).alias("s"))
     return both.where(OF * F.col("i") >= SIMILAR * (F.col("s") - F.col("i"))).select("a", "b")
 
 
@@ -313,7 +368,8 @@ def _roots(links: DataFrame) -> DataFrame:
 def components(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
     rows = settled(_sets(docs, _node_filter(settled(_possible_nodes(docs)))))
-    sets = settled(rows.where(F.col("tokens").isNotNull()).dropDuplicates(["node"]).select("node", "tokens"))
+    distinct = rows.where(F.col("tokens").isNotNull()).dropDuplicates(["node"]).select("node", "tokens")
+    sets = settled(_shared_sets(distinct))
     sigs = settled(_signatures(sets, _frequent(sets)))
     links = settled(_links(_hub_pairs(sigs), sets))
     more = _links(_open_pairs(sigs, _roots(links)), sets)
