@@ -30,10 +30,12 @@ def pct(part: Column, whole: Column, digits: int = 2) -> Column:
 def content_hash(df: DataFrame, columns: list[str]) -> Column:
     """Order-insensitive fingerprint of a table: sum of per-row xxhash64.
 
-    The sum is taken as a decimal so it cannot overflow; equal multisets of
-    rows give equal sums.
+    Each column is hashed with its null flag, as ``xxhash64`` skips nulls and
+    would not see a null move to another column. The sum is taken as a decimal
+    so it cannot overflow; equal multisets of rows give equal sums.
     """
-    return F.sum(F.xxhash64(*[F.col(c) for c in columns]).cast("decimal(38,0)"))
+    flagged = [x for c in columns for x in (F.col(c).isNull(), F.col(c))]
+    return F.sum(F.xxhash64(*flagged).cast("decimal(38,0)"))
 
 
 def sql_string_literal(text: str) -> str:

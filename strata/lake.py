@@ -27,7 +27,7 @@ from strata.session import concurrently, shared_root
 from strata.sources import raw
 
 _LOCK = threading.Lock()
-_BUILT: set[tuple[str, str]] = set()
+_BUILT: dict[tuple[str, str], str] = {}
 # Layer schemas by path: inference (a footer-merge job with mergeSchema) runs
 # once per layer, not on every read. Layer DataFrames by (application, path):
 # a DataFrame keeps its file index, so a partitioned layer's folders are listed
@@ -179,11 +179,30 @@ class Lake:
         rows = self.spark.read.schema(schema).json(self.manifest_path).collect()
         return any(r["version"] == version for r in rows)
 
+    def retract(self) -> None:
+        """No finished build is in place: written before a build starts, so one that fails is not taken for done."""
+        self.mark_built("building")
+
     def mark_built(self, version: str) -> None:
         (self.spark.createDataFrame([(version,)], "version string")
          .coalesce(1).write.mode("overwrite").json(self.manifest_path))
 
 
+# The driver tables a lake is made of.
+INPUT_TABLES = ("lineitem", "orders", "events")
+
+
+def inputs_signature(spark: SparkSession, tables_dir: str) -> str:
+    """Changes with the files of the input tables: a listing of their names, sizes and times, no read."""
+    context = spark.sparkContext
+    files = []
+    for table in INPUT_TABLES:
+        path = context._jvm.org.apache.hadoop.fs.Path(f"{tables_dir.rstrip('/')}/{table}.parquet")
+        for status in path.getFileSystem(context._jsc.hadoopConfiguration()).listStatus(path):
+            files.append(f"{status.getPath()}|{status.getLen()}|{status.getModificationTime()}")
+    return hashlib.sha1("\n".join(sorted(files)).encode()).hexdigest()[:12]
+
+
 def lake_root_for(spark: SparkSession, tables_dir: str, version: str,
                   cfg: LakeConfig | None = None) -> str:
     absolute = os.path.abspath(tables_dir) if "://" not in tables_dir else tables_dir
@@ -194,16 +213,19 @@ def lake_root_for(spark: SparkSession, tables_dir: str, version: str,
 
 def open_lake(spark: SparkSession, tables_dir: str, cfg: LakeConfig | None = None,
               root: str | None = None, rebuild: bool = False) -> Lake:
-    """The built lake of ``tables_dir``, building it on first use."""
+    """The built lake of ``tables_dir``, built on first use and again when its code or input files change."""
     cfg = cfg or LakeConfig()
-    version = code_fingerprint()
-    lake = Lake(spark, tables_dir, root or lake_root_for(spark, tables_dir, version, cfg), cfg)
+    code = code_fingerprint()
+    version = f"{code}-{inputs_signature(spark, tables_dir)}"
+    lake = Lake(spark, tables_dir, root or lake_root_for(spark, tables_dir, code, cfg), cfg)
     key = (spark.sparkContext.applicationId, lake.root)
     with _LOCK:
-        if not rebuild and key in _BUILT:
+        if not rebuild and _BUILT.get(key) == version:
             return lake
         if rebuild or not lake.is_built(version):
+            _BUILT.pop(key, None)
+            lake.retract()
             lake.build()
             lake.mark_built(version)
-        _BUILT.add(key)
+        _BUILT[key] = version
     return lake

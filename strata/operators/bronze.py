@@ -8,9 +8,10 @@ type per column and the dataset reads with ``mergeSchema``.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,6 +66,65 @@ class IngestResult:
     rows: int
 
 
+def _recorded_types(spark: SparkSession, bronze_root: str, source: str) -> dict[str, tuple[T.DataType, str]]:
+    """Column types of the months already in bronze, and where they are from; empty before the first load."""
+    try:
+        schema = read_bronze(spark, bronze_root, source).schema
+    except AnalysisException as exc:
+        if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return {}
+        raise
+    return {f.name: (f.dataType, "bronze") for f in schema.fields if f.name not in ("year", "month")}
+
+
+def _conformed(month: DataFrame, recorded: dict[str, tuple[T.DataType, str]], source: str, label: str) -> DataFrame:
+    """The month with every numeric column in its recorded type; any other difference is an error.
+
+    Columns not seen before are added to ``recorded``.
+    """
+    columns = []
+    for f in month.schema.fields:
+        kind, where = recorded.setdefault(f.name, (f.dataType, label))
+        column = F.col(f"`{f.name}`")
+        if kind != f.dataType:
+            if not (isinstance(kind, _NUMERIC) and isinstance(f.dataType, _NUMERIC)):
+                raise SchemaDriftError(f"{source}: column {f.name!r} is {kind.simpleString()} in {where} "
+                                       f"but {f.dataType.simpleString()} in {label}")
+            column = column.cast(kind).alias(f.name)
+        columns.append(column)
+    return month.select(columns)
+
+
+def _replace(month: DataFrame, bronze_root: str, source: str, year: int, number: int) -> IngestResult:
+    obs = Observation(f"bronze_{source}_{year}_{number}")
+    (month.observe(obs, F.count(F.lit(1)).alias("rows"))
+     .write.mode("overwrite").parquet(partition_path(bronze_root, source, year, number)))
+    return IngestResult(source, year, number, int(obs.get.get("rows", 0)))
+
+
+# Months of one source that are written side by side.
+CONCURRENT_MONTHS = 8
+
+
+def ingest_months(spark: SparkSession, raw_root: str, bronze_root: str, source: str,
+                  months: list[tuple[int, int]], cfg: LakeConfig,
+                  landed: dict[str, set[str]] | None = None) -> list[IngestResult]:
+    """Replace each landed month asked for; every other month of bronze stays as it is.
+
+    All months are read and compared with the recorded types before the first
+    one is written, so an unreadable landed file or a clash of types raises
+    with bronze untouched. Each month is then a K1 replace of its own leaf
+    directory: narrow, and its plan is the same however many months there are.
+    """
+    recorded = _recorded_types(spark, bronze_root, source)
+    frames = []
+    for year, month, scan in raw.month_scans(spark, raw_root, source, months, landed):
+        frame = bronze_month(scan, year, month, cfg.source_system).drop("year", "month")
+        frames.append((year, month, _conformed(frame, recorded, source, f"{year}-{month:02d}")))
+    with ThreadPoolExecutor(max_workers=CONCURRENT_MONTHS) as pool:
+        return list(pool.map(lambda x: _replace(x[2], bronze_root, source, x[0], x[1]), frames))
+
+
 def ingest_month(spark: SparkSession, raw_root: str, bronze_root: str, source: str,
                  year: int, month: int, cfg: LakeConfig) -> IngestResult:
     """K1: replace exactly one month partition, idempotently.
@@ -72,66 +132,21 @@ def ingest_month(spark: SparkSession, raw_root: str, bronze_root: str, source: s
     The leaf directory ``year=Y/month=M`` is overwritten with the month's rows
     (partition columns dropped, as the directory carries them). Other months
     are untouched, and an empty month file empties its partition. The row
-    count is observed during the write, so there is no read-back scan.
+    count is observed during the write, so there is no read-back scan. A
+    month without a raw file, or one that clashes with the recorded types, is
+    an error.
     """
-    df = bronze_month(raw.read_raw(spark, raw_root, source, year, month), year, month,
-                      cfg.source_system)
-    obs = Observation(f"bronze_{source}_{year}_{month}")
-    (df.drop("year", "month").observe(obs, F.count(F.lit(1)).alias("rows"))
-     .write.mode("overwrite").parquet(partition_path(bronze_root, source, year, month)))
-    return IngestResult(source, year, month, int(obs.get.get("rows", 0)))
-
-
-def _check_drift(frames: list[tuple[int, int, DataFrame]], source: str) -> None:
-    """After normalisation, a column may only vary between numeric types."""
-    seen: dict[str, tuple[T.DataType, int, int]] = {}
-    for year, month, df in frames:
-        for f in df.schema.fields:
-            if f.name not in seen:
-                seen[f.name] = (f.dataType, year, month)
-                continue
-            first, y0, m0 = seen[f.name]
-            same = first == f.dataType
-            both_numeric = isinstance(first, _NUMERIC) and isinstance(f.dataType, _NUMERIC)
-            if not (same or both_numeric):
-                raise SchemaDriftError(
-                    f"{source}: column {f.name!r} is {first.simpleString()} in {y0}-{m0:02d} "
-                    f"but {f.dataType.simpleString()} in {year}-{month:02d}")
-
-
-def bronze_source_frame(spark: SparkSession, raw_root: str, source: str,
-                        cfg: LakeConfig, landed: dict[str, set[str]] | None = None) -> DataFrame | None:
-    """All readable months of one source, normalised per month, then unioned by name."""
-    frames = []
-    for year, month, scan in raw.readable_months(spark, raw_root, source, cfg.year_months(), landed):
-        frames.append((year, month, bronze_month(scan, year, month, cfg.source_system)))
-    if not frames:
-        return None
-    _check_drift(frames, source)
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
-                  [f for _, _, f in frames])
+    scan = raw.read_raw(spark, raw_root, source, year, month)
+    frame = bronze_month(scan, year, month, cfg.source_system).drop("year", "month")
+    recorded = _recorded_types(spark, bronze_root, source)
+    return _replace(_conformed(frame, recorded, source, f"{year}-{month:02d}"), bronze_root, source, year, month)
 
 
 def ingest_source(spark: SparkSession, raw_root: str, bronze_root: str, source: str,
                   cfg: LakeConfig, landed: dict[str, set[str]] | None = None) -> dict[tuple[int, int], int]:
-    """K2/K10 first load: every month of a source in one partitioned write.
-
-    Each scan split belongs to one month file, so every task writes into a
-    single ``year=/month=`` directory: no shuffle and no small-file fan-out.
-    Returns rows per (year, month), observed during the write.
-    """
-    df = bronze_source_frame(spark, raw_root, source, cfg, landed)
-    if df is None:
-        return {}
-    obs = Observation(f"bronze_{source}")
-    keyed = F.col("year") * 100 + F.col("month")
-    counts = [F.count_if(keyed == y * 100 + m).alias(f"m{y}{m:02d}")
-              for y, m in cfg.year_months()]
-    (df.observe(obs, *counts)
-     .write.mode("overwrite").partitionBy("year", "month").parquet(f"{bronze_root}/{source}"))
-    got = obs.get
-    return {(y, m): int(got[f"m{y}{m:02d}"]) for y, m in cfg.year_months()
-            if got.get(f"m{y}{m:02d}")}
+    """Every configured month of a source; rows per landed (year, month)."""
+    done = ingest_months(spark, raw_root, bronze_root, source, cfg.year_months(), cfg, landed)
+    return {(r.year, r.month): r.rows for r in done}
 
 
 def read_bronze(spark: SparkSession, bronze_root: str, source: str) -> DataFrame:
@@ -139,10 +154,11 @@ def read_bronze(spark: SparkSession, bronze_root: str, source: str) -> DataFrame
     return spark.read.option("mergeSchema", "true").parquet(f"{bronze_root}/{source}")
 
 
-def partition_count(spark: SparkSession, bronze_root: str, source: str,
-                    year: int, month: int) -> DataFrame:
-    """Rows of one partition; the predicate becomes a partition filter."""
-    return (read_bronze(spark, bronze_root, source)
-            .filter((F.col("year") == year) & (F.col("month") == month))
-            .groupBy("year", "month").agg(F.count(F.lit(1)).alias("rows"))
-            .select(F.lit(source).alias("taxi_type"), "year", "month", "rows"))
+def partition_count(bronze: DataFrame, source: str, year: int, month: int) -> DataFrame:
+    """Rows of one partition, 0 if it is empty; the predicate becomes a partition filter.
+
+    ``bronze`` is the dataset with its known schema, so no footer is read to infer one.
+    """
+    return (bronze.filter((F.col("year") == year) & (F.col("month") == month))
+            .agg(F.count(F.lit(1)).alias("rows"))
+            .select(F.lit(source).alias("taxi_type"), F.lit(year).alias("year"), F.lit(month).alias("month"), "rows"))

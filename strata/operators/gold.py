@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.operators import layout
 
@@ -17,7 +18,7 @@ def ts_literal(df: DataFrame, column: str, value: dt.datetime) -> Column:
     Comparing like with like keeps the predicate a plain literal comparison
     that reaches ``PushedFilters`` of the parquet scan.
     """
-    return F.lit(value.strftime("%Y-%m-%d %H:%M:%S")).cast(df.schema[column].dataType)
+    return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast(df.schema[column].dataType)
 
 
 # Gold is Hive-partitioned by the month of pickup (a date, first of the month).
@@ -52,6 +53,10 @@ def in_period(df: DataFrame, start: dt.datetime | None, end: dt.datetime | None,
     cond = F.lit(True)
     pruned = column == "pickup_datetime" and PARTITION_COLUMN in df.columns
     first, last = month_bounds(start, end)
+    if pruned and isinstance(df.schema[column].dataType, T.TimestampType):
+        # an instant's month was taken in the writer's zone, the bounds are in the reader's: a day more on both sides
+        day = dt.timedelta(days=1)
+        first, last = month_bounds(start and start - day, end and end + day)
     if start is not None:
         cond = cond & (F.col(column) >= ts_literal(df, column, start))
         if pruned:

@@ -39,10 +39,24 @@ def create_schemas(spark: SparkSession, location: str, *schemas: str) -> None:
                   f"LOCATION {sql_string_literal(f'{location}/{schema}.db')}")
 
 
+def _bare(path: str) -> str:
+    """A location without the forms that name the same local place."""
+    return path.removeprefix("file:").replace("//", "/").rstrip("/")
+
+
 def register_table(spark: SparkSession, name: str, path: str, comment: str,
                    column_comments: dict[str, str] = COLUMN_COMMENTS) -> None:
-    """K7/K8: (re)create an external table over ``path`` and document it."""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    """K7/K8: (re)create an external table over ``path`` and document it.
+
+    A table of that name at another location is somebody else's: it stays, and
+    the call fails.
+    """
+    if spark.catalog.tableExists(name):
+        facts = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+        here = _bare(facts.get("Location", ""))
+        if facts.get("Type") != "EXTERNAL" or here != _bare(path):
+            raise ValueError(f"{name} exists at {here or 'an unknown place'}, not at {path}; it is not replaced")
+        spark.sql(f"DROP TABLE {name}")
     spark.catalog.createTable(name, path=path, source="parquet")
     columns = {c.name: c for c in spark.catalog.listColumns(name)}
     if any(c.isPartition for c in columns.values()):

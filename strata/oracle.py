@@ -320,26 +320,33 @@ ORDER BY taxi_type"""),
        count(*) FILTER (WHERE pickup_datetime IS NOT NULL AND dropoff_datetime IS NOT NULL
                         AND total_amount IS NOT NULL) AS rows_valid
 FROM (SELECT * FROM projected_yellow UNION ALL SELECT * FROM projected_green) GROUP BY 1 ORDER BY 1"""),
-    "deduplicate": q(f"SELECT {VIEW_COLUMNS} FROM ranked WHERE rn > 1"),
+    "deduplicate": q(f"SELECT {VIEW_COLUMNS} FROM ranked WHERE rn = 1"),
+    "dropped_duplicates": q(f"SELECT {VIEW_COLUMNS} FROM ranked WHERE rn > 1"),
     "raw_scan": q("""SELECT CAST(VendorID AS DOUBLE) AS VendorID, CAST(passenger_count AS DOUBLE) AS passenger_count,
        total_amount, tpep_pickup_datetime, tpep_dropoff_datetime,
-       CASE WHEN file_month >= 3 THEN payment_type END AS payment_type, CAST(file_month AS INTEGER) AS month
+       CASE WHEN file_month >= 3 THEN payment_type END AS payment_type, CAST(""" + str(YEAR) + """ AS INTEGER) AS year,
+       CAST(file_month AS INTEGER) AS month
 FROM yellow_raw"""),
     "volume_by_month": q(" UNION ALL ".join(
         f"SELECT '{s}' AS taxi_type, CAST({YEAR} AS INTEGER) AS year, CAST(file_month AS INTEGER) AS month, "
         f"count(*) AS trips FROM {t} GROUP BY file_month"
         for s, t in (("yellow", "yellow_raw"), ("green", "green_raw"), ("fhv", "fhvhv_raw"),
                      ("fhvhv", "fhvhv_raw"))) + " ORDER BY 1, 2, 3"),
-    "bronze_lineage": q("""SELECT _source_file AS source_file, 'nyc_tlc' AS _source_system, year, month, count(*) AS rows
-FROM bronze_yellow GROUP BY 1, 2, 3, 4 ORDER BY 3, 4"""),
+    "bronze_lineage": q(" UNION ALL ".join(
+        f"SELECT '{s}' AS taxi_type, {_file(s, 'month')} AS source_file, 'nyc_tlc' AS _source_system, year, month, "
+        f"count(*) AS rows FROM {t} GROUP BY year, month" for s, t in BRONZE.items()) + " ORDER BY 1, 4, 5"),
     "bronze_counts": q(" UNION ALL ".join(
         f"SELECT '{s}' AS taxi_type, year, month, count(*) AS rows FROM {t} GROUP BY 2, 3"
         for s, t in BRONZE.items()) + " ORDER BY 1, 2, 3"),
-    "bronze_partition_count": q("""SELECT 'yellow' AS taxi_type, year, month, count(*) AS rows
-FROM bronze_yellow GROUP BY 2, 3 ORDER BY 2, 3"""),
+    "bronze_partition_count": q(" UNION ALL ".join(
+        f"SELECT '{s}' AS taxi_type, year, month, count(*) AS rows FROM {t} GROUP BY 2, 3"
+        for s, t in BRONZE.items()) + " ORDER BY 1, 2, 3"),
+    "bronze_reingest_months": q(" UNION ALL ".join(
+        f"SELECT '{s}' AS taxi_type, year, month, count(*) AS rows FROM {t} GROUP BY 2, 3"
+        for s, t in BRONZE.items()) + " ORDER BY 1, 2, 3"),
     "normalize_types": q(_normalize_types() + " ORDER BY 1, 2"),
-    "bronze_schema_evolution": q("""SELECT month, count(*) AS rows, count(payment_type) AS payment_type_values
-FROM bronze_yellow GROUP BY 1 ORDER BY 1"""),
+    "bronze_schema_evolution": q("""SELECT year, month, count(*) AS rows, count(payment_type) AS payment_type_values
+FROM bronze_yellow GROUP BY 1, 2 ORDER BY 1, 2"""),
     "bronze_replace_month": q("""SELECT year, month, count(*) AS rows FROM bronze_yellow
 WHERE month <> 3 OR tpep_pickup_datetime IS NOT NULL GROUP BY 1, 2 ORDER BY 1, 2"""),
     "bronze_incremental": q("""SELECT year, month, count(*) AS rows FROM bronze_yellow

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from strata.config import YELLOW, LakeConfig
 from strata.lake import Lake, open_lake
-from strata.operators import bronze, layout, silver, tables
+from strata.operators import bronze, layout, silver
 from strata.plans import analytics, profile, quality
 from strata.session import concurrently, scratch_dir
 from strata.sources import fixtures, raw
@@ -147,11 +147,18 @@ def filter_valid_records(spark, d):
             .orderBy("taxi_type"))
 
 
+def _valid_trips(lake: Lake) -> list[DataFrame]:
+    return [silver.filter_valid_records(silver.project_canonical(lake.bronze(s.name), s)) for s in CFG.trip_sources]
+
+
 def deduplicate(spark, d):
-    lake = _lake(spark, d)
-    parts = [silver.dropped_duplicates(silver.filter_valid_records(
-        silver.project_canonical(lake.bronze(s.name), s))) for s in CFG.trip_sources]
-    return _table_view(reduce(DataFrame.unionByName, parts))
+    """W1 over both trip sources: the rows it keeps."""
+    return _table_view(reduce(DataFrame.unionByName, map(silver.deduplicate_trips, _valid_trips(_lake(spark, d)))))
+
+
+def dropped_duplicates(spark, d):
+    """The rows W1 removes."""
+    return _table_view(reduce(DataFrame.unionByName, map(silver.dropped_duplicates, _valid_trips(_lake(spark, d)))))
 
 
 # ---- raw and bronze storage ---------------------------------------------------
@@ -164,8 +171,8 @@ def raw_scan(spark, d):
     counters to DOUBLE and leaves ``payment_type`` null where it is absent.
     """
     lake = _lake(spark, d)
-    scans = [scan.withColumn("month", F.lit(m))
-             for _y, m, scan in raw.readable_months(spark, lake.raw_root, "yellow", CFG.year_months())]
+    scans = [scan.withColumns({"year": F.lit(y), "month": F.lit(m)})
+             for y, m, scan in raw.readable_months(spark, lake.raw_root, "yellow", CFG.year_months())]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
@@ -177,12 +184,13 @@ def volume_by_month(spark, d):
 
 
 def bronze_lineage(spark, d):
-    b = _lake(spark, d).bronze("yellow")
-    return (b.groupBy("_source_file", "_source_system", "year", "month")
-            .agg(F.count(F.lit(1)).alias("rows"))
-            .select(raw.file_name(F.col("_source_file")).alias("source_file"),
+    lake = _lake(spark, d)
+    parts = [lake.bronze(s).groupBy(F.lit(s).alias("taxi_type"), "_source_file", "_source_system", "year", "month")
+             .agg(F.count(F.lit(1)).alias("rows")) for s in CFG.sources]
+    return (reduce(DataFrame.unionByName, parts)
+            .select("taxi_type", raw.file_name(F.col("_source_file")).alias("source_file"),
                     "_source_system", "year", "month", "rows")
-            .orderBy("year", "month"))
+            .orderBy("taxi_type", "year", "month"))
 
 
 def bronze_counts(spark, d):
@@ -193,11 +201,11 @@ def bronze_counts(spark, d):
 
 
 def bronze_partition_count(spark, d):
-    """S5/F10 for every month: each count reads only its own partition directory."""
+    """S5/F10 for every source and month: each count reads only its own partition directory."""
     lake = _lake(spark, d)
     return reduce(DataFrame.unionByName,
-                  [bronze.partition_count(spark, lake.bronze_root, "yellow", y, m)
-                   for y, m in CFG.year_months()]).orderBy("year", "month")
+                  [bronze.partition_count(lake.bronze(s), s, y, m)
+                   for s in CFG.sources for y, m in CFG.year_months()]).orderBy("taxi_type", "year", "month")
 
 
 def normalize_types(spark, d):
@@ -216,9 +224,9 @@ def normalize_types(spark, d):
 
 def bronze_schema_evolution(spark, d):
     b = _lake(spark, d).bronze("yellow")
-    return (b.groupBy("month").agg(F.count(F.lit(1)).alias("rows"),
-                                   F.count("payment_type").alias("payment_type_values"))
-            .orderBy("month"))
+    return (b.groupBy("year", "month").agg(F.count(F.lit(1)).alias("rows"),
+                                           F.count("payment_type").alias("payment_type_values"))
+            .orderBy("year", "month"))
 
 
 def bronze_replace_month(spark, d):
@@ -262,6 +270,24 @@ def bronze_incremental(spark, d):
             .orderBy("year", "month"))
 
 
+def bronze_reingest_months(spark, d):
+    """K10 as a loop of K1, in a scratch lake: a full load, then two months again; the others stay."""
+    main = _lake(spark, d)
+    work = Lake(spark, d, scratch_dir(spark, "reingest"), CFG)
+    landed = raw.landed_files(spark, main.raw_root)
+    again = CFG.year_months()[1:3]
+
+    def load(source: str) -> None:
+        bronze.ingest_source(spark, main.raw_root, work.bronze_root, source, CFG, landed)
+        bronze.ingest_months(spark, main.raw_root, work.bronze_root, source, again, CFG, landed)
+
+    concurrently({s: (lambda s=s: load(s)) for s in CFG.sources})
+    work.forget_schemas()
+    parts = [work.bronze(s).groupBy(F.lit(s).alias("taxi_type"), "year", "month").agg(F.count(F.lit(1)).alias("rows"))
+             for s in CFG.sources]
+    return reduce(DataFrame.unionByName, parts).orderBy("taxi_type", "year", "month")
+
+
 def clustered_layout(spark, d):
     lake = _lake(spark, d)
     layers = {f"silver_{s.name}": lake.silver(s.name) for s in CFG.trip_sources}
@@ -298,20 +324,6 @@ def idempotency(spark, d):
     return quality.compare_fingerprints(spark.read.parquet(snapshot), second)
 
 
-def table_metadata(spark, d):
-    lake = _lake(spark, d)
-    tables.create_schemas(spark, f"{lake.root}/catalog", CFG.silver_schema, CFG.gold_schema)
-    names = []
-    for s in CFG.trip_sources:
-        name = f"{CFG.silver_schema}.{s.name}_trips"
-        tables.register_table(spark, name, lake.silver_path(s.name), tables.SILVER_TABLE_COMMENT)
-        names.append(name)
-    name = f"{CFG.gold_schema}.trips"
-    tables.register_table(spark, name, lake.gold_path, tables.GOLD_TABLE_COMMENT)
-    names.append(name)
-    return tables.column_docs(spark, names)
-
-
 # ---- profiles of the typed raw data ------------------------------------------
 
 def pickup_year_distribution(spark, d):
@@ -396,9 +408,9 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     q1, q1_sql, q2, q2_sql, q1_labelled, compare_by_type_month, type_summary, hourly_revenue,
     peak_hours, gold_counts_by_type, quality_report, silver_quality_report, audit_trail,
     layer_counts, silver_yellow, silver_green, gold_trips, silver_project, filter_valid_records,
-    deduplicate, raw_scan, volume_by_month, bronze_lineage, bronze_counts, bronze_partition_count,
-    normalize_types, bronze_schema_evolution, bronze_replace_month, bronze_incremental, clustered_layout, idempotency,
-    table_metadata, pickup_year_distribution, passenger_distribution, vendor_distribution,
+    deduplicate, dropped_duplicates, raw_scan, volume_by_month, bronze_lineage, bronze_counts, bronze_partition_count,
+    normalize_types, bronze_schema_evolution, bronze_replace_month, bronze_reingest_months, bronze_incremental, clustered_layout, idempotency,
+    pickup_year_distribution, passenger_distribution, vendor_distribution,
     amount_stats, duration_stats, amount_stats_approx, duration_stats_approx, negative_duration, passenger_avg_compare, passenger_problem_rate,
     amount_anomalies, top_outliers, negative_amount_sample, null_report, column_profile,
     schema_drift, key_column_presence, column_overlap, monetary_columns)}

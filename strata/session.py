@@ -20,13 +20,17 @@ def shared_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
     Lakes and scratch tables live below it, never in a machine-local temp
-    folder. Only when the session names none (a bare local session, as in
-    tests) is a private folder created and set as the checkpoint dir.
+    folder. Only a local session that names none (as in tests) gets a private
+    folder, set as its checkpoint dir; on a cluster that is an error, for
+    every executor would write to its own disk.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder (master {master})")
         root = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")

@@ -101,8 +101,10 @@ def landed_files(spark: SparkSession, raw_root: str) -> dict[str, set[str]]:
     try:
         listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
                    .option("pathGlobFilter", "*.parquet").load(raw_root))
-    except AnalysisException:
-        return {}
+    except AnalysisException as exc:
+        if exc.getCondition() == "PATH_NOT_FOUND":  # nothing was ever landed; any other failure is one
+            return {}
+        raise
     month_file = logical_source_file(F.col("path"))
     names = listing.select(
         F.element_at(F.split(month_file, "/"), -2).alias("source"),
@@ -113,14 +115,11 @@ def landed_files(spark: SparkSession, raw_root: str) -> dict[str, set[str]]:
     return landed
 
 
-def readable_months(spark: SparkSession, raw_root: str, source: str,
-                    year_months: list[tuple[int, int]],
-                    landed: dict[str, set[str]] | None = None) -> list[tuple[int, int, DataFrame]]:
-    """Scans of the months that exist; footers are read concurrently.
+def landed_months(spark: SparkSession, raw_root: str, source: str, year_months: list[tuple[int, int]],
+                  landed: dict[str, set[str]] | None = None) -> list[tuple[int, int]]:
+    """The months asked for that have a raw file; the others are named in a warning.
 
-    Months without a file are skipped with a warning, and so is a file whose
-    footer cannot be read. ``landed`` is a listing from ``landed_files``; it is
-    taken when not given.
+    ``landed`` is a listing from ``landed_files``; it is taken when not given.
     """
     names = (landed if landed is not None else landed_files(spark, raw_root)).get(source, set())
     present = []
@@ -129,9 +128,34 @@ def readable_months(spark: SparkSession, raw_root: str, source: str,
             present.append((y, m))
         else:
             log.warning("skipping missing raw file %s", raw_path(raw_root, source, y, m))
+    return present
+
+
+def _scans(read, present: list[tuple[int, int]]) -> list:
+    """``read`` of each month; footers are read concurrently."""
     with ThreadPoolExecutor(max_workers=min(8, len(present) or 1)) as pool:
-        scans = list(pool.map(lambda ym: try_read(spark, raw_path(raw_root, source, *ym)), present))
-    return [(y, m, df) for (y, m), df in zip(present, scans) if df is not None]
+        return list(pool.map(read, present))
+
+
+def month_scans(spark: SparkSession, raw_root: str, source: str, year_months: list[tuple[int, int]],
+                landed: dict[str, set[str]] | None = None) -> list[tuple[int, int, DataFrame]]:
+    """Scans of the landed months, for ingestion: a landed file that cannot be read is an error."""
+    present = landed_months(spark, raw_root, source, year_months, landed)
+    scans = _scans(lambda ym: read_raw(spark, raw_root, source, *ym), present)
+    return [(y, m, df) for (y, m), df in zip(present, scans, strict=True)]
+
+
+def readable_months(spark: SparkSession, raw_root: str, source: str,
+                    year_months: list[tuple[int, int]],
+                    landed: dict[str, set[str]] | None = None) -> list[tuple[int, int, DataFrame]]:
+    """Scans of the months that exist and can be read, for reports on the raw files (S3).
+
+    A missing or unreadable file is skipped with a warning. Ingestion uses
+    ``month_scans``, which never skips a landed file.
+    """
+    present = landed_months(spark, raw_root, source, year_months, landed)
+    scans = _scans(lambda ym: try_read(spark, raw_path(raw_root, source, *ym)), present)
+    return [(y, m, df) for (y, m), df in zip(present, scans, strict=True) if df is not None]
 
 
 def schema_groups(spark: SparkSession, raw_root: str, source: str,
@@ -157,9 +181,10 @@ def volume_by_month(spark: SparkSession, raw_root: str, cfg: LakeConfig,
     landed = landed_files(spark, raw_root)
     by_source = concurrently({s: (lambda s=s: schema_groups(spark, raw_root, s, wanted, landed))
                               for s in cfg.sources})
-    parts = []
+    parts, months_read = [], []
     for source in cfg.sources:
         for file_schema, months in by_source[source]:
+            months_read += [(source, y, m) for y, m in months]
             paths = [raw_path(raw_root, source, y, m) for y, m in months]
             # the group's schema is known from its footers; no second inference
             parts.append(spark.read.schema(file_schema).parquet(*paths).select(
@@ -172,7 +197,11 @@ def volume_by_month(spark: SparkSession, raw_root: str, cfg: LakeConfig,
     per_file = (reduce(DataFrame.unionByName, parts)
                 .groupBy("taxi_type", "_path").agg(F.count(F.lit(1)).alias("trips"))
                 .withColumn("_file", file_name(logical_source_file(F.col("_path")))))
-    return (per_file.groupBy("taxi_type",
-                             F.regexp_extract("_file", stamp, 1).cast("int").alias("year"),
-                             F.regexp_extract("_file", stamp, 2).cast("int").alias("month"))
-            .agg(F.sum("trips").alias("trips")))
+    counted = (per_file.groupBy("taxi_type",
+                                F.regexp_extract("_file", stamp, 1).cast("int").alias("year"),
+                                F.regexp_extract("_file", stamp, 2).cast("int").alias("month"))
+               .agg(F.sum("trips").alias("trips")))
+    # a readable month without rows counts 0; one row for each month and source
+    every = spark.createDataFrame(months_read, "taxi_type string, year int, month int")
+    return (every.join(counted, ["taxi_type", "year", "month"], "left")
+            .select("taxi_type", "year", "month", F.coalesce("trips", F.lit(0).cast("bigint")).alias("trips")))

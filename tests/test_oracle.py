@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from strata.oracle import ORACLE_SQL
+from strata.registry import QUERIES
 from conftest import SF0001
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
@@ -33,8 +35,8 @@ def con():
 
 
 def test_every_query_has_an_oracle_or_is_listed():
-    missing = set(entry.queries()) - set(entry.oracle_sql())
-    assert missing == {"table_metadata", "amount_stats_approx", "duration_stats_approx"}
+    missing = set(QUERIES) - set(ORACLE_SQL)
+    assert missing == {"amount_stats_approx", "duration_stats_approx"}
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
@@ -44,7 +46,7 @@ def test_entry_runs(spark):
     assert df.count() == 5
 
 
-@pytest.mark.parametrize("key", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("key", sorted(ORACLE_SQL))
 def test_matches_oracle(spark, con, key):
     df = entry.queries()[key](spark, SF0001)
     rows = [tuple(r) for r in df.collect()]
@@ -54,41 +56,16 @@ def test_matches_oracle(spark, con, key):
     assert canon(df.columns, rows) == canon(ocols, cur.fetchall())
 
 
-def test_table_metadata_documents_columns(spark):
-    docs = {(r["table_name"], r["column_name"]): r["comment"]
-            for r in entry.queries()["table_metadata"](spark, SF0001).collect()}
-    assert docs[("gold.trips", "total_amount")].startswith("Total charged")
-    assert all(v for (t, c), v in docs.items() if c != "pickup_month")
-    assert spark.table("gold.trips").count() == entry.queries()["gold_trips"](spark, SF0001).count()
-
-
-def test_command_line_lists_and_reports(spark, capsys):
-    from strata.__main__ import main
-    assert main(["list"]) == 0
-    assert "audit_trail" in capsys.readouterr().out.split()
-    assert main(["report", SF0001, "q1", "3"]) == 0
-    out = capsys.readouterr().out
-    assert "avg_total_amount" in out and "only showing top 3 rows" in out
-    assert main(["report", SF0001, "no_such_report"]) == 2
-
-
-@pytest.mark.parametrize("key,column", [("amount_stats_approx", "total_amount"),
-                                        ("duration_stats_approx", None)])
-def test_approximate_profiles_stay_within_their_rank_error(spark, con, key, column):
-    import bisect
-
-    from strata.plans.profile import AMOUNT_PROBS, APPROX_ACCURACY, DURATION_PROBS
-    from strata.oracle import q
-    got = entry.queries()[key](spark, SF0001).first()
-    value = ("total_amount" if column else
-             "(epoch(tpep_dropoff_datetime) - epoch(tpep_pickup_datetime)) / 60.0")
-    vals = [r[0] for r in con.execute(
-        q(f"SELECT {value} AS v FROM bronze_yellow WHERE {value} IS NOT NULL ORDER BY 1")).fetchall()]
-    n = len(vals)
-    probs = AMOUNT_PROBS if column else DURATION_PROBS
-    assert got["min"] == vals[0] and got["max"] == vals[-1]
-    for name, p in probs.items():
-        lo, hi = bisect.bisect_left(vals, got[name]) + 1, bisect.bisect_right(vals, got[name])
-        target = max(1, math.ceil(p * n))
-        slack = n / APPROX_ACCURACY + 1
-        assert lo - slack <= target <= hi + slack, (name, got[name], lo, hi, target)
+def test_tables_are_documented_and_others_stay(spark, workdir):
+    from strata.operators import tables
+    path = f"{workdir}/trips"
+    spark.sql("SELECT 1.5D AS total_amount").write.parquet(path)
+    spark.sql("CREATE SCHEMA IF NOT EXISTS docs_test")
+    for _ in range(2):
+        tables.register_table(spark, "docs_test.trips", path, "what it is")
+    docs = {r["column_name"]: r["comment"] for r in tables.column_docs(spark, ["docs_test.trips"]).collect()}
+    assert docs["total_amount"].startswith("Total charged")
+    with pytest.raises(ValueError):
+        tables.register_table(spark, "docs_test.trips", f"{workdir}/elsewhere", "other")
+    assert spark.table("docs_test.trips").count() == 1
+    spark.sql("DROP TABLE docs_test.trips")

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from strata.config import LakeConfig
@@ -75,12 +76,72 @@ def test_partition_count_prunes_partitions(spark, workdir):
     rroot, broot = f"{workdir}/raw", f"{workdir}/bronze"
     land(spark, rroot)
     bronze.ingest_source(spark, rroot, broot, "yellow", CFG)
-    df = bronze.partition_count(spark, broot, "yellow", 1996, 2)
+    df = bronze.partition_count(bronze.read_bronze(spark, broot, "yellow"), "yellow", 1996, 2)
     assert df.first()["rows"] == 3
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in plan and "(month#" in plan
 
 
+def test_partition_count_of_an_empty_partition_is_zero(spark, workdir):
+    rroot, broot = f"{workdir}/raw", f"{workdir}/bronze"
+    land(spark, rroot)
+    bronze.ingest_source(spark, rroot, broot, "yellow", CFG)
+    b = bronze.read_bronze(spark, broot, "yellow")
+    assert bronze.partition_count(b, "yellow", 1996, 4).first()["rows"] == 0
+
+
+def test_ingest_of_some_months_keeps_the_others(spark, workdir):
+    rroot, broot = f"{workdir}/raw", f"{workdir}/bronze"
+    land(spark, rroot)
+    bronze.ingest_source(spark, rroot, broot, "yellow", CFG)
+    done = bronze.ingest_months(spark, rroot, broot, "yellow", [(1996, 3), (1996, 4)], CFG)
+    assert [(r.month, r.rows) for r in done] == [(3, 2)]
+    assert counts(spark, broot) == {1: 2, 2: 3, 3: 2}
+
+
+def test_unreadable_landed_month_stops_the_ingest(spark, workdir, monkeypatch):
+    rroot, broot = f"{workdir}/raw", f"{workdir}/bronze"
+    land(spark, rroot)
+    bronze.ingest_source(spark, rroot, broot, "yellow", CFG)
+    read = raw.read_raw
+
+    def failing(spark, root, source, year, month):
+        if month == 2:
+            raise OSError("throttled")
+        return read(spark, root, source, year, month)
+
+    monkeypatch.setattr(raw, "read_raw", failing)
+    with pytest.raises(OSError):
+        bronze.ingest_source(spark, rroot, broot, "yellow", CFG)
+    assert counts(spark, broot) == {1: 2, 2: 3, 3: 2}
+
+
+@pytest.mark.parametrize("kind, fits", [("float", True), ("decimal(10,2)", True), ("string", False)])
+def test_replaced_month_has_the_recorded_types(spark, workdir, kind, fits):
+    rroot, broot = f"{workdir}/raw", f"{workdir}/bronze"
+    land(spark, rroot)
+    bronze.ingest_source(spark, rroot, broot, "yellow", CFG)
+    path = raw.raw_path(rroot, "yellow", 1996, 2)
+    month = spark.createDataFrame([row(1.0, 1.0, 5.0)], spark.read.parquet(path).schema)
+    month.withColumn("total_amount", F.col("total_amount").cast(kind)).write.mode("overwrite").parquet(path)
+    if fits:
+        bronze.ingest_month(spark, rroot, broot, "yellow", 1996, 2, CFG)
+        assert dict(bronze.read_bronze(spark, broot, "yellow").dtypes)["total_amount"] == "double"
+        assert counts(spark, broot) == {1: 2, 2: 1, 3: 2}
+    else:
+        with pytest.raises(bronze.SchemaDriftError):
+            bronze.ingest_month(spark, rroot, broot, "yellow", 1996, 2, CFG)
+        assert counts(spark, broot) == {1: 2, 2: 3, 3: 2}
+
+
+def test_empty_readable_month_counts_zero(spark, workdir):
+    rroot = f"{workdir}/raw"
+    land(spark, rroot)
+    write_month(spark, rroot, 2, [], int_counters=False)
+    got = raw.volume_by_month(spark, rroot, CFG, [(1996, m) for m in (1, 2, 3)]).collect()
+    assert {(r["month"], r["trips"]) for r in got} == {(1, 2), (2, 0), (3, 2)}
+
+
 def test_volume_by_month_skips_missing_months(spark, workdir):
     rroot = f"{workdir}/raw"
     land(spark, rroot)
@@ -106,3 +167,52 @@ def test_corrupt_month_file_is_skipped(spark, workdir):
         f.write(b"not parquet")
     months = raw.readable_months(spark, rroot, "yellow", [(1996, m) for m in (1, 2, 3, 4, 5)])
     assert [(y, m) for y, m, _ in months] == [(1996, 1), (1996, 2), (1996, 3)]
+
+
+def test_lake_follows_its_inputs_and_a_failed_build_is_not_built(spark, workdir, monkeypatch):
+    import shutil
+    import tempfile
+
+    from strata.lake import Lake, open_lake
+    tables = tempfile.mkdtemp(prefix="strata-inputs-")
+    for t in ("lineitem", "orders", "events"):
+        shutil.copy(f"/root/testdata/sf0.001/{t}.parquet", f"{tables}/{t}.parquet")
+    root = f"{workdir}/lake"
+    builds = []
+    monkeypatch.setattr(Lake, "build", lambda self: builds.append(1))
+    open_lake(spark, tables, root=root)
+    open_lake(spark, tables, root=root)
+    assert len(builds) == 1
+    shutil.copy("/root/testdata/sf0.01/orders.parquet", f"{tables}/orders.parquet")
+    open_lake(spark, tables, root=root)
+    assert len(builds) == 2
+
+    def failing(self):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(Lake, "build", failing)
+    with pytest.raises(RuntimeError):
+        open_lake(spark, tables, root=root, rebuild=True)
+    monkeypatch.setattr(Lake, "build", lambda self: builds.append(1))
+    open_lake(spark, tables, root=root)
+    assert len(builds) == 3
+
+
+def test_no_shared_folder_on_a_cluster_is_an_error():
+    from strata.session import shared_root
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError):
+        shared_root(Session())
