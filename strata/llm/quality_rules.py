@@ -9,7 +9,7 @@ of two sketches add up, so map tasks combine them before the shuffle and the
 group sketches merge into language sketches and one corpus sketch without
 another look at the text. The sketch resolves a quantile to one per mille and
 is the same in every run. A document fails a feature above
-``Q3 + FENCE * max(Q3 - Q1, MIN_SPREAD)`` of its group; groups of fewer than
+``Q3 + FENCE * max(Q3 - Q1, least spread)`` of its group; groups of fewer than
 ``MIN_GROUP`` documents use their language's sketch, and small languages the
 corpus sketch. Quartiles do not move while under a quarter of a group is junk.
 
@@ -33,11 +33,11 @@ from strata.llm.common import SPACE, broadcast_if_small, settled, split_words
 MIN_WORDS = 50
 MIN_GROUP = 200
 FENCE = 3
-# per mille: shares closer than this are not told apart by the fence
-MIN_SPREAD = 40
-# per-mille features: (numerator, denominator) over the base columns
-FEATURES = {"symbol_pm": ("n_symbols", "word_chars"), "dup_line_pm": ("n_dup_lines", "n_lines"),
-            "upper_pm": ("n_upper", "word_chars"), "mark_pm": ("n_marks", "word_chars")}
+# per-mille features: (numerator, denominator, least spread) over the base columns. Shares closer than the least
+# spread are not told apart by the fence; lines are few, so one repeated line in three is no junk.
+FEATURES = {"symbol_pm": ("n_symbols", "word_chars", 40), "bare_pm": ("n_bare", "n_words", 40),
+            "dup_line_pm": ("n_dup_lines", "n_lines", 170), "upper_pm": ("n_upper", "word_chars", 40),
+            "mark_pm": ("n_marks", "word_chars", 40)}
 
 
 def _window_hashes(words: Column) -> Column:
@@ -68,7 +68,8 @@ def light_stats(docs: DataFrame, *carry: str) -> DataFrame:
         (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long").alias("n_dup_lines"),
         F.size("_l").cast("long").alias("n_lines"),
         count(r"[^\p{Lu}]+").alias("n_upper"),
-        count(r"[^!?]+").alias("n_marks"))
+        count(r"[^!?]+").alias("n_marks"),
+        F.size(F.filter("_w", lambda w: ~F.regexp_like(w, F.lit(r"[\p{L}\p{N}]")))).cast("long").alias("n_bare"))
 
 
 def full_stats(docs: DataFrame, *carry: str) -> DataFrame:
@@ -91,9 +92,8 @@ def full_stats(docs: DataFrame, *carry: str) -> DataFrame:
 
 
 def _per_mille(feature: str) -> Column:
-    part, whole = (F.col(c) for c in FEATURES[feature])
-    return F.when(whole > 0, F.expr(f"({FEATURES[feature][0]} * 1000) div {FEATURES[feature][1]}")
-                  ).otherwise(F.lit(0).cast("long"))
+    part, whole, _ = FEATURES[feature]
+    return F.when(F.col(whole) > 0, F.expr(f"({part} * 1000) div {whole}")).otherwise(F.lit(0).cast("long"))
 
 
 def sketches(stats: DataFrame) -> DataFrame:
@@ -113,8 +113,11 @@ def _limits(sketch: DataFrame, keys: list[str]) -> DataFrame:
         *keys, "feature", "share", F.sum("n").over(order).alias("upto"),
         F.sum("n").over(Window.partitionBy(*keys, "feature")).alias("total"))
     quantile = lambda q: F.min(F.when(F.col("upto") * 4 >= F.col("total") * q, F.col("share")))
+    least = F.lit(None).cast("long")
+    for f, (_, _, spread) in FEATURES.items():
+        least = F.when(F.col("feature") == f, spread).otherwise(least)
     return ranked.groupBy(*keys, "feature").agg(
-        (quantile(3) + FENCE * F.greatest(quantile(3) - quantile(1), F.lit(MIN_SPREAD))).alias("limit"),
+        (quantile(3) + FENCE * F.greatest(quantile(3) - quantile(1), F.max(least))).alias("limit"),
         F.max("total").alias("total"))
 
 
@@ -185,19 +188,22 @@ stats AS (
          CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, len(ls) AS n_lines,
          length(t) - length(regexp_replace(t, '\p{Lu}', '', 'g')) AS n_upper,
          length(t) - length(translate(t, '!?', '')) AS n_marks,
+         len(list_filter(ws, lambda w: NOT regexp_matches(w, '[\p{L}\p{N}]'))) AS n_bare,
          CAST(coalesce(v.n, 0) AS BIGINT) AS n_repeat_words
   FROM cut c LEFT JOIN covered v USING (rid)),
 based AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
                  CASE WHEN word_chars > 0 THEN n_symbols * 1000 // word_chars ELSE 0 END AS f1,
                  CASE WHEN n_lines > 0 THEN n_dup_lines * 1000 // n_lines ELSE 0 END AS f2,
                  CASE WHEN word_chars > 0 THEN n_upper * 1000 // word_chars ELSE 0 END AS f3,
-                 CASE WHEN word_chars > 0 THEN n_marks * 1000 // word_chars ELSE 0 END AS f4
+                 CASE WHEN word_chars > 0 THEN n_marks * 1000 // word_chars ELSE 0 END AS f4,
+                 CASE WHEN n_words > 0 THEN n_bare * 1000 // n_words ELSE 0 END AS f5
           FROM stats),
-long AS (SELECT lang, source, unnest([1, 2, 3, 4]) AS feature,
-                least(unnest([f1, f2, f3, f4]), 1000) AS share FROM based WHERE NOT base_failed),
+long AS (SELECT lang, source, unnest([1, 2, 3, 4, 5]) AS feature,
+                least(unnest([f1, f2, f3, f4, f5]), 1000) AS share FROM based WHERE NOT base_failed),
 fences AS (
   SELECT grouping(lang, source) AS level, lang, source, feature, count(*) AS total,
-         quantile_disc(share, 0.75) + 3 * greatest(quantile_disc(share, 0.75) - quantile_disc(share, 0.25), 40) AS fence
+         quantile_disc(share, 0.75) + 3 * greatest(quantile_disc(share, 0.75) - quantile_disc(share, 0.25),
+                                                   CASE WHEN feature = 2 THEN 170 ELSE 40 END) AS fence
   FROM long GROUP BY GROUPING SETS ((lang, source, feature), (lang, feature), (feature))),
 best AS (
   SELECT s.lang, s.source, s.feature,
@@ -206,10 +212,12 @@ best AS (
   JOIN (SELECT * FROM fences WHERE level = 1) l ON s.lang IS NOT DISTINCT FROM l.lang AND s.feature = l.feature
   JOIN (SELECT * FROM fences WHERE level = 3) a ON s.feature = a.feature),
 wide AS (SELECT lang, source, max(fence) FILTER (feature = 1) AS m1, max(fence) FILTER (feature = 2) AS m2,
-                max(fence) FILTER (feature = 3) AS m3, max(fence) FILTER (feature = 4) AS m4
+                max(fence) FILTER (feature = 3) AS m3, max(fence) FILTER (feature = 4) AS m4,
+                max(fence) FILTER (feature = 5) AS m5
          FROM best GROUP BY lang, source)
 SELECT b.doc_id, b.n_words, b.word_chars, b.n_symbols, b.n_dup_lines, b.n_repeat_words, b.base_failed,
        NOT b.base_failed AND NOT (coalesce(f1 > m1, FALSE) OR coalesce(f2 > m2, FALSE)
-                                  OR coalesce(f3 > m3, FALSE) OR coalesce(f4 > m4, FALSE)) AS kept
+                                  OR coalesce(f3 > m3, FALSE) OR coalesce(f4 > m4, FALSE)
+                                  OR coalesce(f5 > m5, FALSE)) AS kept
 FROM based b LEFT JOIN wide w ON b.lang IS NOT DISTINCT FROM w.lang AND b.source IS NOT DISTINCT FROM w.source
 """
