@@ -184,9 +184,15 @@ def raw_column_profile(spark: SparkSession, raw_root: str, cfg: LakeConfig) -> D
 
     Raw months are grouped by identical schema (footer metadata); each group
     is one scan with one wide aggregate, unpivoted; all groups form one job.
-    A column missing from some months gets a row of type ``absent``.
+    A column missing from some months gets a row of type ``absent``. Months are
+    listed by number if the lake has one year, as ``YYYY-MM`` if it has more. A
+    landed month that cannot be read is an error.
     """
     parts = []
+    # the list is put together from numbers that sort by time
+    number, listed = ((lambda y, m: m), lambda n: n.cast("string")) if len(set(cfg.years)) == 1 else (
+        (lambda y, m: y * 100 + m),
+        lambda n: F.format_string("%04d-%02d", F.floor(n / 100).cast("int"), n % 100))
     landed = raw.landed_files(spark, raw_root)
     # footers of all sources are read side by side
     by_source = concurrently({s: (lambda s=s: raw.schema_groups(spark, raw_root, s, cfg.year_months(),
@@ -200,7 +206,7 @@ def raw_column_profile(spark: SparkSession, raw_root: str, cfg: LakeConfig) -> D
             wide = spark.read.schema(schema).parquet(*paths).agg(
                 F.count(F.lit(1)).alias("_rows"),
                 *[F.count(F.col(f"`{c}`")).alias(f"nn_{c}") for c in types])
-            month_list = ",".join(str(m) for _, m in sorted(months))
+            month_list = ",".join(str(number(y, m)) for y, m in sorted(months))
             entries = ", ".join(
                 f"'{c}', '{types[c]}', `nn_{c}`" if c in types else f"'{c}', 'absent', CAST(0 AS BIGINT)"
                 for c in all_cols)
@@ -213,7 +219,7 @@ def raw_column_profile(spark: SparkSession, raw_root: str, cfg: LakeConfig) -> D
     return (profile.groupBy("taxi_type", "column_name", "data_type")
             .agg(F.array_join(F.transform(F.array_sort(F.transform(
                      F.flatten(F.collect_list(F.split("months", ","))), lambda m: m.cast("int"))),
-                     lambda m: m.cast("string")), ",").alias("months"),
+                     listed), ",").alias("months"),
                  F.sum("rows").alias("rows"), F.sum("non_nulls").alias("non_nulls")))
 
 

@@ -169,10 +169,11 @@ def raw_scan(spark, d):
     The months disagree (counters BIGINT in months 1-2 and DOUBLE after,
     ``payment_type`` only from month 3); the union by name widens the
     counters to DOUBLE and leaves ``payment_type`` null where it is absent.
+    A landed month that cannot be read is an error.
     """
     lake = _lake(spark, d)
     scans = [scan.withColumns({"year": F.lit(y), "month": F.lit(m)})
-             for y, m, scan in raw.readable_months(spark, lake.raw_root, "yellow", CFG.year_months())]
+             for y, m, scan in raw.month_scans(spark, lake.raw_root, "yellow", CFG.year_months())]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 

@@ -139,7 +139,7 @@ def _scans(read, present: list[tuple[int, int]]) -> list:
 
 def month_scans(spark: SparkSession, raw_root: str, source: str, year_months: list[tuple[int, int]],
                 landed: dict[str, set[str]] | None = None) -> list[tuple[int, int, DataFrame]]:
-    """Scans of the landed months, for ingestion: a landed file that cannot be read is an error."""
+    """Scans of the landed months: a landed file that cannot be read is an error."""
     present = landed_months(spark, raw_root, source, year_months, landed)
     scans = _scans(lambda ym: read_raw(spark, raw_root, source, *ym), present)
     return [(y, m, df) for (y, m), df in zip(present, scans, strict=True)]
@@ -148,9 +148,9 @@ def month_scans(spark: SparkSession, raw_root: str, source: str, year_months: li
 def readable_months(spark: SparkSession, raw_root: str, source: str,
                     year_months: list[tuple[int, int]],
                     landed: dict[str, set[str]] | None = None) -> list[tuple[int, int, DataFrame]]:
-    """Scans of the months that exist and can be read, for reports on the raw files (S3).
+    """Scans of the months that exist and can be read, for ``volume_by_month`` (S3) alone.
 
-    A missing or unreadable file is skipped with a warning. Ingestion uses
+    A missing or unreadable file is skipped with a warning. All others use
     ``month_scans``, which never skips a landed file.
     """
     present = landed_months(spark, raw_root, source, year_months, landed)
@@ -160,11 +160,11 @@ def readable_months(spark: SparkSession, raw_root: str, source: str,
 
 def schema_groups(spark: SparkSession, raw_root: str, source: str,
                   year_months: list[tuple[int, int]],
-                  landed: dict[str, set[str]] | None = None
+                  landed: dict[str, set[str]] | None = None, scans=month_scans
                   ) -> list[tuple[T.StructType, list[tuple[int, int]]]]:
-    """Readable months grouped by identical file schema (footer metadata only)."""
+    """The months of ``scans`` grouped by identical file schema (footer metadata only)."""
     groups: dict[str, tuple[T.StructType, list[tuple[int, int]]]] = {}
-    for year, month, df in readable_months(spark, raw_root, source, year_months, landed):
+    for year, month, df in scans(spark, raw_root, source, year_months, landed):
         groups.setdefault(df.schema.json(), (df.schema, []))[1].append((year, month))
     return list(groups.values())
 
@@ -179,7 +179,7 @@ def volume_by_month(spark: SparkSession, raw_root: str, cfg: LakeConfig,
     """
     wanted = year_months or cfg.year_months()
     landed = landed_files(spark, raw_root)
-    by_source = concurrently({s: (lambda s=s: schema_groups(spark, raw_root, s, wanted, landed))
+    by_source = concurrently({s: (lambda s=s: schema_groups(spark, raw_root, s, wanted, landed, readable_months))
                               for s in cfg.sources})
     parts, months_read = [], []
     for source in cfg.sources:

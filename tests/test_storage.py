@@ -1,12 +1,15 @@
 """Raw landing, bronze ingest, month replace and schema evolution on a scratch lake."""
 
 import datetime as dt
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
+from strata import registry
 from strata.config import LakeConfig
 from strata.operators import bronze
+from strata.plans import profile
 from strata.sources import raw
 
 CFG = LakeConfig(months=(1, 2, 3), sources=("yellow",))
@@ -169,6 +172,42 @@ def test_corrupt_month_file_is_skipped(spark, workdir):
     assert [(y, m) for y, m, _ in months] == [(1996, 1), (1996, 2), (1996, 3)]
 
 
+@pytest.mark.parametrize("report", ["column_profile", "schema_drift", "key_column_presence", "column_overlap"])
+def test_raw_schema_reports_raise_on_an_unreadable_month(spark, workdir, report):
+    rroot = f"{workdir}/raw"
+    land(spark, rroot)
+    with open(raw.raw_path(rroot, "yellow", 1996, 4), "wb") as f:
+        f.write(b"not parquet")
+    with pytest.raises(Exception, match="CANNOT_READ_FILE_FOOTER|not a Parquet file"):
+        getattr(profile, report)(spark, rroot, LakeConfig(months=(1, 2, 3, 4), sources=("yellow",))).collect()
+    got = raw.volume_by_month(spark, rroot, CFG, [(1996, m) for m in (1, 2, 3, 4)]).collect()
+    assert {(r["month"], r["trips"]) for r in got} == {(1, 2), (2, 3), (3, 2)}
+
+
+def test_raw_scan_raises_on_an_unreadable_month(spark, workdir, monkeypatch):
+    rroot = f"{workdir}/raw"
+    land(spark, rroot)
+    monkeypatch.setattr(registry, "_lake", lambda spark, d: SimpleNamespace(raw_root=d))
+    assert registry.raw_scan(spark, rroot).count() == 7
+    with open(raw.raw_path(rroot, "yellow", 1996, 4), "wb") as f:
+        f.write(b"not parquet")
+    with pytest.raises(Exception, match="CANNOT_READ_FILE_FOOTER|not a Parquet file"):
+        registry.raw_scan(spark, rroot).collect()
+
+
+def test_schema_reports_keep_the_year(spark, workdir):
+    rroot = f"{workdir}/raw"
+    land(spark, rroot)
+    spark.read.parquet(raw.raw_path(rroot, "yellow", 1996, 3)).write.parquet(raw.raw_path(rroot, "yellow", 1997, 1))
+    two = LakeConfig(years=(1996, 1997), months=(1, 2, 3), sources=("yellow",))
+    got = {r["data_type"]: r["months"] for r in profile.column_profile(spark, rroot, two)
+           .where("column_name = 'payment_type'").collect()}
+    assert got == {"absent": "1996-01,1996-02", "bigint": "1996-03,1997-01"}
+    one = {r["data_type"]: r["months"] for r in profile.column_profile(spark, rroot, CFG)
+           .where("column_name = 'payment_type'").collect()}
+    assert one == {"absent": "1,2", "bigint": "3"}
+
+
 def test_lake_follows_its_inputs_and_a_failed_build_is_not_built(spark, workdir, monkeypatch):
     import shutil
     import tempfile
