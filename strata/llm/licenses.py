@@ -1,9 +1,9 @@
 """Licence scans by sentence rules.
 
-A text is cut into sentences, which are normalised to lower-case ASCII words. A
-sentence equal to a known one gets that one's identifier, and runs of identifiers
-are matched against ordered rules: a rule is a list of identifiers that must
-follow each other, sentence by sentence. Rules that overlap are told apart by
+A text is normalised to lower-case ASCII words. A known sentence is found wherever
+its words follow each other from one cut to another, and runs of identifiers are
+matched against ordered rules: a rule is a list of identifiers that must follow
+each other, sentence by sentence. Rules that overlap are told apart by
 their order: each known sentence is credited to the first rule that covers it, and
 a rule's licence is reported where it is credited with a sentence.
 
@@ -12,8 +12,15 @@ known are shuffled. Rules are matched by the places their sentences imply (place
 minus number in the rule), so a text of many licences costs no more than its
 known sentences. DataFrame functions only; no Python runs on the executors.
 
-A line that goes on in lower case, after no end of a sentence, is joined to the
-one before, so wrapped notices are recognised.
+Cuts are ends of sentences, and line breaks unless the next line goes on in lower
+case. Inside a known sentence any line breaks, blank lines and comment prefixes
+(``*``, ``#``, ``//``, all that is no word) may stand, but no end of a sentence that
+it does not have itself, so texts are recognised however they are wrapped. Of the
+sentences known at one place the longest counts. Nothing but the number of a list
+item may stand between two sentences that follow each other.
+
+``ORACLE_SQL`` states the sentences of ``SENTENCES`` as whole pieces between cuts; texts
+that are wrapped otherwise, or are in ``PUBLISHED_SENTENCES``, are found here alone.
 
 Defined results: null or empty text has no sentence and no licence. Repeated
 documents give one row each. Extra columns are ignored.
@@ -21,6 +28,8 @@ documents give one row each. Extra columns are ignored.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -75,12 +84,69 @@ RULES = [
 ]
 
 
-def sentences(text: Column) -> Column:
-    """Normalised sentences in order; some may be empty."""
-    unwrapped = F.regexp_replace(F.coalesce(text, F.lit("")), r"([^.!?\n])\n([a-z(])", "$1 $2")
-    ended = F.regexp_replace(unwrapped, r"([.!?])[ \t\n\r\f]+", "$1\n")
-    # pure ASCII from here, so lower() changes A-Z alone
-    return F.split(F.lower(F.regexp_replace(ended, r"[^A-Za-z0-9\n]+", " ")), "\n")
+# Sentences of further published licences and notices.
+PUBLISHED_SENTENCES = {
+    "gpl2-free": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+                 "General Public License as published by the Free Software Foundation; either version 2 of the License, "
+                 "or (at your option) any later version.",
+    "lgpl21-free": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
+                   "Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the "
+                   "License, or (at your option) any later version.",
+    "lgpl3-free": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+                  "Lesser General Public License as published by the Free Software Foundation, either version 3 of the "
+                  "License, or (at your option) any later version.",
+    "agpl3-free": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+                  "Affero General Public License as published by the Free Software Foundation, either version 3 of the "
+                  "License, or (at your option) any later version.",
+    "bsd-use": "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+               "that the following conditions are met:",
+    "bsd-source": "Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+                  "following disclaimer.",
+    "bsd-binary": "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and "
+                  "the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    "bsd-names": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+                 "promote products derived from this software without specific prior written permission.",
+    "isc-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+                 "hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "mpl2-subject": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "unlicense": "This is free and unencumbered software released into the public domain.",
+}
+# Their rules, after the others.
+PUBLISHED_RULES = [
+    ("GPL-2.0-or-later", ["gpl2-free"]),
+    ("LGPL-2.1-or-later", ["lgpl21-free"]),
+    ("LGPL-3.0-or-later", ["lgpl3-free"]),
+    ("AGPL-3.0-or-later", ["agpl3-free"]),
+    ("BSD-3-Clause", ["bsd-use", "bsd-source", "bsd-binary", "bsd-names"]),
+    ("BSD-2-Clause", ["bsd-use", "bsd-source", "bsd-binary"]),
+    ("ISC", ["isc-grant"]),
+    ("MPL-2.0", ["mpl2-subject"]),
+    ("Unlicense", ["unlicense"]),
+]
+# Marks the end of a sentence in a normalised text; the text's own become blanks.
+_END = "\x01"
+
+
+def _pattern(known: dict[str, str]) -> str:
+    """A regular expression for the known sentences in a normalised text, longest first."""
+    def one(sentence: str) -> str:
+        words = re.split(r"([^A-Za-z0-9]+)", sentence)
+        gaps = {i: rf"[ \n{_END}]++" if re.search(r"[.!?]\s", w) else r"[ \n]++" for i, w in enumerate(words) if i % 2}
+        return "".join(gaps.get(i, w.lower()) for i, w in enumerate(words)).removesuffix(gaps.get(len(words) - 2, ""))
+
+    longest = sorted({one(s) for s in known.values()}, key=lambda x: (-len(x), x))
+    return rf"(?<![^{_END}\n]) *+({'|'.join(longest)})(?= *+(?:[{_END}\n]|\z))"
+
+
+def pieces(text: Column, known: dict[str, str]) -> Column:
+    """Known sentences, each behind a K, and what stands between them, in order."""
+    clean = F.translate(F.coalesce(text, F.lit("")), _END, " ")
+    unwrapped = F.regexp_replace(clean, r"([^.!?\n])\n([a-z(])", "$1 $2")
+    ended = F.regexp_replace(unwrapped, r"([.!?])[ \t\n\r\f]+", f"$1{_END}")
+    # pure ASCII from here, so lower() changes A-Z alone, and K and E are no part of it
+    normal = F.lower(F.regexp_replace(ended, rf"[^A-Za-z0-9\n{_END}]+", " "))
+    cut = F.split(F.regexp_replace(normal, _pattern(known), "K$1E"), "(?=K)|E")
+    return F.filter(cut, lambda p: p.startswith("K") | ~p.rlike(rf"\A[ \n{_END}]*+(?:(?:[0-9]{{1,2}}|[a-z])[ \n{_END}]++)?\z"))
 
 
 def _normalised(sentence: str) -> str:
@@ -88,7 +154,8 @@ def _normalised(sentence: str) -> str:
     return " ".join("".join(c.lower() if c.isascii() and c.isalnum() else " " for c in sentence).split())
 
 
-def scan(docs: DataFrame, known: dict[str, str] = SENTENCES, rules: list[tuple[str, list[str]]] = RULES) -> DataFrame:
+def scan(docs: DataFrame, known: dict[str, str] = SENTENCES | PUBLISHED_SENTENCES,
+         rules: list[tuple[str, list[str]]] = RULES + PUBLISHED_RULES) -> DataFrame:
     """One row per document: doc_id, n_known, sentence_ids, licences (both comma-joined, in order and sorted)."""
     spark = docs.sparkSession
     table = F.broadcast(spark.createDataFrame([(_normalised(s), k) for k, s in known.items()], "sentence string, sid string"))
@@ -96,8 +163,9 @@ def scan(docs: DataFrame, known: dict[str, str] = SENTENCES, rules: list[tuple[s
         [(n, licence, sid, j, len(sids)) for n, (licence, sids) in enumerate(rules) for j, sid in enumerate(sids)],
         "rule int, licence string, sid string, j int, m int"))
     cut = docs.select(F.col("doc_id").alias("id"), text_key(F.col("text")).alias("key"),
-                      F.posexplode_outer(sentences(F.col("text"))).alias("place", "raw"))
-    hits = settled(cut.join(table, F.trim("raw") == F.col("sentence")).select("id", "key", "place", "sid").distinct())
+                      F.posexplode(pieces(F.col("text"), known)).alias("place", "raw")).where(F.col("raw").startswith("K"))
+    found_words = F.trim(F.regexp_replace(F.substring("raw", 2, 1 << 30), rf"[ \n{_END}]+", " "))
+    hits = settled(cut.withColumn("words", found_words).join(table, F.col("words") == F.col("sentence")).select("id", "key", "place", "sid").distinct())
     runs = (hits.join(parts, "sid").withColumn("start", F.col("place") - F.col("j"))
             .groupBy("id", "key", "rule", "licence", "m", "start").agg(F.count("*").alias("n")).where("n = m"))
     credit = (runs.select("id", "key", "rule", "licence", F.explode(F.expr("sequence(start, start + m - 1)")).alias("place"))

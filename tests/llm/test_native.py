@@ -1,5 +1,6 @@
 """The operators that SQL can state, against it, on odd rows and on driver tables."""
 
+import textwrap
 from collections import Counter
 
 import pytest
@@ -111,6 +112,97 @@ def test_licenses_first_rule_is_credited(spark):
     assert licenses.scan(df.limit(0)).count() == 0
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 A. N. Other
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY.
+"""
+APACHE = """Copyright 2020 A. N. Other
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD3 = BSD + """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.
+"""
+
+
+def test_licenses_published_texts_however_wrapped_and_prefixed(spark):
+    texts = {"MIT": (MIT, "mit-grant"), "Apache-2.0": (APACHE, "apache-may-not,apache-obtain,apache-as-is"),
+             "GPL-3.0-or-later": (GPL, "gpl-free,gpl-hope"), "BSD-2-Clause": (BSD, "bsd-use,bsd-source,bsd-binary"),
+             "BSD-3-Clause": (BSD3, "bsd-use,bsd-source,bsd-binary,bsd-names"), "MPL-2.0": (MPL, "mpl2-subject")}
+    forms = [lambda t: t, lambda t: t.replace("\n", "\r\n"), lambda t: "code();\n" + t,
+             lambda t: "/*\n" + "".join(f" * {x}\n" for x in t.split("\n")) + " */\n"] + [
+             lambda t, p=p: "".join(f"{p}{x}\n" for x in t.split("\n")) for p in ("# ", "// ", "    ", ";; ")]
+    cases = [(form(text), licence, ids) for licence, (text, ids) in texts.items() for form in forms]
+    df = frame(spark, [doc(i, c[0]) for i, c in enumerate(cases)])
+    got = {r["doc_id"]: (r["licences"], r["sentence_ids"]) for r in licenses.scan(df).collect()}
+    assert got == {i: c[1:] for i, c in enumerate(cases)}
+
+
+def test_licenses_each_known_sentence_at_every_width(spark):
+    known = licenses.SENTENCES | licenses.PUBLISHED_SENTENCES
+    cases = [(textwrap.fill(" ".join(s.split()), width, initial_indent=p, subsequent_indent=p, break_long_words=False), sid)
+             for sid, s in known.items() for width in (30, 60, 72) for p in ("", " * ")]
+    df = frame(spark, [doc(i, c[0]) for i, c in enumerate(cases)])
+    got = {r["doc_id"]: r["sentence_ids"] for r in licenses.scan(df).collect()}
+    assert got == {i: sid for i, (_, sid) in enumerate(cases)}
+
+
+def test_licenses_words_between_or_ends_inside_are_no_match(spark):
+    df = frame(spark, [doc(1, "All rights.\nReserved."), doc(2, "All rights are reserved."), doc(3, "Not all rights reserved."),
+                       doc(4, "no end\nAll rights reserved\nSo be it"), doc(5, "All rights reserved\nby us")])
+    assert {r["doc_id"]: r["n_known"] for r in licenses.scan(df).collect()} == {1: 0, 2: 0, 3: 0, 4: 1, 5: 0}
+    same(licenses.scan(df), licenses.ORACLE_SQL, documents=df)
+
+
 @pytest.fixture(scope="module")
 def odd_pages(spark):
     urls = [None, "", "no scheme", "http://", "http://example.org", "HTTP://EXAMPLE.ORG/es/x", "http://a.b.example.org/en/12",
