@@ -18,8 +18,8 @@ from strata.session import scratch_dir
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of no known language, or of none in the main, go; languages are learned from ``docs``."""
-    return language_id.keep(docs, language_id.train(docs))
+    """Documents of no known language, or of none in the main, go; languages, and how texts fit them, are learned from ``docs``."""
+    return language_id.keep(docs, language_id.with_limits(docs, language_id.train(docs)))
 
 
 def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

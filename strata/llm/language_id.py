@@ -10,6 +10,13 @@ log-probability of its n-grams. A switch of language between two words costs
 the spans. The document's language has most of its letters; the score is the
 share of letters it has.
 
+``with_limits`` adds to a model how well texts must fit for ``keep``. A text's fit is
+the mean log-probability of its n-grams along the best path. Of each language, the fit
+that all but ``FIT_QUANTILE`` of all its training rows reach is read from counts by
+``FIT_STEP`` (summed by Spark); ``keep`` rejects a text that is ``FIT_MARGIN`` or more below
+that of its language, unless words above that have half of its letters, and one that has
+most of its letters in scripts no language has.
+
 Texts are worked on in numpy, ``BLOCK_CHARS`` characters at a time, with the
 paths of all documents of a block advanced together. The model has a fixed size
 for each language.
@@ -39,6 +46,9 @@ BLOCK_CHARS = 3_000_000
 UNKNOWN = "und"
 # A document stays in a filtered corpus if its main language has this share of its letters.
 MIN_SHARE = 0.3
+# And if its fit is not this far below that of nearly all training rows of the language. At sf0.01 training rows
+# fit with -7.2 to -5.2, texts of other languages and letter junk with -8.7 to -13.4.
+FIT_QUANTILE, FIT_MARGIN, FIT_STEP, FIT_BINS = 0.001, 1.5, 0.05, 1000
 # Log-score of a word for a language that is no candidate.
 _BARRED = -200.0
 # First code point of each range, and its script (0: any other).
@@ -68,6 +78,13 @@ def _letters() -> np.ndarray:
     return _TABLES["letters"]
 
 
+def _scripts() -> np.ndarray:
+    """The script of each code point; built once in a worker."""
+    if "scripts" not in _TABLES:
+        _TABLES["scripts"] = _SCRIPT[np.searchsorted(_STARTS, np.arange(0x110000), "right") - 1].astype(np.int8)
+    return _TABLES["scripts"]
+
+
 def _grams(code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the words, two n-gram buckets for each place, and the letters themselves.
 
@@ -147,8 +164,10 @@ def train(docs: DataFrame) -> dict:
     grams, scripts = table[:, :BUCKETS] + 0.5, table[:, BUCKETS:]
     share = scripts / np.maximum(scripts.sum(1, keepdims=True), 1)
     candidates = (share >= MIN_SCRIPT_SHARE).T
-    candidates[~candidates.any(1)] = True
-    return {"langs": langs, "logs": np.log(grams / grams.sum(1, keepdims=True)).astype(np.float32), "candidates": candidates}
+    known = candidates.any(1)
+    candidates[~known] = True
+    return {"langs": langs, "logs": np.log(grams / grams.sum(1, keepdims=True)).astype(np.float32), "candidates": candidates,
+            "known": known}
 
 
 def _word_scores(model: dict, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -203,21 +222,30 @@ def _best_paths(scores: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return labels
 
 
-def _labelled(model: dict, texts: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """Of each text in order: its index, and starts, ends and labels of its words."""
+def _scored(model: dict, texts: list[str]) -> Iterator[tuple]:
+    """Of each text in order: its index, and of its words starts, ends, labels, scores of the labels, letters of unknown scripts."""
     for block in _blocks(texts):
         joined = "\n".join(texts[i] for i in block)
         parts, offset = [], 0
         for piece in _pieces(joined):
-            s, e, x = _word_scores(model, _codes(piece))
-            parts.append((s + offset, e + offset, x))
+            code = _codes(piece)
+            s, e, x = _word_scores(model, code)
+            unknown = np.concatenate(([0], np.cumsum(~model["known"][_scripts()[code]])))
+            parts.append((s + offset, e + offset, x, unknown[e] - unknown[s]))
             offset += len(piece)
-        starts, ends, scores = (np.concatenate([p[k] for p in parts]) for k in range(3))
+        starts, ends, scores, unknown = (np.concatenate([p[k] for p in parts]) for k in range(4))
         begins = np.cumsum([0] + [len(texts[i]) + 1 for i in block])
         bounds = np.searchsorted(starts, begins)
         labels = _best_paths(scores, bounds)
+        own = scores[np.arange(len(scores)), labels] if model["langs"] else np.zeros(len(scores))
         for i, text_at, a, b in zip(block, begins.tolist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=False):
-            yield i, starts[a:b] - text_at, ends[a:b] - text_at, labels[a:b]
+            yield i, starts[a:b] - text_at, ends[a:b] - text_at, labels[a:b], own[a:b], unknown[a:b]
+
+
+def _labelled(model: dict, texts: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Of each text in order: its index, and starts, ends and labels of its words."""
+    for found in _scored(model, texts):
+        yield found[:4]
 
 
 def _verdict(langs: list[str], starts, ends, labels) -> tuple[str, float]:
@@ -228,6 +256,49 @@ def _verdict(langs: list[str], starts, ends, labels) -> tuple[str, float]:
     return langs[best], float(letters[best] / letters.sum())
 
 
+def _fit(starts, ends, own) -> float:
+    """Mean log-probability of the n-grams of a text's words: two end at each letter and behind the last."""
+    return float(own.sum() / (2 * (ends - starts + 1)).sum())
+
+
+def with_limits(docs: DataFrame, model: dict) -> dict:
+    """``model`` with the least fit of each language, from all its training rows in ``docs``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            langs, found = batch.column(1).to_pylist(), []
+            for i, starts, ends, _, own, _ in _scored(model, batch.column(0).to_pylist()):
+                if len(starts):
+                    found.append((langs[i], min(int(-_fit(starts, ends, own) / FIT_STEP), FIT_BINS)))
+            yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.string()),
+                                              pa.array([f[1] for f in found], pa.int64())], names=["lang", "bin"])
+
+    rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~is_held_out(F.col("doc_id")))
+    fits = map_batches(rows.select(F.col("text").cast("string"), F.col("lang").cast("string")), run, "lang string, bin long")
+    counts = np.zeros((len(model["langs"]), FIT_BINS + 1), np.int64)
+    place = {lang: i for i, lang in enumerate(model["langs"])}
+    # at most FIT_BINS + 1 rows a language
+    for lang, fit_bin, n in fits.groupBy("lang", "bin").agg(F.count("*").alias("n")).collect():
+        counts[place[lang], fit_bin] = n
+    below = counts.sum(1, keepdims=True) - counts.cumsum(1)  # rows that fit worse than each bin
+    reached = (below <= FIT_QUANTILE * counts.sum(1, keepdims=True)).argmax(1)
+    return model | {"limits": -(reached + 1) * FIT_STEP - FIT_MARGIN}
+
+
+def _fits(model: dict, starts, ends, labels, own, unknown) -> bool:
+    """Whether a text with words fits its language, if the model tells how well it must."""
+    if "limits" not in model:
+        return True
+    letters = ends - starts
+    best = int(np.bincount(labels, weights=letters, minlength=len(model["langs"])).argmax())
+    limit = model["limits"][best]
+    # a short text with a key or a number in it stays by its other words
+    fitting = letters[own / (2 * (letters + 1)) >= limit].sum()
+    return 2 * unknown.sum() <= letters.sum() and (_fit(starts, ends, own) >= limit or 2 * fitting >= letters.sum())
+
+
 def _spans(langs: list[str], starts, ends, labels) -> list[dict]:
     """Runs of one label as (start, end, lang), in characters of the text."""
     if not len(starts) or not langs:
@@ -262,15 +333,20 @@ def identify(docs: DataFrame, model: dict, with_spans: bool = False) -> DataFram
 
 
 def keep(docs: DataFrame, model: dict, min_share: float = MIN_SHARE) -> DataFrame:
-    """The rows of ``docs`` in a known language that has at least ``min_share`` of their letters, unchanged."""
+    """The rows of ``docs`` in a known language that has at least ``min_share`` of their letters, unchanged.
+
+    A model ``with_limits`` also rejects texts that do not fit their language.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            verdicts = [_verdict(model["langs"], *w[1:])
-                        for w in _labelled(model, [t or "" for t in batch.column(place).to_pylist()])]
-            yield batch.filter(pa.array([lang != UNKNOWN and score >= min_share for lang, score in verdicts], pa.bool_()))
+            kept = []
+            for _, *w in _scored(model, [t or "" for t in batch.column(place).to_pylist()]):
+                lang, score = _verdict(model["langs"], *w[:3])
+                kept.append(bool(lang != UNKNOWN and score >= min_share and _fits(model, *w)))
+            yield batch.filter(pa.array(kept, pa.bool_()))
 
     return map_batches(docs, run, docs.schema)

@@ -44,6 +44,20 @@ def test_language_stage(stages):
     assert ids(after) == ids(verdicts.where("lang_pred != 'und' and score >= 0.3"))
 
 
+def test_language_stage_rejects_what_was_never_learned(spark):
+    docs = read_table(spark, SF, "documents")
+    foreign = ["漢字學習中文文本 天氣很好 我們今天去公園", "это большой дом и много хороших слов", "αυτό είναι ένα μεγάλο σπίτι",
+               "gdzie jest najbliższa stacja kolejowa proszę pana", "Pohjois-Suomessa sataa lunta ja järvet ovat jäässä koko talven",
+               "wkjq zxvq pqkx jjqz wvkx qqzx kkwj", "漢字學習中文文本天氣很好 the and"]
+    ids_of = range(10**9, 10**9 + len(foreign))
+    rows = spark.createDataFrame([(i, t, "xx", "s", len(t)) for i, t in zip(ids_of, foreign)], docs.schema)
+    model = language_id.with_limits(docs, language_id.train(docs))
+    assert language_id.keep(rows, model).count() == 0
+    assert language_id.identify(rows, model).where("lang_pred != 'und' and score >= 0.3").count() == len(foreign)
+    before = docs.join(language_id.identify(docs, model).where("lang_pred != 'und' and score >= 0.3"), "doc_id", "left_semi")
+    assert ids(language_id.keep(docs, model)) == ids(before)
+
+
 def test_quality_stage(stages):
     before, after = stages["quality_rules"]
     rows, names = oracle(quality_rules.ORACLE_SQL, documents=before)
