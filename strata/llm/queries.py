@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import os
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import (bpe, decontaminate, language_id, licenses, ngram_jaccard, quality_rda, quality_rules, sharding,
-                        url_rules, warc_revisit)
+from strata.llm import (bpe, decontaminate, language_id, licenses, ngram_jaccard, periodic_runs, quality_rda, quality_rules,
+                        sharding, spelling, token_file, url_rules, warc_revisit)
 from strata.llm.common import read_table
+from strata.session import scratch_dir
 
-# Tokenizer files are never part of this repository; the folder is a parameter.
-TOKENIZER_DIR = os.environ.get("STRATA_TOKENIZERS", "/opt/tokenizers")
-TOKENIZER = f"{TOKENIZER_DIR}/byte_bpe_50k.json"
+# Tokenizer files are never part of this repository; the path is a parameter.
+TOKENIZER = os.environ.get("STRATA_TOKENIZER") or public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op1_warc_revisit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,10 +58,22 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(read_table(spark, sf_dir, "documents"))
 
 
+def op11_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_file.digest(token_file.write(read_table(spark, sf_dir, "documents"), TOKENIZER, scratch_dir(spark, "token-file")))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.detect(read_table(spark, sf_dir, "documents"), rewrite=True)
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group(read_table(spark, sf_dir, "documents"), drop_one_in=spelling.DROP_ONE_IN)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_warc_revisit, op2_bpe, op3_ngram_jaccard, op4_quality_rda, op5_url_rules, op6_language_id, op7_sharding,
-    op8_decontaminate, op9_licenses, op10_quality_rules)}
-# op2, op4, op6 and op7 are beyond SQL (tokenizer, trained models, crc32); the tests hold them against brute force.
+    op8_decontaminate, op9_licenses, op10_quality_rules, op11_token_file, op12_periodic_runs, op13_spelling)}
+# The others are beyond SQL (tokenizer, trained models, crc32); the tests hold them against brute force.
 ORACLE_SQL = {
     "op1_warc_revisit": warc_revisit.ORACLE_SQL, "op3_ngram_jaccard": ngram_jaccard.ORACLE_SQL,
     "op5_url_rules": url_rules.ORACLE_SQL, "op8_decontaminate": decontaminate.ORACLE_SQL,
