@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +40,25 @@ def map_batches(df: DataFrame, function, schema) -> DataFrame:
     return df.mapInArrow(function, schema)
 
 
+def slices(batch: pa.RecordBatch, column: int, max_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Neighbouring rows of a batch with about ``max_bytes`` of text in a column; a longer text is a slice of its own.
+
+    A batch holds up to 10,000 whole texts; only a slice of it is turned into Python objects at a time.
+    """
+    text = batch.column(column)
+    if not len(batch):
+        return
+    sizes = np.diff(np.frombuffer(text.buffers()[1], np.int32, len(batch) + 1, text.offset * 4)) if pa.types.is_string(
+        text.type) else np.array([len(x or "") for x in text.to_pylist()])
+    start = size = 0
+    for i, more in enumerate(sizes.tolist()):
+        if size and size + more > max_bytes:
+            yield batch.slice(start, i - start)
+            start, size = i, 0
+        size += more
+    yield batch.slice(start)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table, read by Spark from whatever store the path names."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

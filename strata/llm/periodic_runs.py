@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import map_batches
+from strata.llm.common import map_batches, slices
 
 LEAST, REPEATS = 24, 3
 WINDOW = 8
@@ -305,18 +305,6 @@ def _block_rows(doc_ids: list[int | None], texts: list[str | None], least: int,
                  if i in stretches else none) for i in range(len(texts))]
 
 
-def _blocks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    start = size = 0
-    for i, text in enumerate(texts):
-        more = len(text or "")
-        if size and size + more > BLOCK_BYTES:
-            yield start, i
-            start, size = i, 0
-        size += more
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def detect(docs: DataFrame, least: int = LEAST, repeats: int = REPEATS, rewrite: bool = False) -> DataFrame:
     """One row per document: its runs counted, the most periodic one, and digests of all runs and of the collapsed text.
 
@@ -330,11 +318,10 @@ def detect(docs: DataFrame, least: int = LEAST, repeats: int = REPEATS, rewrite:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in _blocks(texts):
-                rows = _block_rows(ids[a:b], texts[a:b], least, repeats, rewrite)
+            for block in slices(batch, 1, BLOCK_BYTES):
+                rows = _block_rows(block.column(0).to_pylist(), block.column(1).to_pylist(), least, repeats, rewrite)
                 columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(ids[a:b], pa.int64()), *columns], names=names)
+                yield pa.RecordBatch.from_arrays([block.column(0), *columns], names=names)
 
     return map_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run,
                        "doc_id long, n_runs long, start long, length long, period long, exponent_milli long, "

@@ -13,8 +13,11 @@ first id, number of ids).
 Texts are encoded with the tokenizers library. A byte-level vocabulary never
 joins characters over the start of a word, so a text is cut in front of blanks
 where that changes no id, each distinct part is encoded once and kept in a
-cache bounded in bytes. Other tokenizers, and texts that hold a special token,
-go to the library whole.
+cache bounded in bytes: two halves, of which the older one is dropped when the
+newer is full, so that parts in use stay. A new part of Latin letters and signs is
+cut by the vocabulary's pattern and its pieces go to the library's model; any
+other part, other tokenizers, and texts that hold a special token, go to the
+library whole.
 
 A task names its files anew each time it runs and only the files named in the
 manifest, which Spark commits, are read; what a lost or repeated task leaves is
@@ -36,75 +39,112 @@ import os
 import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import map_batches
+from strata.llm.bpe import PATTERN, byte_alphabet
+from strata.llm.common import map_batches, slices
 
 SEQUENCE = 2048
 BATCH = 64
 END_ID = 0
-# Bytes of text encoded at a time, and bytes that the parts kept in a worker may take.
-BLOCK_BYTES = 1 << 19
-CACHE_BYTES = 48 << 20
+# Bytes of text encoded at a time, and bytes that each half of the parts kept in a worker may take.
+BLOCK_BYTES = 1 << 20
+CACHE_BYTES = 72 << 20
 # What an entry of the cache takes besides its text and ids.
-_ENTRY_BYTES = 260
+_ENTRY_BYTES = 220
 # A blank between white space, or at the end behind some: the cut in front of it could part one piece of white space.
 _UNSAFE = re.compile(r"\s (?:\s|$)")
 _SAFE_CUT = re.compile(r"(?<=\S)(?= )")
+# Below this, what is a letter is the same in every version of Unicode.
+_LATIN = "\u0250"
+_BYTES = byte_alphabet()
+_BLANK = _BYTES[32]
+# Signs that are a piece of their own behind a letter.
+_STOPS = tuple(".,;:!?)")
 
 _MANIFEST = "part int, file string, documents string, n_documents long, n_ids long"
 
 
+class _Parts(dict):
+    """Packed ids of parts of texts; an unknown part is encoded when it is asked for."""
+
+    def __init__(self, tokenizer, code: str):
+        super().__init__()
+        self.tokenizer, self.model, self.code, self.find = tokenizer, tokenizer.model, code, regex.compile(PATTERN).findall
+        self.older: dict[str, bytes] = {}
+        self.used = 0
+
+    def __missing__(self, part: str) -> bytes:
+        if (ids := self.older.get(part)) is None:
+            ids = self._encoded(part)
+        self[part] = ids
+        self.used += len(part) + len(ids) + _ENTRY_BYTES
+        return ids
+
+    def _encoded(self, part: str) -> bytes:
+        if not part.isascii() and max(part) >= _LATIN:
+            return self.whole([part])[0]
+        if not (part[1:].isalpha() and (part[0] == " " or part[0].isalpha())):
+            if part[-1:] in _STOPS and part[1:-1].isalpha() and (part[0] == " " or part[0].isalpha()):
+                return self[part[:-1]] + self[part[-1]]
+            pieces = self.find(part)
+            if len(pieces) != 1:
+                return b"".join([self[p] for p in pieces])
+        # one piece; printable ASCII but the blank stands for itself
+        spelt = part.replace(" ", _BLANK) if part.isascii() and part.isprintable() else part.encode().decode("latin-1").translate(_BYTES)
+        return array(self.code, [t.id for t in self.model.tokenize(spelt)]).tobytes()
+
+    def whole(self, texts: list[str]) -> list[bytes]:
+        return [array(self.code, e.ids).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    def aged(self, limit: int) -> "_Parts":
+        """This, or an empty one with this as its older half if it holds over ``limit`` bytes."""
+        if self.used <= limit:
+            return self
+        new = _Parts(self.tokenizer, self.code)
+        self.older = {}
+        new.older = self
+        return new
+
+
 class Encoder:
     """Texts to arrays of ids, as ``Tokenizer.encode(text, add_special_tokens=False)`` gives them."""
 
     def __init__(self, spec: str, cache_bytes: int = CACHE_BYTES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task on a core
         from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_str(spec)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        tokenizer = Tokenizer.from_str(spec)
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
         spec = json.loads(spec)
         before = spec.get("pre_tokenizer") or {}
         self.by_parts = (before.get("type") == "ByteLevel" and before.get("use_regex", True) and spec.get("normalizer") is None
                          and not before.get("add_prefix_space"))
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
-        self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.cache_bytes, self.used, self.known = cache_bytes, 0, {}
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.type).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        self.type = np.dtype("<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.parts, self.cache_bytes = _Parts(tokenizer, self.type.char), cache_bytes
 
-    def _parts(self, text: str) -> list[str] | None:
+    def _cut(self, text: str) -> list[str] | None:
         """The text cut in front of blanks; None if it must stay whole."""
         if not self.by_parts or any(t in text for t in self.special):
             return None
-        if _UNSAFE.search(text):
+        if "\0" in text or _UNSAFE.search(text):
             return _SAFE_CUT.split(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + part for part in rest]]
+        return text.replace(" ", "\0 ").split("\0")
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [self._parts(t) for t in texts]
-        parts: set[str] = set()
-        for found in cut:
-            parts.update(found or ())
-        if self.used > self.cache_bytes:
-            self.known, self.used = {}, 0
-        known = self.known
-        new = [p for p in parts if p not in known]
-        for part, ids in zip(new, self._whole(new), strict=True):
-            known[part] = ids
-            self.used += len(part) + len(ids) + _ENTRY_BYTES
-        out = [b"".join(map(known.__getitem__, found)) if found is not None else self._whole([text])[0]
-               for text, found in zip(texts, cut, strict=True)]
-        return [np.frombuffer(ids, self.type) for ids in out]
+        self.parts = self.parts.aged(self.cache_bytes)
+        ids = self.parts.__getitem__
+        out = [b"".join(map(ids, cut)) if (cut := self._cut(text)) is not None else self.parts.whole([text])[0] for text in texts]
+        return [np.frombuffer(x, self.type) for x in out]
 
 
 _ENCODER: dict[str, Encoder] = {}
@@ -226,19 +266,6 @@ class SequenceFile:
             yield self.rows.get_batch(k)
 
 
-def _blocks(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Neighbouring rows of about ``BLOCK_BYTES`` of text; a longer text is a block of its own."""
-    sizes = np.diff(np.frombuffer(batch.column(1).buffers()[1], np.int32, len(batch) + 1, batch.column(1).offset * 4))
-    start = size = 0
-    for i, more in enumerate(sizes.tolist()):
-        if size and size + more > BLOCK_BYTES:
-            yield batch.slice(start, i - start)
-            start, size = i, 0
-        size += more
-    if len(batch) > start:
-        yield batch.slice(start)
-
-
 def write(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = END_ID, sequence: int = SEQUENCE,
           batch: int = BATCH) -> DataFrame:
     """Writes the files below ``folder`` and returns the committed manifest.
@@ -252,7 +279,7 @@ def write(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = END_I
         encoder, out, part = _encoder(shared.value), None, 0
         try:
             for rows in batches:
-                for block in _blocks(rows):
+                for block in slices(rows, 1, BLOCK_BYTES):
                     if out is None:
                         part = block.column(2)[0].as_py()
                         out = SequenceWriter(f"{folder}/data", f"part-{part:06d}-{uuid.uuid4().hex}", encoder.type, sequence, batch)

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 
 from strata.llm import periodic_runs, spelling, token_file
-from strata.llm.common import read_table
+from strata.llm.common import read_table, slices
 from strata.llm.queries import TOKENIZER
 from strata.session import scratch_dir
 
@@ -201,8 +201,10 @@ def test_periodic_blocks_and_trees_of_any_size(periodic_docs, monkeypatch):
     ids, texts = [r[0] for r in rows], [r[1] for r in rows]
     whole = periodic_runs._block_rows(ids, texts, 24, 3, True)
     monkeypatch.setattr(periodic_runs, "TREE_WORDS", 30)
-    monkeypatch.setattr(periodic_runs, "BLOCK_BYTES", 300)
-    assert [r for a, b in periodic_runs._blocks(texts) for r in periodic_runs._block_rows(ids[a:b], texts[a:b], 24, 3, True)] == whole
+    batch = pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.string())], names=["doc_id", "text"])
+    blocks = list(slices(batch.slice(3), 1, 300))
+    assert len(blocks) > 20 and sum(map(len, blocks)) == len(ids) - 3
+    assert [r for b in blocks for r in periodic_runs._block_rows(b[0].to_pylist(), b[1].to_pylist(), 24, 3, True)] == whole[3:]
 
 
 def test_a_very_long_periodic_text():
