@@ -10,8 +10,9 @@ pass over the ranks is enough. A stale position is known by its symbols.
 
 The vocabulary file is read on the driver and sent to the tasks as one
 broadcast of fixed size (50,000 merges). Memory in a task is bounded by the
-block (``BLOCK_CHARS``) and the piece cache (``CACHE_PIECES``, emptied when
-full); neither changes a result.
+block (``BLOCK_BYTES``, of which only the distinct pieces are kept as strings) and
+the piece cache (``CACHE_BYTES``, emptied when full); neither changes a result.
+The codec goes when its task ends, so a reused Python worker keeps nothing of it.
 
 Defined results: null text encodes as empty: no tokens, the digests of empty
 input. Repeated rows and ids give one row each. Extra columns are ignored.
@@ -23,17 +24,21 @@ import hashlib
 import heapq
 import json
 import struct
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from strata.llm.common import map_batches
+from strata.llm.common import map_batches, slices
 
-BLOCK_CHARS = 1 << 23
-CACHE_PIECES = 500_000
+BLOCK_BYTES = 1 << 22
+CACHE_BYTES = 64 << 20
+# What a cached piece takes besides its text and ids.
+_ENTRY_BYTES = 220
 # Over the number of ids of any vocabulary read here; a pair is one integer.
 VOCAB_BITS = 1 << 24
 # Symbols that are no ids: between pieces, and merged into the one before.
@@ -80,7 +85,7 @@ class PairIndex:
 
     def _file(self, index: dict[int, list], active: list[int], left, right, positions) -> None:
         """Put the positions of the pairs that have a rank into that rank's list."""
-        keys = left * VOCAB_BITS + right
+        keys = left.astype(np.int64) * VOCAB_BITS + right
         slot = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         hit = (self.keys[slot] == keys) & (left >= 0) & (right >= 0)
         if not hit.any():
@@ -101,16 +106,19 @@ class PairIndex:
         sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
         # one border after each piece, and one in front, that no pair crosses
         size = int(sizes.sum()) + len(pieces) + 1
-        symbols = np.full(size, BORDER, np.int64)
+        symbols = np.full(size, BORDER, np.int32)
         ends = np.cumsum(sizes + 1)
         inside = np.ones(size, bool)
         inside[0] = False
         inside[ends] = False
         symbols[inside] = self.byte_ids[np.frombuffer(b"".join(pieces), np.uint8)]
-        after, before = np.arange(1, size + 1), np.arange(-1, size - 1)
+        after, before = np.arange(1, size + 1, dtype=np.int32), np.arange(-1, size - 1, dtype=np.int32)
         index: dict[int, list] = {}
         active: list[int] = []
-        self._file(index, active, symbols[:-1], symbols[1:], np.arange(size - 1))
+        step = 1 << 19  # the pairs of the whole block are filed part by part
+        for at in range(0, size - 1, step):
+            to = min(at + step, size - 1)
+            self._file(index, active, symbols[at:to], symbols[at + 1:to + 1], np.arange(at, to, dtype=np.int32))
         while active:
             rank = heapq.heappop(active)
             left, right, joined = self.pair_of_rank[rank]
@@ -146,8 +154,8 @@ class PairIndex:
 class Codec:
     """Encodes texts to packed little-endian 32-bit ids and decodes them again."""
 
-    def __init__(self, model: dict, cache_pieces: int = CACHE_PIECES):
-        self.index, self.cache_pieces = PairIndex(model), cache_pieces
+    def __init__(self, model: dict, cache_bytes: int = CACHE_BYTES):
+        self.index, self.cache_bytes, self.used = PairIndex(model), cache_bytes, 0
         self.find = regex.compile(PATTERN).findall
         self.special = model["special"]
         names = sorted(self.special, key=len, reverse=True)
@@ -169,48 +177,24 @@ class Codec:
         return out
 
     def encode_block(self, texts: list[str]) -> list[bytes]:
-        cut = [self._pieces(t) for t in texts]
-        new: set[str] = set()
-        for pieces in cut:
-            new.update(pieces)
-        if len(self.packed) + len(new) > self.cache_pieces:
-            self.packed = {}
+        number: defaultdict[str, int] = defaultdict(count().__next__)  # each distinct piece has a number
+        cut = [np.fromiter(map(number.__getitem__, self._pieces(t)), np.int32) for t in texts]
+        if self.used > self.cache_bytes:
+            self.packed, self.used = {}, 0
         known = self.packed
         # a special token is one piece only where the cut made it one; its text never comes out of the pattern whole
-        missing = [p for p in new if p not in known and p not in self.special]
-        for piece, ids in zip(missing, self.index.encode([p.encode() for p in missing]), strict=True):
-            known[piece] = ids
+        missing = [p for p in number if p not in known and p not in self.special]
+        known.update(zip(missing, self.index.encode([p.encode() for p in missing]), strict=True))
+        self.used += sum(len(p) + len(known[p]) for p in missing) + _ENTRY_BYTES * len(missing)
         known.update(self.special_packed)
-        return [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
+        packed = [known[p] for p in number]
+        return [b"".join(map(packed.__getitem__, pieces.tolist())) for pieces in cut]
 
     def decode(self, packed: bytes) -> str:
         tokens = self.tokens
         return b"".join([tokens[i] for i in np.frombuffer(packed, "<u4").tolist()]).decode("utf-8", errors="replace")
 
 
-_CODECS: dict[int, tuple[dict, Codec]] = {}
-
-
-def _codec(model: dict) -> Codec:
-    """The codec of a broadcast model; a reused Python worker keeps it and its piece cache."""
-    if id(model) not in _CODECS:
-        _CODECS.clear()
-        _CODECS[id(model)] = (model, Codec(model))
-    return _CODECS[id(model)][1]
-
-
-def _blocks(texts: list[str]) -> Iterator[list[str]]:
-    block, size = [], 0
-    for text in texts:
-        if block and size + len(text) > BLOCK_CHARS:
-            yield block
-            block, size = [], 0
-        block.append(text)
-        size += len(text)
-    if block:
-        yield block
-
-
 def encode(docs: DataFrame, tokenizer_path: str, with_ids: bool = False) -> DataFrame:
     """One row per document: doc_id, n_tokens, ids_sha256, decoded_sha256, and the ids themselves if asked for."""
     model = docs.sparkSession.sparkContext.broadcast(load(tokenizer_path))
@@ -219,13 +203,11 @@ def encode(docs: DataFrame, tokenizer_path: str, with_ids: bool = False) -> Data
     digest = lambda b: hashlib.sha256(b).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(model.value)
+        codec = Codec(model.value)
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            done = 0
-            for block in _blocks(texts):
-                packed = codec.encode_block(block)
-                columns = [batch.column(0).slice(done, len(block)).cast(id_type),
+            for block in slices(batch, 1, BLOCK_BYTES):
+                packed = codec.encode_block([t or "" for t in block.column(1).to_pylist()])
+                columns = [block.column(0).cast(id_type),
                            pa.array([len(p) // 4 for p in packed], pa.int64()),
                            pa.array([digest(p) for p in packed], pa.string()),
                            pa.array([digest(codec.decode(p).encode()) for p in packed], pa.string())]
@@ -233,7 +215,6 @@ def encode(docs: DataFrame, tokenizer_path: str, with_ids: bool = False) -> Data
                     columns.append(pa.array([np.frombuffer(p, "<u4").astype(np.int64) for p in packed],
                                             pa.list_(pa.int64())))
                 yield pa.RecordBatch.from_arrays(columns, names=names)
-                done += len(block)
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<long>" * with_ids
     return map_batches(docs.select(docs["doc_id"].cast("long"), docs["text"].cast("string")), run, schema)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 import tempfile
 import zipfile
 from collections.abc import Iterator
@@ -14,9 +16,11 @@ from pyspark.sql import functions as F
 
 from strata.session import shared_root
 
-# Rows a side may have to be broadcast; counted before the hint is given. A row
-# of the tables sent here is a few dozen bytes, so this is at most about 20 MB.
+# Rows and bytes a side may have to be broadcast; both are counted before the hint is given.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 32 << 20
+# Rows of one group of copies that a task puts out from one row.
+COPIES = 1 << 16
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # The ASCII white space of the contracts, and what separates words there.
@@ -26,6 +30,23 @@ SPACE = r"[\x20\x09-\x0D]+"
 _SHIPPED: set[str] = set()
 
 
+def release() -> None:
+    """Give memory that a task no longer uses back to the system; a reused Python worker would keep it."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform.startswith("linux") and (trim := getattr(ctypes.CDLL(None), "malloc_trim", None)):
+        trim(0)
+
+
+def released(function):
+    """``function`` over the batches of a task, with its memory released when the task ends."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            release()
+    return run
+
+
 def map_batches(df: DataFrame, function, schema) -> DataFrame:
     """``df.mapInArrow``, with this package sent to the executors once per application."""
     context = df.sparkSession.sparkContext
@@ -37,7 +58,7 @@ def map_batches(df: DataFrame, function, schema) -> DataFrame:
                 out.write(source, source.relative_to(package.parent))
         context.addPyFile(str(archive))
         _SHIPPED.add(context.applicationId)
-    return df.mapInArrow(function, schema)
+    return df.mapInArrow(released(function), schema)
 
 
 def slices(batch: pa.RecordBatch, column: int, max_bytes: int) -> Iterator[pa.RecordBatch]:
@@ -92,12 +113,43 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` (already settled) with a broadcast hint if its counted rows allow it.
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` (already settled) with a broadcast hint if its counted rows, and the bytes in them, allow it.
 
     A larger side is left to a shuffle join, which AQE splits where keys are hot.
     """
-    return F.broadcast(df) if df.count() <= max_rows else df
+    if df.count() > max_rows:
+        return df
+    wide = [f.name for f in df.schema if f.dataType.typeName() in ("string", "binary", "array", "map", "struct")]
+    if wide:
+        spelt = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in wide])))
+        if (df.agg(F.sum(spelt)).first()[0] or 0) > max_bytes:
+            return df
+    return F.broadcast(df)
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names like these for helper columns that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def repeated(df: DataFrame, copies: str, chunk: int = COPIES) -> DataFrame:
+    """Each row as often as its column ``copies`` says, without that column.
+
+    A row of many copies becomes rows of at most ``chunk`` each, spread over tasks before they are
+    multiplied, so no array or task holds all copies of a hot row.
+    """
+    part = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(copies) - 1) / chunk).cast("long")))
+    parts = df.withColumn("_part", part).withColumn("_row", F.monotonically_increasing_id()).repartition("_row")
+    left = F.least(F.lit(chunk).cast("long"), F.col(copies) - F.col("_part") * chunk).cast("int")
+    return parts.withColumn("_each", F.explode(F.array_repeat(F.lit(True), left))).drop("_part", "_row", "_each", copies)
 
 
 def is_held_out(doc_id: Column) -> Column:

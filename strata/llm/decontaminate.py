@@ -2,12 +2,14 @@
 
 Benchmark texts are normalised to words and cut into windows of ``WINDOW``
 words (a shorter item is one window). The windows, keyed by a 64-bit hash of
-their first ``HEAD`` words, are the broadcast side of a hash join. Each
-document's places are hashed the same way inside its row, exploded and probed
-in the same stage, and a hash match is verified on all words of the window.
-Only verified hits, and one slim row a document, are shuffled. If there are
-more test windows than ``BLOCK_WINDOWS``, they are probed in blocks of about
-that size, so the broadcast stays bounded whatever the benchmark.
+all their words, are the broadcast side of a hash join. Each document's places
+are hashed the same way inside its row, exploded and probed in the same stage,
+and a hash match is verified on the words of the window, so test windows that
+begin alike cost no more than others. Only verified hits, and one slim row a
+document, are shuffled. If there are more test windows than ``BLOCK_WINDOWS``, or
+they have more than ``BLOCK_BYTES``, they are probed in blocks of about that
+size, dealt by window and item, so the broadcast stays bounded whatever the
+benchmark.
 
 DataFrame functions only; no Python runs on the executors.
 
@@ -26,14 +28,13 @@ from math import ceil
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import broadcast_if_small, lower_ascii, settled, split_words, text_key
+from strata.llm.common import broadcast_if_small, fresh, lower_ascii, repeated, settled, split_words, text_key
 
 WINDOW = 13
-# Distinct test windows broadcast at a time, about 120 bytes each.
+# Distinct test windows broadcast at a time, and bytes in them.
 BLOCK_WINDOWS = 250_000
+BLOCK_BYTES = 32 << 20
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-# Words of a window that its hash set key covers; the window itself is compared on a match.
-HEAD = 3
 # Key of the row that marks a document's end.
 END = 0
 # A document is contaminated when at least 1 word in this many is hit.
@@ -47,19 +48,18 @@ def words_of(text: Column) -> Column:
         F.transform(split_words(text, SEPARATORS), lower_ascii))
 
 
-def _heads(words: Column, length: int) -> Column:
-    """For each place in ``words`` a hash of the first ``min(HEAD, length)`` words there.
+def _hashes(words: Column, length: int) -> Column:
+    """For each place in ``words`` a hash of the ``length`` words there.
 
     ``words`` must be a stored column that the same projection also names
     elsewhere: Spark merges a column named once into the lambda, and would
     cut the text again for each word.
     """
-    ahead = range(1, min(HEAD, length))
-    return F.transform(words, lambda w, i: F.xxhash64(w, *[F.get(words, i + k) for k in ahead]))
+    return F.transform(words, lambda w, i: F.xxhash64(w, *[F.get(words, i + k) for k in range(1, length)]))
 
 
 def test_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Distinct (item, len, head, gram) over all benchmark texts; ``gram`` is the window's words."""
+    """Distinct (item, len, hash, gram) over all benchmark texts; ``gram`` is the window's words."""
     items = (benchmark.select(F.col("item_id").cast("string").alias("item"), words_of(F.col("text")).alias("ws"))
              .select("item", "ws", F.size("ws").alias("n"))
              .where("n > 0")
@@ -67,8 +67,8 @@ def test_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     starts = F.explode(F.sequence(F.lit(1), F.col("n") - F.col("len") + 1))
     cut = (items.select("item", "ws", "len", starts.alias("i"))
            .select("item", "len", F.slice("ws", F.col("i"), F.col("len")).alias("w")))
-    head = F.xxhash64(*[F.get("w", F.lit(k)) for k in range(HEAD)])
-    return cut.select("item", "len", head.alias("head"), F.array_join("w", " ").alias("gram")).distinct()
+    whole = F.xxhash64(*[F.get("w", F.lit(k)) for k in range(window)])  # words that a short window lacks add nothing
+    return cut.select("item", "len", whole.alias("hash"), F.array_join("w", " ").alias("gram")).distinct()
 
 
 def _probe(docs: DataFrame, grams: DataFrame, length: int, mark_docs: bool) -> DataFrame:
@@ -77,12 +77,12 @@ def _probe(docs: DataFrame, grams: DataFrame, length: int, mark_docs: bool) -> D
     With ``mark_docs`` every document also gives one row that is no hit
     (start and len null), so documents without hits are seen in the same pass.
     """
-    heads = _heads(F.col("ws"), length)
+    hashes = _hashes(F.col("ws"), length)
     end = F.array(F.lit(END).cast("long")) if mark_docs else F.array().cast("array<bigint>")
     # outer: else Spark infers a filter on the array and builds everything under it twice
-    places = (docs.select("id", "key", "ws", F.size("ws").alias("n"), F.concat(heads, end).alias("heads"))
-              .select("id", "key", "ws", "n", F.posexplode_outer("heads").alias("start", "head")))
-    mine = grams.where(F.col("len") == length).select("head", "gram", "item")
+    places = (docs.select("id", "key", "ws", F.size("ws").alias("n"), F.concat(hashes, end).alias("hashes"))
+              .select("id", "key", "ws", "n", F.posexplode_outer("hashes").alias("start", "hash")))
+    mine = grams.where(F.col("len") == length).select("hash", "gram", "item")
     if mark_docs:
         mine = mine.union(docs.sparkSession.range(1).select(F.lit(END).cast("long"), F.lit(None).cast("string"),
                                                             F.lit(None).cast("string")))
@@ -91,27 +91,29 @@ def _probe(docs: DataFrame, grams: DataFrame, length: int, mark_docs: bool) -> D
     # spelled so that Catalyst keeps it a condition of the hash matches and does not make it a join key
     same = F.when(is_end, F.col("gram").isNull()).otherwise(
         F.when(F.length("gram") == F.length(words_here), F.startswith(words_here, F.col("gram"))))
-    return (places.join(F.broadcast(mine), "head").where(same)
+    return (places.join(F.broadcast(mine), "hash").where(same)
             .select("id", "key", F.col("n").alias("n_words"), F.when(~is_end, F.col("start")).alias("start"),
                     F.when(~is_end, F.lit(length)).alias("len"), "item"))
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
-         block_windows: int = BLOCK_WINDOWS) -> DataFrame:
+         block_windows: int = BLOCK_WINDOWS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per distinct (doc_id, text): id, key, copies, n_words, n_hit, spans, items.
 
     ``spans`` are the hit windows as (start, len), ordered; ``items`` the
     distinct item ids as strings, ordered; ``copies`` the number of equal rows.
     """
     grams = settled(test_windows(benchmark, window))
-    sizes = {r["len"]: r["n"] for r in grams.groupBy("len").agg(F.count("*").alias("n")).collect()}  # at most ``window`` rows
+    size = F.sum(F.octet_length("gram") + F.coalesce(F.octet_length("item"), F.lit(0)))
+    sizes = {r["len"]: max(r["n"] / block_windows, r["size"] / block_bytes)
+             for r in grams.groupBy("len").agg(F.count("*").alias("n"), size.alias("size")).collect()}  # at most ``window`` rows
     base = docs.select(F.col("doc_id").alias("id"), text_key(F.col("text")).alias("key"),
                        words_of(F.col("text")).alias("ws"))
     parts = []
     for length in sorted(sizes) or [window]:
-        blocks = max(1, ceil(sizes.get(length, 0) / block_windows))
+        blocks = max(1, ceil(sizes.get(length, 0)))
         for b in range(blocks):
-            block = grams if blocks == 1 else grams.where(F.pmod(F.col("head"), F.lit(blocks)) == b)
+            block = grams if blocks == 1 else grams.where(F.pmod(F.xxhash64("hash", "item"), F.lit(blocks)) == b)
             parts.append(_probe(base, block, length, mark_docs=not parts))
     step = F.struct(F.lit(0).alias("end"), F.lit(0).alias("n"))
     covered = F.aggregate(
@@ -134,37 +136,38 @@ def _contaminated() -> Column:
 
 def judge(docs: DataFrame, benchmark: DataFrame, **params) -> DataFrame:
     """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
-    each = F.explode(F.array_repeat(F.lit(True), F.col("copies").cast("int")))
-    return hits(docs, benchmark, **params).select(
+    return repeated(hits(docs, benchmark, **params).select(
         F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
-        _contaminated().alias("contaminated"), each.alias("each")).drop("each")
+        _contaminated().alias("contaminated"), "copies"), "copies")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **params) -> DataFrame:
     """``docs`` without its contaminated documents; every other row stays as it is."""
+    bad_id, bad_key = fresh(docs, "_bad_id", "_bad_key")
     bad = settled(hits(docs, benchmark, **params).where(_contaminated())
-                  .select(F.col("id").alias("_bad_id"), F.col("key").alias("_bad_key")))
-    gone = F.col("doc_id").eqNullSafe(F.col("_bad_id")) & (text_key(F.col("text")) == F.col("_bad_key"))
+                  .select(F.col("id").alias(bad_id), F.col("key").alias(bad_key)))
+    gone = F.col("doc_id").eqNullSafe(F.col(bad_id)) & (text_key(F.col("text")) == F.col(bad_key))
     return docs.join(broadcast_if_small(bad), gone, "left_anti")
 
 
 def cut_spans(docs: DataFrame, benchmark: DataFrame, **params) -> DataFrame:
     """``docs`` with hit words, and what follows each up to the next word, cut out of ``text``."""
+    hit_id, hit_key, spans, cut_up, left_over = fresh(docs, "_hit_id", "_hit_key", "_spans", "_pieces", "_left")
     found = broadcast_if_small(settled(hits(docs, benchmark, **params).where("n_hit > 0")
-                                       .select(F.col("id").alias("_hit_id"), F.col("key").alias("_hit_key"),
-                                               F.col("spans").alias("_spans"))))
-    on = F.col("doc_id").eqNullSafe(F.col("_hit_id")) & (text_key(F.col("text")) == F.col("_hit_key"))
+                                       .select(F.col("id").alias(hit_id), F.col("key").alias(hit_key),
+                                               F.col("spans").alias(spans))))
+    on = F.col("doc_id").eqNullSafe(F.col(hit_id)) & (text_key(F.col("text")) == F.col(hit_key))
     # what precedes the first word, then one piece for each word with what follows it
     other = SEPARATORS[:-1]
     pieces = F.regexp_extract_all(F.col("text"), F.lit(f"[^{other[1:]}+{other}*"), F.lit(0))
     lead = F.regexp_extract(F.col("text"), f"^{other}*", 0)
-    hit_words = F.flatten(F.transform("_spans", lambda s: F.sequence(s["start"], s["start"] + s["len"] - 1)))
+    hit_words = F.flatten(F.transform(spans, lambda s: F.sequence(s["start"], s["start"] + s["len"] - 1)))
     cut = (docs.join(found, on, "left")
-           .withColumn("_pieces", F.when(F.col("_spans").isNotNull(), pieces))
-           .withColumn("_left", F.array_except(F.sequence(F.lit(0), F.size("_pieces") - 1), hit_words)))
-    left = F.concat(lead, F.array_join(F.transform("_left", lambda i: F.get(F.col("_pieces"), i)), ""))
-    return cut.select(*[F.when(F.col("_spans").isNull(), F.col("text")).otherwise(left).alias(c)
+           .withColumn(cut_up, F.when(F.col(spans).isNotNull(), pieces))
+           .withColumn(left_over, F.array_except(F.sequence(F.lit(0), F.size(cut_up) - 1), hit_words)))
+    left = F.concat(lead, F.array_join(F.transform(left_over, lambda i: F.get(F.col(cut_up), i)), ""))
+    return cut.select(*[F.when(F.col(spans).isNull(), F.col("text")).otherwise(left).alias(c)
                         if c == "text" else F.col(c) for c in docs.columns])
 
 

@@ -17,8 +17,8 @@ that all but ``FIT_QUANTILE`` of all its training rows reach is read from counts
 that of its language, unless words above that have half of its letters, and one that has
 most of its letters in scripts no language has.
 
-Texts are worked on in numpy, ``BLOCK_CHARS`` characters at a time, with the
-paths of all documents of a block advanced together. The model has a fixed size
+Texts are worked on in numpy: n-grams of ``PIECE_CHARS`` characters at a time, and
+the paths of all documents of a block of ``BLOCK_CHARS`` advanced together. The model has a fixed size
 for each language.
 
 Defined results: null text, or text without a letter, is ``und`` with score 0.
@@ -37,12 +37,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import is_held_out, map_batches
+from strata.llm.common import is_held_out, map_batches, slices
 
 BUCKETS = 1 << 15
 SWITCH = 12.0
 MIN_SCRIPT_SHARE = 0.01
+# Characters whose paths are advanced together, and of which n-grams are looked up at a time: these take about 80 bytes each.
 BLOCK_CHARS = 3_000_000
+PIECE_CHARS = 300_000
+# Bytes of texts held as Python strings at a time.
+SLICE_BYTES = 3 << 20
 UNKNOWN = "und"
 # A document stays in a filtered corpus if its main language has this share of its letters.
 MIN_SHARE = 0.3
@@ -69,7 +73,7 @@ _TABLES: dict[str, np.ndarray] = {}
 def _letters() -> np.ndarray:
     """For each code point its lower-case letter, or 0 if it is no letter; built once in a worker."""
     if "letters" not in _TABLES:
-        table = np.zeros(0x110000, np.int64)
+        table = np.zeros(0x110000, np.int32)
         for c in range(0x110000):
             if (ch := chr(c)).isalpha():
                 low = ch.lower()
@@ -90,7 +94,7 @@ def _grams(code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
 
     The n-grams that end at places start..end (end included) are those of a word.
     """
-    c = _letters()[code]
+    c = _letters()[code].astype(np.int64)
     inside = c > 0
     edges = np.flatnonzero(np.diff(np.concatenate(([False], inside, [False])).astype(np.int8)))
     c = np.append(c, 0)  # a border after the last word
@@ -102,10 +106,10 @@ def _grams(code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
 
 
 def _pieces(text: str) -> Iterator[str]:
-    """A text in pieces of about a block, cut where no word is."""
+    """A text in pieces of about ``PIECE_CHARS``, cut where no word is."""
     start = 0
-    while len(text) - start > BLOCK_CHARS:
-        stop = start + BLOCK_CHARS
+    while len(text) - start > PIECE_CHARS:
+        stop = start + PIECE_CHARS
         while stop < len(text) and text[stop].isalpha():
             stop += 1
         yield text[start:stop]
@@ -133,18 +137,21 @@ def _blocks(texts: list[str]) -> Iterator[list[int]]:
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, slot, n): n-gram counts, and after them letters by script, of each block and language."""
     for batch in batches:
-        by_lang: dict[str, list[str]] = {}
-        for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            by_lang.setdefault(lang, []).append(text)
-        for lang, texts in by_lang.items():
-            counts = np.zeros(BUCKETS + SCRIPTS, np.int64)
-            for block in _blocks(texts):
-                for piece in _pieces("\n".join(texts[i] for i in block)):
-                    _, _, bi, tri, c = _grams(_codes(piece))
-                    near = (c > 0) | (np.append(0, c[:-1]) > 0)
-                    counts[:BUCKETS] += np.bincount(bi[near], minlength=BUCKETS) + np.bincount(tri[near], minlength=BUCKETS)
-                    script = _SCRIPT[np.searchsorted(_STARTS, c[c > 0], "right") - 1]
-                    counts[BUCKETS:] += np.bincount(script, minlength=SCRIPTS)
+        total: dict[str, np.ndarray] = {}
+        for part in slices(batch, 0, SLICE_BYTES):
+            by_lang: dict[str, list[str]] = {}
+            for text, lang in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                by_lang.setdefault(lang, []).append(text)
+            for lang, texts in by_lang.items():
+                counts = total.setdefault(lang, np.zeros(BUCKETS + SCRIPTS, np.int64))
+                for block in _blocks(texts):
+                    for piece in _pieces("\n".join(texts[i] for i in block)):
+                        _, _, bi, tri, c = _grams(_codes(piece))
+                        near = (c > 0) | (np.append(0, c[:-1]) > 0)
+                        counts[:BUCKETS] += np.bincount(bi[near], minlength=BUCKETS) + np.bincount(tri[near], minlength=BUCKETS)
+                        script = _SCRIPT[np.searchsorted(_STARTS, c[c > 0], "right") - 1]
+                        counts[BUCKETS:] += np.bincount(script, minlength=SCRIPTS)
+        for lang, counts in total.items():
             slot = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(slot), pa.string()), pa.array(slot, pa.int64()),
                                               pa.array(counts[slot], pa.int64())], names=["lang", "slot", "n"])
@@ -268,10 +275,12 @@ def with_limits(docs: DataFrame, model: dict) -> dict:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            langs, found = batch.column(1).to_pylist(), []
-            for i, starts, ends, _, own, _ in _scored(model, batch.column(0).to_pylist()):
-                if len(starts):
-                    found.append((langs[i], min(int(-_fit(starts, ends, own) / FIT_STEP), FIT_BINS)))
+            found = []
+            for part in slices(batch, 0, SLICE_BYTES):
+                langs = part.column(1).to_pylist()
+                for i, starts, ends, _, own, _ in _scored(model, part.column(0).to_pylist()):
+                    if len(starts):
+                        found.append((langs[i], min(int(-_fit(starts, ends, own) / FIT_STEP), FIT_BINS)))
             yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.string()),
                                               pa.array([f[1] for f in found], pa.int64())], names=["lang", "bin"])
 
@@ -315,7 +324,7 @@ def identify(docs: DataFrame, model: dict, with_spans: bool = False) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 2, SLICE_BYTES)):
             found = [w[1:] for w in _labelled(model, [t or "" for t in batch.column(2).to_pylist()])]
             verdicts = [_verdict(model["langs"], *w) for w in found]
             columns = [*batch.columns[:2], pa.array([v[0] for v in verdicts], pa.string()),
@@ -342,7 +351,7 @@ def keep(docs: DataFrame, model: dict, min_share: float = MIN_SHARE) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, place, SLICE_BYTES)):
             kept = []
             for _, *w in _scored(model, [t or "" for t in batch.column(place).to_pylist()]):
                 lang, score = _verdict(model["langs"], *w[:3])

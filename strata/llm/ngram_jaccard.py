@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import broadcast_if_small, map_batches, settled
+from strata.llm.common import broadcast_if_small, fresh, map_batches, settled, slices
 from strata.llm.shingles import mixed, set_key, shingle_sets
 
 SIMILAR, OF = 80, 100
@@ -53,6 +53,8 @@ RARE_UP_TO = 32
 FREQUENT_TOKENS = 2_000_000
 # Bits of the filter of possible nodes: 16 for each, this many at most (32 MB).
 FILTER_BITS = 1 << 28
+# Bytes of texts that a task turns into tokens at a time.
+SLICE_BYTES = 16 << 20
 # Share of n that the first step looks at beyond the e + 1 tokens of a prefix.
 BEYOND = 10
 
@@ -88,7 +90,7 @@ _COMPARE = np.iinfo(np.int64).min
 def _prefix_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The smallest tokens of each text's node, to be compared; and for each node, in ``value``, how many
     are shared inside the block less those it needs."""
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole, 0, SLICE_BYTES)):
         nodes, tokens, need = [], [], []
         seen: set[int] = set()
         for found in shingle_sets(batch.column(0).to_pylist()):
@@ -210,10 +212,9 @@ def _node_filter(nodes: DataFrame) -> np.ndarray:
         bits *= 2
     place = F.col("node").bitwiseAND(bits - 1)
     words = (nodes.groupBy(F.shiftright(place, 6).alias("w"))
-             .agg(F.bit_or(F.expr(f"shiftleft(1L, cast((node & {bits - 1}) & 63 as int))")).alias("b")).collect())
+             .agg(F.bit_or(F.expr(f"shiftleft(1L, cast((node & {bits - 1}) & 63 as int))")).alias("b")).toArrow())
     bitmap = np.zeros(bits // 64, np.int64)
-    for row in words:
-        bitmap[row["w"]] = row["b"]
+    bitmap[words["w"].to_numpy()] = words["b"].to_numpy()
     return bitmap
 
 
@@ -224,7 +225,7 @@ def _sets(docs: DataFrame, bitmap: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = shared.value
         mask = len(bitmap) * 64 - 1
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 1, SLICE_BYTES)):
             sizes, nodes, tokens = [], [], []
             for found in shingle_sets(batch.column(1).to_pylist()):
                 key = set_key(found) if len(found) else None
@@ -392,12 +393,13 @@ def keep_one(docs: DataFrame) -> DataFrame:
     nothing tells them apart.
     """
     rows = settled(components(docs).select("doc_id", "component_id"))
-    stay = rows.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("_kept_id")).agg(
-        (F.count("*") > 1).alias("_again"))
+    kept_id, more = fresh(docs, "_kept_id", "_again")
+    stay = rows.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias(kept_id)).agg(
+        (F.count("*") > 1).alias(more))
     stay = broadcast_if_small(settled(stay))
-    kept = docs.join(stay, F.col("doc_id") == F.col("_kept_id"))
-    once = kept.where(~F.col("_again")).select(docs["*"])
-    again = kept.where("_again").select(docs["*"]).dropDuplicates(["doc_id", "text"])
+    kept = docs.join(stay, F.col("doc_id") == F.col(kept_id))
+    once = kept.where(~F.col(more)).select(docs["*"])
+    again = kept.where(F.col(more)).select(docs["*"]).dropDuplicates(["doc_id", "text"])
     return once.union(again).union(docs.where(F.col("doc_id").isNull()))
 
 

@@ -11,7 +11,9 @@ the URL's path; the longest rule wins, that is the one of most characters in
 host and path (of equally long ones that of the longer host).
 
 Rules are broadcast ``BLOCK_RULES`` at a time; more of them are swept in blocks,
-of which the longest match is kept, so no broadcast grows with the rules.
+so no broadcast grows with the rules. The match kept from block to block is
+compared by the same order (length, host length, block before allow), so the
+size of the blocks changes nothing.
 
 Defined results: a null URL or one without ``://`` has empty host and path and no
 rule. Without a rule the verdict is ``DEFAULT``. Repeated rows give one row each;
@@ -72,7 +74,8 @@ class Sweep:
             if at >= 0 and self.starts[at] == key[:end]:
                 self.stack.append(self.intervals[at])
 
-    def match(self, key: str, path: str) -> tuple[str | None, str | None]:
+    def match(self, key: str, path: str) -> tuple[str | None, str | None, int]:
+        """The winning rule, its verdict and the length of its host."""
         if self.key is None:
             self._enter(key)
         elif key != self.key:
@@ -83,15 +86,21 @@ class Sweep:
                     self.stack.append(self.intervals[self.next])
                 self.next += 1
         self.key = key
-        best, verdict, size = None, None, -1
+        best, verdict, size, length = None, None, -1, 0
         for _, host, paths in reversed(self.stack):
             for rule_path, rule_verdict in paths:
                 if len(host) + len(rule_path) <= size:
                     break
                 if path.startswith(rule_path):
-                    best, verdict, size = host + rule_path, rule_verdict, len(host) + len(rule_path)
+                    best, verdict, size, length = host + rule_path, rule_verdict, len(host) + len(rule_path), len(host)
                     break
-        return best, verdict
+        return best, verdict, length
+
+
+def _rank(found: tuple[str | None, str | None, int]) -> tuple[int, int, bool]:
+    """The order of matches, the winner largest."""
+    rule, verdict, host = found
+    return (-1, 0, False) if rule is None else (len(rule), host, verdict == "block")
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, default: str = DEFAULT,
@@ -101,9 +110,9 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, default:
     cut = pages.select(F.col("page_id").cast("long").alias("page_id"), host.alias("host"), path.alias("path"))
     turned = F.concat(F.array_join(F.reverse(F.split("host", r"\.")), "."), F.lit("."))
     keyed = cut.select("page_id", "host", "path", turned.alias("key"),
-                       F.lit(None).cast("string").alias("rule"), F.lit(None).cast("string").alias("found"))
+                       F.lit(None).cast("string").alias("rule"), F.lit(None).cast("string").alias("found"), F.lit(0).alias("rule_host"))
     ordered = keyed.repartitionByRange("key", "path", "page_id").sortWithinPartitions("key", "path")
-    schema = "page_id long, host string, path string, key string, rule string, found string"
+    schema = "page_id long, host string, path string, key string, rule string, found string, rule_host int"
     rules = [(h.lower(), p, v) for h, p, v in rules]
     for start in range(0, max(len(rules), 1), block_rules):
         block = pages.sparkSession.sparkContext.broadcast(rules[start:start + block_rules])
@@ -112,12 +121,11 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, default:
             sweep = Sweep(block.value)
             for batch in batches:
                 paths, keys = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-                old = zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True)
-                found = [max(sweep.match(k, p), o, key=lambda r: len(r[0] or ""))
-                         for k, p, o in zip(keys, paths, old, strict=True)]
+                old = zip(*(batch.column(c).to_pylist() for c in (4, 5, 6)), strict=True)
+                found = [max(o, sweep.match(k, p), key=_rank) for k, p, o in zip(keys, paths, old, strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[:4], pa.array([r for r, _ in found], pa.string()),
-                     pa.array([v for _, v in found], pa.string())], names=batch.schema.names)
+                    [*batch.columns[:4], *(pa.array([f[c] for f in found], t) for c, t in enumerate((pa.string(), pa.string(), pa.int32())))],
+                    names=batch.schema.names)
 
         ordered = map_batches(ordered, run, schema)  # keeps partitions and their order
     return ordered.select("page_id", "host", "path", "rule", F.coalesce("found", F.lit(default)).alias("verdict"))

@@ -106,9 +106,10 @@ def captures_of(pages: DataFrame) -> DataFrame:
     """A capture log made of ``pages``: each page in full, a revisit of it, and a capture of its host's front page.
 
     Front pages are captured in full at every 25th page, so a host's front page
-    has as many captures as the host has pages.
+    has as many captures as the host has pages. A page without id or url has captures
+    without time or address, of which the revisits come out as ``no_response``.
     """
-    p = pages.where("page_id IS NOT NULL AND url IS NOT NULL").selectExpr(
+    p = pages.selectExpr(
         "page_id", "url", "md5(coalesce(html, '')) AS sum", "length(coalesce(html, '')) AS size",
         "concat(regexp_extract(url, '^([a-z]+://[^/?#]*)', 1), '/') AS front")
     full = p.selectExpr(
@@ -140,7 +141,7 @@ ORACLE_SQL = r"""
 WITH p AS (
   SELECT page_id, url, md5(coalesce(html, '')) AS sum, length(coalesce(html, '')) AS size,
          regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) || '/' AS front
-  FROM pages WHERE page_id IS NOT NULL AND url IS NOT NULL),
+  FROM pages),
 log AS (
   SELECT page_id * 4 AS record_id, url, page_id * 60 AS ts, TRUE AS is_full, '"' || sum || '"' AS etag,
          CAST(page_id // 10 AS VARCHAR) AS lm, CAST(size AS VARCHAR) AS len, NULL AS cc FROM p
@@ -149,9 +150,9 @@ log AS (
          CASE page_id % 5 WHEN 0 THEN NULL WHEN 1 THEN 'W/"' || sum || '"' WHEN 2 THEN '"other"' ELSE '"' || sum || '"' END,
          CAST(page_id // 10 AS VARCHAR), '0', 'max-age=60' FROM p
   UNION ALL
-  SELECT page_id * 4 + 2, front, page_id * 60 + 45, page_id % 25 = 0, '"v' || CAST(page_id // 1000 AS VARCHAR) || '"', NULL,
+  SELECT page_id * 4 + 2, front, page_id * 60 + 45, coalesce(page_id % 25 = 0, FALSE), '"v' || CAST(page_id // 1000 AS VARCHAR) || '"', NULL,
          CAST(CASE WHEN page_id % 25 = 0 THEN size ELSE 0 END AS VARCHAR), NULL FROM p),
-bare AS (SELECT *, regexp_replace(regexp_replace(url, '(?s)#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS b FROM log),
+bare AS (SELECT *, row_number() OVER () AS rid, regexp_replace(regexp_replace(url, '(?s)#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS b FROM log),
 cut AS (
   SELECT *, regexp_replace(regexp_replace(translate(regexp_extract(b, '^([^/?]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
               'abcdefghijklmnopqrstuvwxyz'), '^www\.', ''), ':(80|443)$', '') AS host,
@@ -164,7 +165,7 @@ paired AS (
   SELECT r.*, f.record_id AS base, f.etag AS f_etag, f.lm AS f_lm, f.len AS f_len
   FROM (SELECT * FROM keyed WHERE NOT is_full) r
   LEFT JOIN (SELECT * FROM keyed WHERE is_full) f ON f.key = r.key AND f.ts < r.ts
-  QUALIFY row_number() OVER (PARTITION BY r.record_id ORDER BY f.ts DESC NULLS LAST, f.record_id DESC) = 1),
+  QUALIFY row_number() OVER (PARTITION BY r.rid ORDER BY f.ts DESC NULLS LAST, f.record_id DESC) = 1),
 judged AS (
   SELECT *, CASE WHEN base IS NULL THEN 'no_response'
                  WHEN coalesce(CASE WHEN etag IS NOT NULL THEN regexp_replace(f_etag, '^W/', '') = regexp_replace(etag, '^W/', '')

@@ -39,7 +39,7 @@ def test_bpe_any_characters_and_special_tokens(tokenizer):
     rng = random.Random(3)
     texts = ["".join(rng.choice(ALPHABET) for _ in range(rng.randint(0, 30))) for _ in range(3000)]
     texts += ["a<|endoftext|>b <|endoftext|>", "<|endoftext|", "aaaaaaaaaaaaaaaaaaaa", "   x\n\n  ", "ab" * 500]
-    codec = bpe.Codec(bpe.load(TOKENIZER), cache_pieces=500)
+    codec = bpe.Codec(bpe.load(TOKENIZER), cache_bytes=100_000)
     for part in (texts[:1500], texts[1500:]):
         for text, packed, ref in zip(part, codec.encode_block(part), tokenizer.encode_batch(part, add_special_tokens=False)):
             assert packed == struct.pack(f"<{len(ref.ids)}I", *ref.ids), text
@@ -156,8 +156,31 @@ def test_language_pieces_and_blocks_agree(trained, monkeypatch):
     texts, model = trained
     sample = [" ".join(texts.values()), "", texts["fr"] * 3, "word"] * 3
     whole = [tuple(map(list, w[1:])) for w in language_id._labelled(model, sample)]
-    monkeypatch.setattr(language_id, "BLOCK_CHARS", 25)
-    assert [tuple(map(list, w[1:])) for w in language_id._labelled(model, sample)] == whole
+    for block, piece in ((25, 25), (1000, 25), (25, 1000)):
+        monkeypatch.setattr(language_id, "BLOCK_CHARS", block)
+        monkeypatch.setattr(language_id, "PIECE_CHARS", piece)
+        assert [tuple(map(list, w[1:])) for w in language_id._labelled(model, sample)] == whole
+
+
+def test_a_worker_keeps_no_memory_of_its_tasks(trained):
+    """Over rounds of tagging and encoding, what a process holds does not go up."""
+    import os
+    _, model = trained
+    texts = [words(i, 3000, 60_000) for i in range(300)]
+    table = bpe.load(TOKENIZER)
+
+    def held():
+        return int(open("/proc/self/statm").read().split()[1]) * os.sysconf("SC_PAGE_SIZE") / 1e6
+
+    def tasks():
+        list(common.released(lambda b: (list(language_id._labelled(model, texts)), iter(b))[1])(iter([])))
+        list(common.released(lambda b: (bpe.Codec(table).encode_block(texts), iter(b))[1])(iter([])))
+
+    tasks()
+    first = held()
+    for _ in range(3):
+        tasks()
+    assert held() < first + 40
 
 
 def test_language_without_training_rows(spark, odd_docs):
