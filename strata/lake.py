@@ -22,14 +22,14 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.config import LakeConfig
-from strata.operators import bronze, gold, silver
+from strata.operators import bronze, gold, silver, tables
 from strata.session import concurrently, shared_root
 from strata.sources import raw
 
 _LOCK = threading.Lock()
+_LOCK_NAMES = threading.Lock()
 _BUILT: dict[tuple[str, str], str] = {}
-# Layer schemas by path: inference (a footer-merge job with mergeSchema) runs
-# once per layer, not on every read. Layer DataFrames by (application, path):
+# Layer schemas by path: inference runs once per layer, not on every read. Layer DataFrames by (application, path):
 # a DataFrame keeps its file index, so a partitioned layer's folders are listed
 # once, not by every report. Both are cleared whenever a layer is rewritten.
 _SCHEMAS: dict[str, object] = {}
@@ -48,13 +48,15 @@ def code_fingerprint() -> str:
 @dataclass
 class Lake:
     spark: SparkSession
-    tables_dir: str
+    tables_dir: str | None
     root: str
     cfg: LakeConfig = field(default_factory=LakeConfig)
+    # where the publisher's files were landed; by default the lake's own raw folder
+    landed_at: str | None = None
 
     @property
     def raw_root(self) -> str:
-        return f"{self.root}/raw"
+        return self.landed_at or f"{self.root}/raw"
 
     @property
     def bronze_root(self) -> str:
@@ -72,15 +74,14 @@ class Lake:
         return f"{self.root}/_manifest"
 
     # ---- readers -------------------------------------------------------
-    def _read(self, path: str, merge: bool = False) -> DataFrame:
+    def _read(self, path: str) -> DataFrame:
         key = (self.spark.sparkContext.applicationId, path)
         df = _FRAMES.get(key)
         if df is not None:
             return df
         schema = _SCHEMAS.get(path)
         if schema is None:
-            reader = self.spark.read.option("mergeSchema", "true") if merge else self.spark.read
-            df = reader.parquet(path)
+            df = self.spark.read.parquet(path)
             _SCHEMAS[path] = df.schema
         else:
             df = self.spark.read.schema(schema).parquet(path)
@@ -88,8 +89,11 @@ class Lake:
         return df
 
     def bronze(self, source: str) -> DataFrame:
-        """All months of a source; the merged schema is inferred once."""
-        return self._read(f"{self.bronze_root}/{source}", merge=True)
+        """All months of a source, typed by its recorded columns."""
+        key = (self.spark.sparkContext.applicationId, f"{self.bronze_root}/{source}")
+        if key not in _FRAMES:
+            _FRAMES[key] = bronze.read_bronze(self.spark, self.bronze_root, source)
+        return _FRAMES[key]
 
     def silver(self, source: str) -> DataFrame:
         return self._read(self.silver_path(source))
@@ -97,6 +101,36 @@ class Lake:
     def gold(self) -> DataFrame:
         return self._read(self.gold_path)
 
+    # ---- tables by name (S6, K4, K6-K8) --------------------------------
+    def table_names(self, suffix: str | None = None) -> dict[str, str]:
+        """The catalog name of silver and gold; by default the schemas carry a mark of this lake's place."""
+        if suffix is None:
+            suffix = "_" + hashlib.sha1(self.root.encode()).hexdigest()[:10]
+        names = {f"silver_{s.name}": f"{self.cfg.silver_schema}{suffix}.{s.name}_trips" for s in self.cfg.trip_sources}
+        return {**names, "gold": f"{self.cfg.gold_schema}{suffix}.trips"}
+
+    def register_tables(self, suffix: str | None = None) -> dict[str, str]:
+        """Silver and gold as external tables, partitions recovered, with their comments.
+
+        ``suffix=""`` gives the plain names (``gold.trips``); a table of that name elsewhere is not replaced.
+        """
+        names = self.table_names(suffix)
+        for layer, name in names.items():
+            path = self.gold_path if layer == "gold" else self.silver_path(layer.removeprefix("silver_"))
+            schema = name.split(".")[0]
+            tables.create_schemas(self.spark, f"{self.root}/_schemas", schema)
+            tables.register_table(self.spark, name, path,
+                                  tables.GOLD_TABLE_COMMENT if layer == "gold" else tables.SILVER_TABLE_COMMENT)
+        return names
+
+    def by_name(self, layer: str) -> DataFrame:
+        """A layer through the catalog; registered anew when the layer was rewritten."""
+        key = (self.spark.sparkContext.applicationId, self.root + "/_tables")
+        with _LOCK_NAMES:
+            if key not in _FRAMES:
+                _FRAMES[key] = self.register_tables()
+            return self.spark.table(_FRAMES[key][layer])
+
     def forget_schemas(self) -> None:
         """Drop the cached schemas and DataFrames of this lake's layers (call after a rewrite)."""
         for path in [p for p in _SCHEMAS if p.startswith(self.root + "/")]:
@@ -109,6 +143,9 @@ class Lake:
 
     # ---- build steps ---------------------------------------------------
     def land(self) -> None:
+        """Land the fixture as monthly raw files; without a table directory the files are there already."""
+        if self.tables_dir is None:
+            return
         raw.land_raw(self.spark, self.tables_dir, self.raw_root, self.cfg)
 
     def ingest_bronze(self) -> dict[str, dict[tuple[int, int], int]]:

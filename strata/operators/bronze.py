@@ -1,9 +1,9 @@
-"""Bronze layer: raw months, typed and tagged with lineage, Hive-partitioned by year/month.
+"""Bronze layer: raw months, typed and tagged with lineage, partitioned by year and month.
 
-Layout: ``{bronze_root}/{source}/year=Y/month=M/part-*.parquet``. The raw
-schema drifts between months, so every month is normalised on its own scan
-*before* anything is unioned or written; after that all months share one
-type per column and the dataset reads with ``mergeSchema``.
+The raw schema drifts between months, so every month is normalised on its own
+scan *before* anything is unioned or written; after that all months share one
+recorded type per column. A source is one partitioned table whose months are
+replaced by a swap of their folder (``operators/months.py``).
 """
 
 from __future__ import annotations
@@ -11,12 +11,12 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.config import LakeConfig
+from strata.operators import months as month_store
 from strata.sources import raw
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -54,10 +54,6 @@ def bronze_month(scan: DataFrame, year: int, month: int, source_system: str) ->
     })
 
 
-def partition_path(bronze_root: str, source: str, year: int, month: int) -> str:
-    return f"{bronze_root}/{source}/year={year}/month={month}"
-
-
 @dataclass(frozen=True)
 class IngestResult:
     source: str
@@ -67,14 +63,9 @@ class IngestResult:
 
 
 def _recorded_types(spark: SparkSession, bronze_root: str, source: str) -> dict[str, tuple[T.DataType, str]]:
-    """Column types of the months already in bronze, and where they are from; empty before the first load."""
-    try:
-        schema = read_bronze(spark, bronze_root, source).schema
-    except AnalysisException as exc:
-        if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return {}
-        raise
-    return {f.name: (f.dataType, "bronze") for f in schema.fields if f.name not in ("year", "month")}
+    """Recorded column types, and where they are from; empty before the first load."""
+    columns = month_store.recorded_columns(spark, bronze_root, source)
+    return {f.name: (f.dataType, "bronze") for f in columns.fields} if columns else {}
 
 
 def _conformed(month: DataFrame, recorded: dict[str, tuple[T.DataType, str]], source: str, label: str) -> DataFrame:
@@ -95,10 +86,12 @@ def _conformed(month: DataFrame, recorded: dict[str, tuple[T.DataType, str]], so
     return month.select(columns)
 
 
-def _replace(month: DataFrame, bronze_root: str, source: str, year: int, number: int) -> IngestResult:
+def _write(month: DataFrame, bronze_root: str, source: str, year: int, number: int) -> IngestResult:
+    """Write one month to a fresh folder and mark it complete; nobody reads it yet."""
+    folder = month_store.month_folder(bronze_root, source, year, number, month_store.new_version())
     obs = Observation(f"bronze_{source}_{year}_{number}")
-    (month.observe(obs, F.count(F.lit(1)).alias("rows"))
-     .write.mode("overwrite").parquet(partition_path(bronze_root, source, year, number)))
+    month.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(folder)
+    month_store.mark_complete(month.sparkSession, folder)
     return IngestResult(source, year, number, int(obs.get.get("rows", 0)))
 
 
@@ -106,6 +99,26 @@ def _replace(month: DataFrame, bronze_root: str, source: str, year: int, number:
 CONCURRENT_MONTHS = 8
 
 
+def _replace(spark: SparkSession, bronze_root: str, source: str, scans: list[tuple[int, int, DataFrame]],
+             cfg: LakeConfig) -> list[IngestResult]:
+    """Replace the months of ``scans``: compare all, extend the recorded columns, write all, then swap."""
+    recorded = _recorded_types(spark, bronze_root, source)
+    before = len(recorded)
+    frames = []
+    for year, month, scan in scans:
+        frame = bronze_month(scan, year, month, cfg.source_system).drop("year", "month")
+        frames.append((year, month, _conformed(frame, recorded, source, f"{year}-{month:02d}")))
+    if len(recorded) > before:
+        month_store.record_columns(spark, bronze_root, source, T.StructType(
+            [T.StructField(name, kind) for name, (kind, _) in recorded.items()]))
+    with ThreadPoolExecutor(max_workers=CONCURRENT_MONTHS) as pool:
+        done = list(pool.map(lambda x: _write(x[2], bronze_root, source, x[0], x[1]), frames))
+    month_store.synchronise(spark, bronze_root, source)
+    for year, month, _ in scans:
+        month_store.drop_superseded(spark, bronze_root, source, year, month)
+    return done
+
+
 def ingest_months(spark: SparkSession, raw_root: str, bronze_root: str, source: str,
                   months: list[tuple[int, int]], cfg: LakeConfig,
                   landed: dict[str, set[str]] | None = None) -> list[IngestResult]:
@@ -113,33 +126,25 @@ def ingest_months(spark: SparkSession, raw_root: str, bronze_root: str, source:
 
     All months are read and compared with the recorded types before the first
     one is written, so an unreadable landed file or a clash of types raises
-    with bronze untouched. Each month is then a K1 replace of its own leaf
-    directory: narrow, and its plan is the same however many months there are.
+    with bronze untouched. Each month is then a K1 replace: narrow, and its
+    plan is the same however many months there are.
     """
-    recorded = _recorded_types(spark, bronze_root, source)
-    frames = []
-    for year, month, scan in raw.month_scans(spark, raw_root, source, months, landed):
-        frame = bronze_month(scan, year, month, cfg.source_system).drop("year", "month")
-        frames.append((year, month, _conformed(frame, recorded, source, f"{year}-{month:02d}")))
-    with ThreadPoolExecutor(max_workers=CONCURRENT_MONTHS) as pool:
-        return list(pool.map(lambda x: _replace(x[2], bronze_root, source, x[0], x[1]), frames))
+    return _replace(spark, bronze_root, source, raw.month_scans(spark, raw_root, source, months, landed), cfg)
 
 
 def ingest_month(spark: SparkSession, raw_root: str, bronze_root: str, source: str,
                  year: int, month: int, cfg: LakeConfig) -> IngestResult:
-    """K1: replace exactly one month partition, idempotently.
-
-    The leaf directory ``year=Y/month=M`` is overwritten with the month's rows
-    (partition columns dropped, as the directory carries them). Other months
-    are untouched, and an empty month file empties its partition. The row
-    count is observed during the write, so there is no read-back scan. A
-    month without a raw file, or one that clashes with the recorded types, is
-    an error.
+    """K1: replace exactly one month partition, idempotently and at once.
+
+    The month's rows go to a fresh folder; the table's partition moves to it
+    when it is complete. Other months are untouched, an empty month file
+    empties its partition, and a write that fails leaves the old month whole.
+    The row count is observed during the write, so there is no read-back scan.
+    A month without a raw file, or one that clashes with the recorded types,
+    is an error.
     """
     scan = raw.read_raw(spark, raw_root, source, year, month)
-    frame = bronze_month(scan, year, month, cfg.source_system).drop("year", "month")
-    recorded = _recorded_types(spark, bronze_root, source)
-    return _replace(_conformed(frame, recorded, source, f"{year}-{month:02d}"), bronze_root, source, year, month)
+    return _replace(spark, bronze_root, source, [(year, month, scan)], cfg)[0]
 
 
 def ingest_source(spark: SparkSession, raw_root: str, bronze_root: str, source: str,
@@ -150,8 +155,14 @@ def ingest_source(spark: SparkSession, raw_root: str, bronze_root: str, source:
 
 
 def read_bronze(spark: SparkSession, bronze_root: str, source: str) -> DataFrame:
-    """The whole bronze dataset of a source; new columns are null in old months."""
-    return spark.read.option("mergeSchema", "true").parquet(f"{bronze_root}/{source}")
+    """The whole bronze table of a source, found by its path; new columns are null in old months.
+
+    Types come from the recorded columns: no footer is opened and no job runs.
+    """
+    name = month_store.synchronise(spark, bronze_root, source)
+    if name is None:
+        raise FileNotFoundError(f"nothing of {source} was ever written to {bronze_root}")
+    return spark.table(name)
 
 
 def partition_count(bronze: DataFrame, source: str, year: int, month: int) -> DataFrame:

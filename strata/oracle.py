@@ -13,7 +13,7 @@ Portability rules (the two engines differ here):
 
 from __future__ import annotations
 
-from strata.config import LakeConfig
+from strata.config import SOURCES, LakeConfig
 
 CFG = LakeConfig()
 START = CFG.start.strftime("%Y-%m-%d %H:%M:%S")
@@ -322,11 +322,17 @@ ORDER BY taxi_type"""),
 FROM (SELECT * FROM projected_yellow UNION ALL SELECT * FROM projected_green) GROUP BY 1 ORDER BY 1"""),
     "deduplicate": q(f"SELECT {VIEW_COLUMNS} FROM ranked WHERE rn = 1"),
     "dropped_duplicates": q(f"SELECT {VIEW_COLUMNS} FROM ranked WHERE rn > 1"),
-    "raw_scan": q("""SELECT CAST(VendorID AS DOUBLE) AS VendorID, CAST(passenger_count AS DOUBLE) AS passenger_count,
-       total_amount, tpep_pickup_datetime, tpep_dropoff_datetime,
-       CASE WHEN file_month >= 3 THEN payment_type END AS payment_type, CAST(""" + str(YEAR) + """ AS INTEGER) AS year,
-       CAST(file_month AS INTEGER) AS month
-FROM yellow_raw"""),
+    "raw_scan": q(f"""SELECT CAST(VendorID AS DOUBLE) AS VendorID, CAST(passenger_count AS DOUBLE) AS passenger_count,
+       total_amount, tpep_pickup_datetime, tpep_dropoff_datetime, CASE WHEN file_month >= 3 THEN payment_type END AS payment_type,
+       NULL::TIMESTAMP AS lpep_pickup_datetime, NULL::TIMESTAMP AS lpep_dropoff_datetime, NULL::TIMESTAMP AS pickup_datetime,
+       NULL::TIMESTAMP AS dropoff_datetime, NULL::DOUBLE AS base_passenger_fare, 'yellow' AS taxi_type,
+       CAST({YEAR} AS INTEGER) AS year, CAST(file_month AS INTEGER) AS month FROM yellow_raw
+UNION ALL SELECT CAST(VendorID AS DOUBLE), CAST(passenger_count AS DOUBLE), total_amount, NULL, NULL, NULL, lpep_pickup_datetime,
+       lpep_dropoff_datetime, NULL, NULL, NULL, 'green', CAST({YEAR} AS INTEGER), CAST(file_month AS INTEGER) FROM green_raw
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, pickup_datetime, dropoff_datetime, NULL, 'fhv',
+       CAST({YEAR} AS INTEGER), CAST(file_month AS INTEGER) FROM fhvhv_raw
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, pickup_datetime, dropoff_datetime, base_passenger_fare, 'fhvhv',
+       CAST({YEAR} AS INTEGER), CAST(file_month AS INTEGER) FROM fhvhv_raw"""),
     "volume_by_month": q(" UNION ALL ".join(
         f"SELECT '{s}' AS taxi_type, CAST({YEAR} AS INTEGER) AS year, CAST(file_month AS INTEGER) AS month, "
         f"count(*) AS trips FROM {t} GROUP BY file_month"
@@ -345,12 +351,16 @@ FROM yellow_raw"""),
         f"SELECT '{s}' AS taxi_type, year, month, count(*) AS rows FROM {t} GROUP BY 2, 3"
         for s, t in BRONZE.items()) + " ORDER BY 1, 2, 3"),
     "normalize_types": q(_normalize_types() + " ORDER BY 1, 2"),
-    "bronze_schema_evolution": q("""SELECT year, month, count(*) AS rows, count(payment_type) AS payment_type_values
-FROM bronze_yellow GROUP BY 1, 2 ORDER BY 1, 2"""),
-    "bronze_replace_month": q("""SELECT year, month, count(*) AS rows FROM bronze_yellow
-WHERE month <> 3 OR tpep_pickup_datetime IS NOT NULL GROUP BY 1, 2 ORDER BY 1, 2"""),
-    "bronze_incremental": q("""SELECT year, month, count(*) AS rows FROM bronze_yellow
-GROUP BY 1, 2 ORDER BY 1, 2"""),
+    "bronze_schema_evolution": q(" UNION ALL ".join(
+        f"SELECT '{s}' AS taxi_type, year, month, count(*) AS rows, "
+        f"{'count(payment_type)' if s == 'yellow' else 'CAST(0 AS BIGINT)'} AS payment_type_values FROM {t} GROUP BY 2, 3"
+        for s, t in BRONZE.items()) + " ORDER BY 1, 2, 3"),
+    "bronze_replace_month": q(" UNION ALL ".join(
+        f"SELECT '{s}' AS taxi_type, year, month, count(*) AS rows FROM {t} WHERE month <> 3 OR {SOURCES[s].pickup} IS NOT NULL "
+        f"GROUP BY 2, 3" for s, t in BRONZE.items()) + " ORDER BY 1, 2, 3"),
+    "bronze_incremental": q(" UNION ALL ".join(
+        f"SELECT '{s}' AS taxi_type, year, month, count(*) AS rows FROM {t} GROUP BY 2, 3"
+        for s, t in BRONZE.items()) + " ORDER BY 1, 2, 3"),
     "clustered_layout": q("""SELECT 'gold' AS layer, count(*) AS rows, CAST(0 AS BIGINT) AS violations FROM gold
 UNION ALL SELECT 'silver_green', count(*), 0 FROM silver_green
 UNION ALL SELECT 'silver_yellow', count(*), 0 FROM silver_yellow ORDER BY 1"""),

@@ -19,7 +19,7 @@ from strata.lake import Lake, open_lake
 from strata.operators import bronze, layout, silver
 from strata.plans import analytics, profile, quality
 from strata.session import concurrently, scratch_dir
-from strata.sources import fixtures, raw
+from strata.sources import raw
 from strata.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,7 +53,8 @@ def q1(spark, d):
 
 
 def q1_sql(spark, d):
-    return analytics.query1_sql(spark, _lake(spark, d).gold(), CFG)
+    """Query 1 as SQL text, over the gold table read by name."""
+    return analytics.query1_sql(spark, _lake(spark, d).by_name("gold"), CFG)
 
 
 def q2(spark, d):
@@ -61,7 +62,8 @@ def q2(spark, d):
 
 
 def q2_sql(spark, d):
-    return analytics.query2_sql(spark, _lake(spark, d).gold(), CFG)
+    """Query 2 as SQL text, over the gold table read by name."""
+    return analytics.query2_sql(spark, _lake(spark, d).by_name("gold"), CFG)
 
 
 def q1_labelled(spark, d):
@@ -164,16 +166,17 @@ def dropped_duplicates(spark, d):
 # ---- raw and bronze storage ---------------------------------------------------
 
 def raw_scan(spark, d):
-    """S1 on every landed yellow month, each scanned by its path with its own inferred schema.
+    """S1 on every landed month of every source, each scanned by its path with its own inferred schema.
 
     The months disagree (counters BIGINT in months 1-2 and DOUBLE after,
-    ``payment_type`` only from month 3); the union by name widens the
-    counters to DOUBLE and leaves ``payment_type`` null where it is absent.
-    A landed month that cannot be read is an error.
+    ``payment_type`` only from month 3), and so do the sources; the union by
+    name widens the counters to DOUBLE and leaves a column null where it is
+    absent. A landed month that cannot be read is an error.
     """
     lake = _lake(spark, d)
-    scans = [scan.withColumns({"year": F.lit(y), "month": F.lit(m)})
-             for y, m, scan in raw.month_scans(spark, lake.raw_root, "yellow", CFG.year_months())]
+    landed = raw.landed_files(spark, lake.raw_root)
+    scans = [scan.withColumns({"taxi_type": F.lit(s), "year": F.lit(y), "month": F.lit(m)})
+             for s in lake.cfg.sources for y, m, scan in raw.month_scans(spark, lake.raw_root, s, lake.cfg.year_months(), landed)]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
@@ -223,15 +226,22 @@ def normalize_types(spark, d):
     return reduce(DataFrame.unionByName, parts).orderBy("taxi_type", "column_name")
 
 
+def _month_rows(lake: Lake, *more) -> DataFrame:
+    """Rows of each month of every bronze source, by its table."""
+    parts = [lake.bronze(s).groupBy(F.lit(s).alias("taxi_type"), "year", "month")
+             .agg(F.count(F.lit(1)).alias("rows"), *[m(lake.bronze(s)) for m in more]) for s in lake.cfg.sources]
+    return reduce(DataFrame.unionByName, parts).orderBy("taxi_type", "year", "month")
+
+
 def bronze_schema_evolution(spark, d):
-    b = _lake(spark, d).bronze("yellow")
-    return (b.groupBy("year", "month").agg(F.count(F.lit(1)).alias("rows"),
-                                           F.count("payment_type").alias("payment_type_values"))
-            .orderBy("year", "month"))
+    """K3 on every source: rows of each month, and values of the column that appears in month 3 (sources without it: 0)."""
+    column = "payment_type"
+    return _month_rows(_lake(spark, d), lambda b: (
+        F.count(column) if column in b.columns else F.lit(0).cast("long")).alias("payment_type_values"))
 
 
 def bronze_replace_month(spark, d):
-    """K1 in a scratch lake: a corrected month file arrives and replaces its partition.
+    """K1 in a scratch lake, on every source: a corrected month file arrives and replaces its partition.
 
     The corrected file drops the month's rows without a pickup time; it is
     ingested twice to show the replace is idempotent; the other months keep
@@ -240,35 +250,39 @@ def bronze_replace_month(spark, d):
     main = _lake(spark, d)
     work = Lake(spark, d, scratch_dir(spark, "replace-month"), CFG)
     year = CFG.years[0]
-    bronze.ingest_source(spark, main.raw_root, work.bronze_root, "yellow", CFG)
-    trips = fixtures.raw_trips(spark, d, "yellow")
-    corrected = fixtures.delivered_month(trips, "yellow", REPLACED_MONTH) \
-        .filter(F.col(YELLOW.pickup).isNotNull())
-    corrected.write.mode("overwrite").parquet(raw.raw_path(work.raw_root, "yellow", year, REPLACED_MONTH))
-    for _ in range(2):
-        bronze.ingest_month(spark, work.raw_root, work.bronze_root, "yellow", year, REPLACED_MONTH, CFG)
-    work.forget_schemas()
-    return (work.bronze("yellow").groupBy("year", "month").agg(F.count(F.lit(1)).alias("rows"))
-            .orderBy("year", "month"))
+    landed = raw.landed_files(spark, main.raw_root)
+
+    def replaced(source: str) -> None:
+        bronze.ingest_source(spark, main.raw_root, work.bronze_root, source, CFG, landed)
+        delivered = raw.read_raw(spark, main.raw_root, source, year, REPLACED_MONTH)
+        corrected = delivered.filter(F.col(CFG.spec(source).pickup).isNotNull())
+        corrected.write.mode("overwrite").parquet(raw.raw_path(work.raw_root, source, year, REPLACED_MONTH))
+        for _ in range(2):
+            bronze.ingest_month(spark, work.raw_root, work.bronze_root, source, year, REPLACED_MONTH, CFG)
+
+    concurrently({s: (lambda s=s: replaced(s)) for s in CFG.sources})
+    return _month_rows(work)
 
 
 def bronze_incremental(spark, d):
-    """Streaming ingest in a scratch lake: months 1-3 land and are ingested, then 4-5.
+    """Streaming ingest in a scratch lake, on every source: months 1-3 land and are ingested, then 4-5.
 
-    The second run of the same stream only picks up the new files; the result
+    The second run of a source's stream only picks up the new files; the result
     must equal the first load of the main lake.
     """
+    main = _lake(spark, d)
     work = Lake(spark, d, scratch_dir(spark, "incremental"), CFG)
-    trips = fixtures.raw_trips(spark, d, "yellow")
-    checkpoint = f"{work.root}/_stream_checkpoint"
-    for months in (CFG.months[:3], CFG.months[3:]):
-        for m in months:
-            fixtures.delivered_month(trips, "yellow", m).write.mode("overwrite").parquet(
-                raw.raw_path(work.raw_root, "yellow", CFG.years[0], m))
-        incremental.ingest_arrivals(spark, work.raw_root, work.bronze_root, "yellow", checkpoint, CFG)
-    work.forget_schemas()
-    return (work.bronze("yellow").groupBy("year", "month").agg(F.count(F.lit(1)).alias("rows"))
-            .orderBy("year", "month"))
+
+    def arrive(source: str) -> None:
+        for months in (CFG.months[:3], CFG.months[3:]):
+            for m in months:
+                raw.read_raw(spark, main.raw_root, source, CFG.years[0], m).write.mode("overwrite").parquet(
+                    raw.raw_path(work.raw_root, source, CFG.years[0], m))
+            incremental.ingest_arrivals(spark, work.raw_root, work.bronze_root, source,
+                                        f"{work.root}/_stream_checkpoint/{source}", CFG)
+
+    concurrently({s: (lambda s=s: arrive(s)) for s in CFG.sources})
+    return _month_rows(work)
 
 
 def bronze_reingest_months(spark, d):

@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 
 from strata.config import LakeConfig
 from strata.operators import bronze
-from strata.session import concurrently
 from strata.sources import raw
 
 _MONTH_STAMP = r"_tripdata_([0-9]{4})-([0-9]{2})\.parquet$"
@@ -67,12 +66,9 @@ def ingest_arrivals(spark: SparkSession, raw_root: str, bronze_root: str, source
     done: list[bronze.IngestResult] = []
 
     def on_batch(batch: DataFrame, _epoch: int) -> None:
-        session = batch.sparkSession
         months = [(r["year"], r["month"]) for r in touched_months(batch).orderBy("year", "month").collect()]
-        # the months of a catch-up batch are independent replaces: run them side by side
-        replaced = concurrently({ym: (lambda ym=ym: bronze.ingest_month(
-            session, raw_root, bronze_root, source, ym[0], ym[1], cfg)) for ym in months})
-        done.extend(replaced[ym] for ym in months)
+        # the months of a catch-up batch are independent replaces, a bounded number of them side by side
+        done.extend(bronze.ingest_months(spark, raw_root, bronze_root, source, months, cfg))
 
     query = (arrivals(spark, raw_root, source, max_files_per_trigger).writeStream
              .foreachBatch(on_batch)

@@ -117,11 +117,12 @@ def test_overlap_violations_detects_overlapping_files(spark, workdir):
 
 
 def test_drift_between_incompatible_types_is_named(spark):
-    a = spark.createDataFrame([(1.0,)], "x double")
-    b = spark.createDataFrame([("1",)], "x string")
-    with pytest.raises(bronze.SchemaDriftError, match="'x'"):
-        bronze._check_drift([(1996, 1, a), (1996, 2, b)], "yellow")
-    bronze._check_drift([(1996, 1, a), (1996, 2, spark.createDataFrame([(1.0,)], "x float"))], "yellow")
+    recorded = {}
+    bronze._conformed(spark.createDataFrame([(1.0,)], "x double"), recorded, "yellow", "1996-01")
+    narrow = bronze._conformed(spark.createDataFrame([(1.0,)], "x float"), recorded, "yellow", "1996-02")
+    assert narrow.dtypes == [("x", "double")]
+    with pytest.raises(bronze.SchemaDriftError, match="'x' is double in 1996-01 but string in 1996-03"):
+        bronze._conformed(spark.createDataFrame([("1",)], "x string"), recorded, "yellow", "1996-03")
 
 
 def test_content_hash_is_order_insensitive(spark):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from strata import registry
 from strata.config import LakeConfig
-from strata.operators import bronze
+from strata.operators import bronze, months
 from strata.plans import profile
 from strata.sources import raw
 
@@ -75,6 +75,61 @@ def test_month_replace_is_idempotent_and_local(spark, workdir):
     assert counts(spark, broot) == {1: 2, 3: 2}
 
 
+def test_failed_replace_leaves_the_old_month_whole(spark, workdir, monkeypatch):
+    rroot, broot = f"{workdir}/raw", f"{workdir}/bronze"
+    land(spark, rroot)
+    bronze.ingest_source(spark, rroot, broot, "yellow", CFG)
+    old = months.current_folders(spark, broot, "yellow")
+    write_month(spark, rroot, 2, [row(float(i), 1.0, 9.0) for i in range(40)], int_counters=False)
+    tagged = bronze.bronze_month
+    # the lineage column needs the scan itself, so it is taken before the rows are spread
+    monkeypatch.setattr(bronze, "bronze_month", lambda scan, y, m, system: tagged(scan, y, m, system).repartition(
+        4, "VendorID").withColumn("total_amount", F.when(F.col("VendorID") == 37, F.raise_error(F.lit("disk gone")).cast("double"))
+                                  .otherwise(F.col("total_amount"))))
+    with pytest.raises(Exception, match="disk gone"):
+        bronze.ingest_month(spark, rroot, broot, "yellow", 1996, 2, CFG)
+    assert counts(spark, broot) == {1: 2, 2: 3, 3: 2}
+    assert months.current_folders(spark, broot, "yellow") == old
+    monkeypatch.undo()
+    assert bronze.ingest_month(spark, rroot, broot, "yellow", 1996, 2, CFG).rows == 40
+    assert counts(spark, broot) == {1: 2, 2: 40, 3: 2}
+
+
+def test_a_reader_keeps_its_month_while_it_is_replaced(spark, workdir):
+    rroot, broot = f"{workdir}/raw", f"{workdir}/bronze"
+    land(spark, rroot)
+    bronze.ingest_source(spark, rroot, broot, "yellow", CFG)
+    plan = bronze.read_bronze(spark, broot, "yellow").where("month = 2").select("total_amount")
+    plan._jdf.queryExecution().executedPlan()  # planned: it has its files
+    write_month(spark, rroot, 2, [row(1.0, 1.0, 9.0)], int_counters=False)
+    bronze.ingest_month(spark, rroot, broot, "yellow", 1996, 2, CFG)
+    assert plan.count() in (1, 3) and counts(spark, broot)[2] == 1
+    # of the versions before only the last one stays
+    for _ in range(3):
+        bronze.ingest_month(spark, rroot, broot, "yellow", 1996, 2, CFG)
+    assert len(months._glob(spark, f"{broot}/yellow/1996-02/*")) == 2
+    assert len(months._glob(spark, f"{broot}/yellow/1996-01/*")) == 1
+
+
+def test_a_write_extends_the_recorded_columns_and_reads_open_no_footer(spark, workdir):
+    rroot, broot = f"{workdir}/raw", f"{workdir}/bronze"
+    land(spark, rroot)
+    bronze.ingest_months(spark, rroot, broot, "yellow", [(1996, 1), (1996, 2)], CFG)
+    assert "payment_type" not in months.recorded_columns(spark, broot, "yellow").names
+    bronze.ingest_month(spark, rroot, broot, "yellow", 1996, 3, CFG)
+    assert months.recorded_columns(spark, broot, "yellow")["payment_type"].dataType.simpleString() == "double"
+    spark.sparkContext.setJobGroup("read-bronze", "no job may run")
+    b = bronze.read_bronze(spark, broot, "yellow")
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("read-bronze")
+    spark.sparkContext.setJobGroup("tests", "")
+    per_month = {r["month"]: r["p"] for r in b.groupBy("month").agg(F.count("payment_type").alias("p")).collect()}
+    assert per_month == {1: 0, 2: 0, 3: 2}
+    # an application that does not know the table finds months and columns where they lie
+    name = months.table_name(broot, "yellow")
+    spark.sql(f"DROP TABLE {name}")
+    assert counts(spark, broot) == {1: 2, 2: 3, 3: 2}
+
+
 def test_partition_count_prunes_partitions(spark, workdir):
     rroot, broot = f"{workdir}/raw", f"{workdir}/bronze"
     land(spark, rroot)
@@ -168,8 +223,8 @@ def test_corrupt_month_file_is_skipped(spark, workdir):
     os.makedirs(os.path.dirname(bad), exist_ok=True)
     with open(bad, "wb") as f:
         f.write(b"not parquet")
-    months = raw.readable_months(spark, rroot, "yellow", [(1996, m) for m in (1, 2, 3, 4, 5)])
-    assert [(y, m) for y, m, _ in months] == [(1996, 1), (1996, 2), (1996, 3)]
+    found = raw.readable_months(spark, rroot, "yellow", [(1996, m) for m in (1, 2, 3, 4, 5)])
+    assert [(y, m) for y, m, _ in found] == [(1996, 1), (1996, 2), (1996, 3)]
 
 
 @pytest.mark.parametrize("report", ["column_profile", "schema_drift", "key_column_presence", "column_overlap"])
@@ -187,7 +242,7 @@ def test_raw_schema_reports_raise_on_an_unreadable_month(spark, workdir, report)
 def test_raw_scan_raises_on_an_unreadable_month(spark, workdir, monkeypatch):
     rroot = f"{workdir}/raw"
     land(spark, rroot)
-    monkeypatch.setattr(registry, "_lake", lambda spark, d: SimpleNamespace(raw_root=d))
+    monkeypatch.setattr(registry, "_lake", lambda spark, d: SimpleNamespace(raw_root=d, cfg=LakeConfig(sources=("yellow",))))
     assert registry.raw_scan(spark, rroot).count() == 7
     with open(raw.raw_path(rroot, "yellow", 1996, 4), "wb") as f:
         f.write(b"not parquet")
@@ -215,14 +270,14 @@ def test_lake_follows_its_inputs_and_a_failed_build_is_not_built(spark, workdir,
     from strata.lake import Lake, open_lake
     tables = tempfile.mkdtemp(prefix="strata-inputs-")
     for t in ("lineitem", "orders", "events"):
-        shutil.copy(f"/root/testdata/sf0.001/{t}.parquet", f"{tables}/{t}.parquet")
+        shutil.copyfile(f"/root/testdata/sf0.001/{t}.parquet", f"{tables}/{t}.parquet")
     root = f"{workdir}/lake"
     builds = []
     monkeypatch.setattr(Lake, "build", lambda self: builds.append(1))
     open_lake(spark, tables, root=root)
     open_lake(spark, tables, root=root)
     assert len(builds) == 1
-    shutil.copy("/root/testdata/sf0.01/orders.parquet", f"{tables}/orders.parquet")
+    shutil.copyfile("/root/testdata/sf0.01/orders.parquet", f"{tables}/orders.parquet")
     open_lake(spark, tables, root=root)
     assert len(builds) == 2
 
@@ -255,3 +310,24 @@ def test_no_shared_folder_on_a_cluster_is_an_error():
 
     with pytest.raises(ValueError):
         shared_root(Session())
+
+
+def test_a_build_leaves_tables_by_name(spark, workdir):
+    from strata.lake import Lake
+    from strata.operators import tables
+    lake = Lake(spark, None, f"{workdir}/lake", CFG, landed_at=f"{workdir}/raw")
+    land(spark, lake.raw_root)
+    built = lake.build()  # from landed files alone
+    assert built["gold"]["yellow"] == lake.by_name("gold").count() == lake.gold().count() == 3
+    names = lake.table_names()
+    assert spark.table(names["silver_yellow"]).count() == lake.silver("yellow").count()
+    assert tables.table_comment(spark, names["gold"]) == tables.GOLD_TABLE_COMMENT
+    docs = {r["column_name"]: r["comment"] for r in tables.column_docs(spark, [names["gold"]]).collect()}
+    assert docs["total_amount"] == tables.COLUMN_COMMENTS["total_amount"]
+    plan = lake.by_name("gold").where("pickup_month = date'1996-02-01'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(pickup_month" in plan
+    # a rewritten layer is registered anew
+    write_month(spark, lake.raw_root, 2, [row(8.0, 1.0, 9.0), row(9.0, 1.0, 9.0)], int_counters=False)
+    lake.bronze_and_silver()
+    lake.build_gold()
+    assert lake.by_name("gold").count() == lake.gold().count() == 4
