@@ -1,29 +1,33 @@
 """Exact discrete percentiles without gathering a column into one task.
 
 ``percentile_disc`` semantics: the value at 1-based rank ``max(1, ceil(p * n))``
-of the ascending non-null values.
+of the ascending non-null values, as doubles (NaN is the largest).
 
 Spark's own ``percentile_disc`` merges a value->count map of the whole column
-in one final task. Here every step is a map-side combined aggregate, and the
-one window runs per percentile over a group of bounded size:
+in one final task, and ``percentile_approx`` the sketches of all map tasks. Here
+sketches are merged in two levels (``_merged``), every other step is a map-side
+combined aggregate, and the one window runs per percentile over a group of
+bounded size:
 
 1. one pass counts ``n``, estimates the distinct values (HyperLogLog) and takes
-   a GK sketch (``percentile_approx``) at ``p -/+ margin`` for every wanted p;
-   the two sketch values bracket the wanted rank;
+   a KLL sketch, read at ``p -/+ margin`` for every wanted p; the two values
+   bracket the wanted rank;
 2. while a bracket may hold more than ``max_pairs`` distinct values, a
    narrowing pass counts the rows below and inside it, estimates its distinct
-   values and sketches its rows on a uniform grid; the bracket shrinks to the
-   grid cells around the rank (about ``3/grid`` of its rows, plus ties). A
-   bracket that does not hold its rank (the sketch guarantee failed) is
-   reopened over the whole column and narrowed again;
+   values and sketches its rows; the bracket shrinks to the cells of a uniform
+   grid around the rank (about ``3/grid`` of its rows, plus ties). A bracket
+   that does not hold its rank (the sketch was off) is replaced by the part of
+   the last good one on the rank's side. Good brackets shrink strictly, so the
+   passes end by themselves and every bracket keeps its bound;
 3. one pass reduces the rows inside each bracket to (value, count) pairs and
    counts the rows below each bracket by segment (one marker per row, not one
    row per bracket); a hot value collapses to one pair in the partial
    aggregate. A window per bracket, over at most about ``max_pairs`` pairs,
    turns the counts into absolute ranks.
 
-Only scalars, sketches of fixed size and one value per percentile reach the
-driver, never rows.
+Only scalars, values read from sketches and one value per percentile reach the
+driver, never rows. KLL sketches draw random bits: passes may differ from run to
+run, results do not.
 """
 
 from __future__ import annotations
@@ -34,13 +38,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_ACCURACY = 100_000
+# Size parameter k of the KLL sketches: a rank is off by about 2.3 / k^0.9 of the rows.
+DEFAULT_ACCURACY = 4096
 # Largest number of distinct values one bracket may hold when it is ranked by a window.
 DEFAULT_MAX_PAIRS = 1 << 20
-# Cells of the uniform sketch that narrows a bracket.
+# Cells of the uniform grid that narrows a bracket.
 DEFAULT_GRID = 1000
-# Safety stop for narrowing; the result stays exact, only the last window is larger.
-_MAX_ROUNDS = 16
+# Groups that the sketches of all map tasks are merged in before the last task merges theirs.
+MERGE_GROUPS = 256
 
 
 def _target_rank(p: float, n: int) -> int:
@@ -55,9 +60,7 @@ def exact_percentiles(df: DataFrame, value: Column | str, probs: list[float],
                       accuracy: int = DEFAULT_ACCURACY, max_pairs: int = DEFAULT_MAX_PAIRS,
                       grid: int = DEFAULT_GRID) -> list:
     """Exact ``percentile_disc`` of ``value`` for every p in ``probs`` (None if no rows)."""
-    vals = _values(df, value)
-    first = vals.agg(*_first_pass(probs, accuracy)).first()
-    return _finish(vals, probs, first, accuracy, max_pairs, grid)
+    return _percentiles(_values(df, value), probs, accuracy, max_pairs, grid)
 
 
 def percentile_profile(df: DataFrame, value: Column | str, probs: dict[str, float],
@@ -66,53 +69,68 @@ def percentile_profile(df: DataFrame, value: Column | str, probs: dict[str, floa
                        grid: int = DEFAULT_GRID) -> DataFrame:
     """One row: the ``summary`` aggregates and the exact percentiles ``probs``, as ``columns``.
 
-    The summary aggregates (min, max, mean, ...) ride along in the first
-    pass over the non-null values. That one-row result is cached when the
-    first pass runs, and the returned frame reads it, so the profile costs no
-    pass of its own. (A lost cache block is recomputed from lineage.)
+    The percentiles are found first. The summary aggregates (min, max, mean, ...)
+    are the job of the returned frame, a plain aggregate over the non-null values.
     """
     vals = _values(df, value)
-    first = vals.agg(*_first_pass(list(probs.values()), accuracy),
-                     *[fn(F.col("_x")).alias(name) for name, fn in summary.items()]).cache()
-    found = dict(zip(probs, _finish(vals, list(probs.values()), first.first(), accuracy,
-                                    max_pairs, grid)))
-    return first.select(*[F.col(c) if c in summary else F.lit(found[c]).cast("double").alias(c)
-                          for c in columns])
+    found = dict(zip(probs, _percentiles(vals, list(probs.values()), accuracy, max_pairs, grid), strict=True))
+    return vals.agg(*[fn(F.col("_x")).alias(name) for name, fn in summary.items()]).select(
+        *[F.col(c) if c in summary else F.lit(found[c]).cast("double").alias(c) for c in columns])
 
 
 def _values(df: DataFrame, value: Column | str) -> DataFrame:
-    x = (F.col(value) if isinstance(value, str) else value).alias("_x")
+    x = (F.col(value) if isinstance(value, str) else value).cast("double").alias("_x")
     return df.select(x).filter(F.col("_x").isNotNull())
 
 
-def _sketch_points(probs: list[float], accuracy: int) -> list[float]:
-    margin = 4.0 / accuracy
-    return sorted({_clip(q) for p in probs for q in (p - margin, p + margin)})
-
+def _sketch_size(accuracy: int) -> int:
+    return min(65_535, max(8, accuracy))
 
-def _first_pass(probs: list[float], accuracy: int) -> list[Column]:
-    """Aggregates of the first pass: n, distinct estimate, sketch around every p."""
-    return [F.count(F.lit(1)).alias("_n"), F.approx_count_distinct("_x").alias("_d"),
-            F.percentile_approx("_x", _sketch_points(probs, accuracy), accuracy).alias("_q")]
 
+def _merged(vals: DataFrame, conditions: list[tuple[Column, Column]], fractions: list[float], k: int) -> DataFrame:
+    """One row with, per (below, inside): ``b`` and ``m`` rows, ``d`` distinct values, ``s`` the inside rows at ``fractions``.
 
-def _finish(vals: DataFrame, probs: list[float], first, accuracy: int, max_pairs: int,
-            grid: int) -> list:
-    """The exact values, from the first pass's row onwards."""
+    The sketches of map tasks are merged by group of their partition first, so
+    what the last task reads does not grow with the number of map tasks. ``s``
+    is null if no row is inside but NaN, which KLL sketches leave out.
+    """
+    parts, wholes, reads = [], [], []
+    for i, (below, inside) in enumerate(conditions):
+        x = F.when(inside, F.col("_x"))
+        parts += [F.count_if(below).alias(f"b{i}"), F.count_if(inside).alias(f"m{i}"),
+                  F.hll_sketch_agg(F.when(inside, F.xxhash64("_x"))).alias(f"d{i}"), F.kll_sketch_agg_double(x, k).alias(f"s{i}")]
+        wholes += [F.sum(f"b{i}").alias(f"b{i}"), F.sum(f"m{i}").alias(f"m{i}"),
+                   F.hll_union_agg(f"d{i}").alias(f"d{i}"), F.kll_merge_agg_double(f"s{i}", k).alias(f"s{i}")]
+        at = F.array(*[F.lit(q) for q in fractions])
+        reads += [F.coalesce(f"b{i}", F.lit(0)).alias(f"b{i}"), F.coalesce(f"m{i}", F.lit(0)).alias(f"m{i}"),
+                  F.hll_sketch_estimate(f"d{i}").alias(f"d{i}"),
+                  F.when(F.kll_sketch_get_n_double(f"s{i}") > 0,
+                         F.kll_sketch_get_quantile_double(f"s{i}", at)).alias(f"s{i}")]
+    grouped = vals.groupBy((F.spark_partition_id() % MERGE_GROUPS).alias("_group")).agg(*parts)
+    return grouped.agg(*wholes).select(*reads)
+
+
+def _percentiles(vals: DataFrame, probs: list[float], accuracy: int, max_pairs: int, grid: int) -> list:
+    """The exact value of every p in ``probs``."""
     wanted = list(dict.fromkeys(probs))
-    n = int(first["_n"])
+    k = _sketch_size(accuracy)
+    margin = min(1.0, 2.3 / k ** 0.9)
+    points = sorted({_clip(q) for p in wanted for q in (p - margin, p + margin)})
+    first = _merged(vals, [(F.lit(False), F.lit(True))], points, k).first()
+    n = int(first["m0"])
     if n == 0:
         return [None for _ in probs]
-    margin = 4.0 / accuracy
-    sketch = dict(zip(_sketch_points(wanted, accuracy), first["_q"]))
-    # open below (None) when p - margin reaches the minimum, open above near the maximum
-    brackets = {p: (None if p - margin <= 0 else sketch[_clip(p - margin)],
-                    None if p + margin >= 1 else sketch[_clip(p + margin)]) for p in wanted}
-    small = int(first["_d"]) <= max_pairs
+    brackets: dict[float, tuple] = {p: (None, None) for p in wanted}
+    if first["s0"] is not None:
+        sketch = dict(zip(points, first["s0"], strict=True))
+        # open below (None) when p - margin reaches the minimum, open above near the maximum
+        brackets = {p: (None if p - margin <= 0 else sketch[_clip(p - margin)],
+                        None if p + margin >= 1 else sketch[_clip(p + margin)]) for p in wanted}
+    small = int(first["d0"] or 0) <= max_pairs
     results: dict[float, object] = {}
     while brackets:
         if not small:
-            brackets = _narrow(vals, n, brackets, accuracy, max_pairs, grid)
+            brackets = _narrow(vals, n, brackets, k, max_pairs, grid)
         found = _resolve(vals, n, brackets)
         results.update({p: v for p, v in found.items() if v is not _MISS})
         brackets = {p: (None, None) for p, v in found.items() if v is _MISS}
@@ -131,43 +149,51 @@ def _in_bracket(lo, hi) -> Column:
     return cond
 
 
-def _narrow(vals: DataFrame, n: int, brackets: dict[float, tuple], accuracy: int,
+def _before(x: float | None) -> float | None:
+    """The largest double below ``x`` (none below an open bound)."""
+    return None if x is None else math.nextafter(x, -math.inf)
+
+
+def _after(x: float | None) -> float | None:
+    """The smallest double above ``x``; above infinity there is only NaN."""
+    if x is None:
+        return None
+    return math.nan if x == math.inf else math.nextafter(x, math.inf)
+
+
+def _narrow(vals: DataFrame, n: int, brackets: dict[float, tuple], k: int,
             max_pairs: int, grid: int) -> dict[float, tuple]:
-    """Shrink every bracket until it holds at most about ``max_pairs`` distinct values.
+    """Shrink every bracket until it holds its rank and at most about ``max_pairs`` distinct values.
 
-    Each round is one aggregate over the column with, per open bracket: rows
-    below it, rows inside it, a HyperLogLog estimate of its distinct values and
-    a GK sketch of its rows at ``grid + 1`` evenly spaced fractions.
+    ``good`` is the smallest bracket known to hold a rank, ``todo`` the one to
+    be counted next, inside it. Each round is one ``_merged`` pass.
     """
     fractions = [i / grid for i in range(grid + 1)]
     done: dict[float, tuple] = {}
+    good: dict[float, tuple] = {p: (None, None) for p in brackets}
     todo = dict(brackets)
-    for _ in range(_MAX_ROUNDS):
-        if not todo:
-            break
-        aggs = []
-        for i, (lo, hi) in enumerate(todo.values()):
-            inside = _in_bracket(lo, hi)
-            below = F.count_if(F.col("_x") < F.lit(lo)) if lo is not None else F.lit(0).cast("bigint")
-            aggs += [below.alias(f"b{i}"), F.count_if(inside).alias(f"m{i}"),
-                     F.approx_count_distinct(F.when(inside, F.col("_x"))).alias(f"d{i}"),
-                     F.percentile_approx(F.when(inside, F.col("_x")), fractions, accuracy).alias(f"s{i}")]
-        stats = vals.agg(*aggs).first()
+    while todo:
+        conditions = [((F.col("_x") < F.lit(lo)) if lo is not None else F.lit(False), _in_bracket(lo, hi))
+                      for lo, hi in todo.values()]
+        stats = _merged(vals, conditions, fractions, k).first()
         nxt = {}
         for i, (p, (lo, hi)) in enumerate(todo.items()):
-            below, inside, distinct = int(stats[f"b{i}"]), int(stats[f"m{i}"]), int(stats[f"d{i}"])
+            below, inside, distinct = int(stats[f"b{i}"]), int(stats[f"m{i}"]), int(stats[f"d{i}"] or 0)
             rank = _target_rank(p, n)
-            if not below < rank <= below + inside:
-                nxt[p] = (None, None)      # the sketch missed the rank: reopen
-            elif distinct <= max_pairs:
-                done[p] = (lo, hi)
+            if rank <= below:
+                nxt[p] = good[p] = (good[p][0], _before(lo))
+            elif rank > below + inside:
+                nxt[p] = good[p] = (_after(hi), good[p][1])
+            elif distinct <= max_pairs or (cells := stats[f"s{i}"]) is None or (lo is not None and lo == hi):
+                done[p] = (lo, hi)  # few values, nothing but NaN, or one value
             else:
-                cells = stats[f"s{i}"]
+                good[p] = (lo, hi)
                 t = (rank - below) / inside
-                i_lo, i_hi = math.floor(t * grid) - 1, math.ceil(t * grid) + 1
-                nxt[p] = (cells[i_lo] if i_lo > 0 else lo, cells[i_hi] if i_hi < grid else hi)
+                i_lo, i_hi = max(0, math.floor(t * grid) - 1), min(grid, math.ceil(t * grid) + 1)
+                closer = (cells[i_lo] if i_lo > 0 else lo, cells[i_hi] if i_hi < grid else hi)
+                # cells as wide as the bracket: its two ends are hot values, next without them
+                nxt[p] = closer if closer != (lo, hi) else (_after(cells[0]), _before(cells[grid]))
         todo = nxt
-    done.update(todo)
     return done
 
 
@@ -212,9 +238,3 @@ def _resolve(vals: DataFrame, n: int, brackets: dict[float, tuple]) -> dict[floa
         if row["v"] is not None:        # the rank falls inside the bracket
             out[probs[int(row["_b"])]] = row["v"]
     return out
-
-
-def approx_percentiles(df: DataFrame, value: str, probs: list[float],
-                       accuracy: int = 10_000) -> DataFrame:
-    """The sketch form the reference's profile uses; bounded memory, rank error <= n/accuracy."""
-    return df.agg(F.percentile_approx(value, probs, accuracy).alias("q"))

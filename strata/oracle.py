@@ -167,6 +167,15 @@ def _quality(layer: str, table: str) -> str:
             f"ELSE 'FAIL' END AS status FROM ({rows})")
 
 
+def _cast_report() -> str:
+    counts = " UNION ALL ".join(
+        f"SELECT 'bronze_{s}' AS layer, 'uncastable_{name}' AS check_name, count(*) AS total, "
+        f"count(*) FILTER (WHERE {col} IS NOT NULL AND TRY_CAST(trunc({col}) AS INTEGER) IS NULL) AS failed FROM bronze_{s}"
+        for s in ("yellow", "green") for name, col in (("vendor", "VendorID"), ("passengers", "passenger_count")))
+    return (f"SELECT layer, check_name, failed, total, {pct('failed', 'total')} AS pct, CASE WHEN failed = 0 THEN 'PASS' "
+            f"WHEN {pct('failed', 'total')} < {CFG.warn_pct} THEN 'WARN' ELSE 'FAIL' END AS status FROM ({counts})")
+
+
 # Columns of every raw source and the type each month file delivers them in.
 _BIG_THEN_DOUBLE = (("bigint", "1,2"), ("double", "3,4,5"))
 RAW_COLUMNS = {
@@ -192,7 +201,7 @@ RAW_COLUMNS = {
 BRONZE = {"yellow": "bronze_yellow", "green": "bronze_green", "fhv": "bronze_fhv", "fhvhv": "bronze_fhvhv"}
 
 
-def _raw_profile() -> str:
+def _raw_profile(bounds: bool = False) -> str:
     parts = []
     for source, (table, columns) in RAW_COLUMNS.items():
         for col, variants in columns:
@@ -200,11 +209,18 @@ def _raw_profile() -> str:
                 nn = "CAST(0 AS BIGINT)" if dtype == "absent" else f"count({col})"
                 parts.append(
                     f"SELECT '{source}' AS taxi_type, '{col}' AS column_name, '{dtype}' AS data_type, "
-                    f"'{months}' AS months, count(*) AS rows, {nn} AS non_nulls FROM {table} "
+                    f"'{months}' AS months, count(*) AS rows, {nn} AS non_nulls{_column_bounds(col, dtype) if bounds else ''} FROM {table} "
                     f"WHERE file_month IN ({months})")
     return " UNION ALL ".join(parts)
 
 
+def _column_bounds(col: str, dtype: str) -> str:
+    number, time = dtype in ("bigint", "double"), dtype == "timestamp_ntz"
+    return "".join(f", CAST({f'{side}({col})' if fits else 'NULL'} AS {kind}) AS {side}_{name}"
+                   for fits, kind, name in ((number, "DOUBLE", "number"), (time, "TIMESTAMP", "time"))
+                   for side in ("min", "max"))
+
+
 def _bronze_columns(source: str) -> list[str]:
     cols = [c for c, _ in RAW_COLUMNS[source][1]]
     return cols
@@ -285,6 +301,7 @@ FROM (SELECT taxi_type, trips, {r('_avg', 2)} AS avg_fare, {r('_sum', 0)} AS tot
     "quality_report": q(_quality("gold", "gold")),
     "silver_quality_report": q(_quality("silver_yellow", "silver_yellow") + " UNION ALL "
                                + _quality("silver_green", "silver_green")),
+    "bronze_cast_report": q(_cast_report()),
     "audit_trail": q(f"""SELECT taxi_type, bronze_rows, silver_rows, gold_rows, dropped_missing,
        bronze_rows - dropped_missing - silver_rows AS dropped_duplicate,
        silver_rows - gold_rows AS dropped_before_start,
@@ -402,7 +419,7 @@ ORDER BY total_amount DESC, pickup_datetime NULLS FIRST, dropoff_datetime NULLS
 FROM bronze_yellow WHERE total_amount < 0
 ORDER BY total_amount NULLS FIRST, pickup_datetime NULLS FIRST, payment_type NULLS FIRST LIMIT 10"""),
     "null_report": q(_null_report() + " ORDER BY taxi_type, nulls DESC, column_name"),
-    "column_profile": f"WITH {CTES}, raw_profile AS ({_raw_profile()})\n"
+    "column_profile": f"WITH {CTES}, raw_profile AS ({_raw_profile(bounds=True)})\n"
                       "SELECT * FROM raw_profile ORDER BY taxi_type, column_name, data_type",
     "schema_drift": f"WITH {CTES}, raw_profile AS ({_raw_profile()})\n"
                     """SELECT * FROM raw_profile p WHERE (SELECT count(*) FROM raw_profile x

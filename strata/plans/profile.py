@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.config import MONETARY_KEYWORDS, LakeConfig, SourceSpec
@@ -179,12 +179,42 @@ def null_report(frames: dict[str, DataFrame]) -> DataFrame:
             .orderBy("taxi_type", F.desc("nulls"), "column_name"))
 
 
-def raw_column_profile(spark: SparkSession, raw_root: str, cfg: LakeConfig) -> DataFrame:
+def schema_groups_of(spark: SparkSession, raw_root: str, cfg: LakeConfig) -> dict[str, list]:
+    """Per source its landed months grouped by identical schema; footers of all sources are read side by side."""
+    landed = raw.landed_files(spark, raw_root)
+    return concurrently({s: (lambda s=s: raw.schema_groups(spark, raw_root, s, cfg.year_months(), landed))
+                         for s in cfg.sources})
+
+
+def _variants(groups: list) -> dict[str, set[str]]:
+    """The types a source's columns are delivered with, ``absent`` where a group lacks the column."""
+    types = [{f.name: f.dataType.simpleString() for f in schema.fields} for schema, _ in groups]
+    return {c: {t.get(c, "absent") for t in types} for c in dict.fromkeys(c for t in types for c in t)}
+
+
+_NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double")
+_TIMES = ("timestamp", "timestamp_ntz", "date")
+
+
+def _bounds(place: int, data_type: str) -> str:
+    """min and max of a column as numbers and as times, each null where it is not of that kind."""
+    number, time = data_type in _NUMBERS or data_type.startswith("decimal"), data_type in _TIMES
+    return ", ".join(f"CAST({f'`{side}_{place}`' if fits else 'NULL'} AS {kind})"
+                     for fits, kind in ((number, "DOUBLE"), (time, "TIMESTAMP_NTZ")) for side in ("lo", "hi"))
+
+
+BOUND_COLUMNS = ("min_number", "max_number", "min_time", "max_time")
+
+
+def raw_column_profile(spark: SparkSession, raw_root: str, cfg: LakeConfig, by_source: dict[str, list] | None = None,
+                       chosen: dict[str, list[str]] | None = None, bounds: bool = False) -> DataFrame:
     """Per (source, column, type as delivered): months, rows and non-null values.
 
     Raw months are grouped by identical schema (footer metadata); each group
     is one scan with one wide aggregate, unpivoted; all groups form one job.
-    A column missing from some months gets a row of type ``absent``. Months are
+    Only the columns ``chosen`` for a source (default: all) are read. With
+    ``bounds`` numbers and times also give their min and max. A column missing
+    from some months gets a row of type ``absent``. Months are
     listed by number if the lake has one year, as ``YYYY-MM`` if it has more. A
     landed month that cannot be read is an error.
     """
@@ -193,59 +223,71 @@ def raw_column_profile(spark: SparkSession, raw_root: str, cfg: LakeConfig) -> D
     number, listed = ((lambda y, m: m), lambda n: n.cast("string")) if len(set(cfg.years)) == 1 else (
         (lambda y, m: y * 100 + m),
         lambda n: F.format_string("%04d-%02d", F.floor(n / 100).cast("int"), n % 100))
-    landed = raw.landed_files(spark, raw_root)
-    # footers of all sources are read side by side
-    by_source = concurrently({s: (lambda s=s: raw.schema_groups(spark, raw_root, s, cfg.year_months(),
-                                                                landed)) for s in cfg.sources})
+    by_source = by_source or schema_groups_of(spark, raw_root, cfg)
+    extra = BOUND_COLUMNS if bounds else ()
     for source in cfg.sources:
         groups = by_source[source]
-        all_cols = list(dict.fromkeys(f.name for schema, _ in groups for f in schema.fields))
-        for schema, months in groups:
+        names = [c for c in _variants(groups) if chosen is None or c in chosen[source]]
+        for schema, months in groups if names else []:
             paths = [raw.raw_path(raw_root, source, y, m) for y, m in months]
             types = {f.name: f.dataType.simpleString() for f in schema.fields}
-            wide = spark.read.schema(schema).parquet(*paths).agg(
-                F.count(F.lit(1)).alias("_rows"),
-                *[F.count(F.col(f"`{c}`")).alias(f"nn_{c}") for c in types])
+            aggs = [F.count(F.lit(1)).alias("_rows")]
+            for i, c in enumerate(names):
+                if c in types:
+                    aggs.append(F.count(F.col(f"`{c}`")).alias(f"nn_{i}"))
+                    if bounds and (types[c] in _NUMBERS + _TIMES or types[c].startswith("decimal")):
+                        aggs += [F.min(F.col(f"`{c}`")).alias(f"lo_{i}"), F.max(F.col(f"`{c}`")).alias(f"hi_{i}")]
+            wide = spark.read.schema(schema).parquet(*paths).agg(*aggs)
             month_list = ",".join(str(number(y, m)) for y, m in sorted(months))
             entries = ", ".join(
-                f"'{c}', '{types[c]}', `nn_{c}`" if c in types else f"'{c}', 'absent', CAST(0 AS BIGINT)"
-                for c in all_cols)
+                f"'{c}', '{types.get(c, 'absent')}', {f'`nn_{i}`' if c in types else 'CAST(0 AS BIGINT)'}"
+                + (", " + _bounds(i, types.get(c, "absent")) if bounds else "") for i, c in enumerate(names))
             parts.append(wide.selectExpr(
-                "_rows", f"stack({len(all_cols)}, {entries}) AS (column_name, data_type, non_nulls)")
+                "_rows", f"stack({len(names)}, {entries}) AS "
+                         f"({', '.join(('column_name', 'data_type', 'non_nulls', *extra))})")
                 .select(F.lit(source).alias("taxi_type"), "column_name", "data_type",
-                        F.lit(month_list).alias("months"), F.col("_rows").alias("rows"), "non_nulls"))
+                        F.lit(month_list).alias("months"), F.col("_rows").alias("rows"), "non_nulls", *extra))
+    if not parts:
+        return spark.createDataFrame([], "taxi_type string, column_name string, data_type string, months string, rows long, "
+                                         "non_nulls long" + (", min_number double, max_number double, "
+                                         "min_time timestamp_ntz, max_time timestamp_ntz" if bounds else ""))
     profile = reduce(DataFrame.unionByName, parts)
     # months of one (source, column, type) from several schema groups merge into one row
     return (profile.groupBy("taxi_type", "column_name", "data_type")
             .agg(F.array_join(F.transform(F.array_sort(F.transform(
                      F.flatten(F.collect_list(F.split("months", ","))), lambda m: m.cast("int"))),
                      listed), ",").alias("months"),
-                 F.sum("rows").alias("rows"), F.sum("non_nulls").alias("non_nulls")))
+                 F.sum("rows").alias("rows"), F.sum("non_nulls").alias("non_nulls"),
+                 *[(F.min if c.startswith("min") else F.max)(c).alias(c) for c in extra]))
 
 
 def column_profile(spark: SparkSession, raw_root: str, cfg: LakeConfig) -> DataFrame:
-    """Q4: the schema listing of every source, with row and non-null counts per type."""
-    return raw_column_profile(spark, raw_root, cfg).orderBy("taxi_type", "column_name", "data_type")
+    """Q4: the schema listing of every source, with row and non-null counts, min and max per type."""
+    return raw_column_profile(spark, raw_root, cfg, bounds=True).orderBy("taxi_type", "column_name", "data_type")
 
 
 def schema_drift(spark: SparkSession, raw_root: str, cfg: LakeConfig) -> DataFrame:
-    """Q3: columns whose type differs between months, or that some months lack."""
-    prof = raw_column_profile(spark, raw_root, cfg)
-    # one row per (source, column, type): the window's groups hold a column's few types
-    per_column = Window.partitionBy("taxi_type", "column_name")
-    return (prof.withColumn("_variants", F.count(F.lit(1)).over(per_column))
-            .filter(F.col("_variants") > 1).drop("_variants")
-            .orderBy("taxi_type", "column_name", "months"))
+    """Q3: columns whose type differs between months, or that some months lack.
+
+    Footers tell which these are; only they are read.
+    """
+    by_source = schema_groups_of(spark, raw_root, cfg)
+    drifted = {s: [c for c, types in _variants(groups).items() if len(types) > 1] for s, groups in by_source.items()}
+    return raw_column_profile(spark, raw_root, cfg, by_source, drifted).orderBy("taxi_type", "column_name", "months")
 
 
 def key_column_presence(spark: SparkSession, raw_root: str, cfg: LakeConfig,
                         keys: tuple[str, ...] = ("passenger_count", "total_amount")) -> DataFrame:
-    """Q5: does each source carry the columns the two queries need, and how filled are they."""
-    prof = raw_column_profile(spark, raw_root, cfg).filter(F.col("data_type") != "absent")
+    """Q5: does each landed source carry the columns the two queries need, and how filled are they.
+
+    Only these columns are read.
+    """
+    by_source = schema_groups_of(spark, raw_root, cfg)
+    prof = raw_column_profile(spark, raw_root, cfg, by_source, {s: list(keys) for s in by_source}) \
+        .filter(F.col("data_type") != "absent")
     per_source = prof.groupBy("taxi_type", "column_name").agg(F.sum("non_nulls").alias("non_nulls"))
-    sources = prof.select("taxi_type").distinct()
-    wanted = reduce(DataFrame.unionByName,
-                    [sources.select("taxi_type", F.lit(k).alias("column_name")) for k in keys])
+    wanted = spark.createDataFrame([(s, k) for s, groups in by_source.items() if groups for k in keys],
+                                   "taxi_type string, column_name string")
     return (wanted.join(per_source, ["taxi_type", "column_name"], "left")
             .select("taxi_type", "column_name", F.col("non_nulls").isNotNull().alias("present"),
                     F.coalesce("non_nulls", F.lit(0)).alias("non_nulls"))

@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.config import CANONICAL_COLUMNS, QUALITY_CHECKS, LakeConfig
+from strata.config import CANONICAL_COLUMNS, QUALITY_CHECKS, LakeConfig, SourceSpec
 from strata.functions.expressions import content_hash, pct
 
 _CHECK_CONDITIONS = {
@@ -33,10 +33,24 @@ def quality_report(df: DataFrame, layer: str, warn_pct: float = 5.0,
     PASS when nothing fails, WARN below ``warn_pct`` percent, else FAIL; an
     empty layer has 0 % everywhere and passes.
     """
-    wide = df.agg(F.count(F.lit(1)).alias("total"),
-                  *[F.count_if(_CHECK_CONDITIONS[c]()).alias(c) for c in checks])
-    stack = ", ".join(f"'{c}', `{c}`" for c in checks)
-    rows = wide.selectExpr("total", f"stack({len(checks)}, {stack}) AS (check_name, failed)")
+    return _check_rows(df, layer, {c: _CHECK_CONDITIONS[c]() for c in checks}, warn_pct)
+
+
+def cast_report(bronze: DataFrame, spec: SourceSpec, warn_pct: float = 5.0) -> DataFrame:
+    """Q1 on the casts of P1: bronze counters that silver turns to null because they are no whole number of its range.
+
+    NaN, infinities and values beyond INT fail the cast; nulls do not count.
+    """
+    lost = {f"uncastable_{name}": F.col(column).isNotNull() & F.col(column).try_cast("int").isNull()
+            for name, column in (("vendor", spec.vendor), ("passengers", spec.passengers))}
+    return _check_rows(bronze, f"bronze_{spec.name}", lost, warn_pct)
+
+
+def _check_rows(df: DataFrame, layer: str, conditions: dict[str, Column], warn_pct: float) -> DataFrame:
+    """One row per named condition: how many rows of the layer meet it, from one aggregate."""
+    wide = df.agg(F.count(F.lit(1)).alias("total"), *[F.count_if(cond).alias(c) for c, cond in conditions.items()])
+    stack = ", ".join(f"'{c}', `{c}`" for c in conditions)
+    rows = wide.selectExpr("total", f"stack({len(conditions)}, {stack}) AS (check_name, failed)")
     percent = pct(F.col("failed"), F.col("total"))
     return rows.select(
         F.lit(layer).alias("layer"), "check_name", "failed", "total",

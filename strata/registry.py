@@ -101,6 +101,12 @@ def silver_quality_report(spark, d):
                    for s in CFG.trip_sources])
 
 
+def bronze_cast_report(spark, d):
+    """Counters that the silver projection cannot cast, per trip source."""
+    lake = _lake(spark, d)
+    return reduce(DataFrame.unionByName, [quality.cast_report(lake.bronze(s.name), s, CFG.warn_pct) for s in CFG.trip_sources])
+
+
 def audit_trail(spark, d):
     lake = _lake(spark, d)
     return quality.audit_trail(_trip_bronze(lake), {s.name: lake.silver(s.name) for s in CFG.trip_sources},
@@ -421,7 +427,7 @@ def monetary_columns(spark, d):
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     q1, q1_sql, q2, q2_sql, q1_labelled, compare_by_type_month, type_summary, hourly_revenue,
-    peak_hours, gold_counts_by_type, quality_report, silver_quality_report, audit_trail,
+    peak_hours, gold_counts_by_type, quality_report, silver_quality_report, bronze_cast_report, audit_trail,
     layer_counts, silver_yellow, silver_green, gold_trips, silver_project, filter_valid_records,
     deduplicate, dropped_duplicates, raw_scan, volume_by_month, bronze_lineage, bronze_counts, bronze_partition_count,
     normalize_types, bronze_schema_evolution, bronze_replace_month, bronze_reingest_months, bronze_incremental, clustered_layout, idempotency,

@@ -102,6 +102,16 @@ def test_quality_report_statuses_and_empty_layer(spark):
     assert all(r["status"] == "PASS" and r["pct"] == 0.0 and r["total"] == 0 for r in empty)
 
 
+def test_cast_report_counts_what_the_projection_nulls(spark):
+    rows = [(1.0, 2.0), (math.nan, 1.0), (3e9, math.inf), (None, None), (2.7, -3e9)]
+    df = spark.createDataFrame(rows, "VendorID double, passenger_count double")
+    got = {r["check_name"]: (r["failed"], r["total"], r["pct"], r["status"])
+           for r in quality.cast_report(df, YELLOW).collect()}
+    assert got == {"uncastable_vendor": (2, 5, 40.0, "FAIL"), "uncastable_passengers": (2, 5, 40.0, "FAIL")}
+    empty = quality.cast_report(df.limit(0), YELLOW).collect()
+    assert {(r["failed"], r["total"], r["pct"], r["status"]) for r in empty} == {(0, 0, 0.0, "PASS")}
+
+
 def test_overlap_violations_detects_overlapping_files(spark, workdir):
     t = lambda h: TS(1996, 1, 1, h)
     schema = "pickup_datetime timestamp_ntz, dropoff_datetime timestamp_ntz, VendorID int"

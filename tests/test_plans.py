@@ -87,3 +87,12 @@ def test_layout_check_scans_its_layer_once(lake):
     p = plan(layout.overlap_violations(lake.gold()))
     assert p.count("FileScan parquet") == 0     # both levels read the checkpointed file ranges
     assert "Window" in p
+
+
+def test_schema_reports_read_only_the_columns_they_count(spark, lake):
+    for report, wanted, unwanted in (
+            (profile.key_column_presence, {"passenger_count", "total_amount"}, {"VendorID", "pickup_datetime"}),
+            (profile.schema_drift, {"VendorID", "passenger_count", "payment_type"}, {"total_amount", "pickup_datetime"})):
+        text = report(spark, lake.raw_root, lake.cfg)._jdf.queryExecution().executedPlan().toString()
+        read = " ".join(line.split("ReadSchema:")[1] for line in text.splitlines() if "ReadSchema:" in line)
+        assert all(f"{c}:" in read for c in wanted) and not any(f"{c}:" in read for c in unwanted)

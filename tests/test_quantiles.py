@@ -84,3 +84,28 @@ def test_percentile_profile_matches_brute_force_and_handles_empty(spark):
     empty = percentile_profile(spark.createDataFrame([(None,)], "x double"), F.col("x"), probs,
                                summary, cols).first()
     assert all(empty[c] is None for c in cols)
+
+
+def test_hot_ends_and_nan_do_not_stop_the_narrowing(spark):
+    # the rank lies in a sliver of distinct values between two hot ones; NaN ranks last
+    values = [1.0] * 3000 + [1.5 + i / 1000 for i in range(400)] + [9.0] * 3000 + [math.nan] * 5
+    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(4)
+    probs = [0.3, 0.5, 0.52, 0.9]
+    got = exact_percentiles(df, "x", probs, accuracy=50, max_pairs=10, grid=8)
+    assert got == [values[max(1, math.ceil(p * len(values))) - 1] for p in probs]
+    assert math.isnan(exact_percentiles(df, "x", [1.0], accuracy=50, max_pairs=10, grid=8)[0])
+    assert math.isnan(exact_percentiles(df.filter("isnan(x)"), "x", [0.5], max_pairs=0)[0])
+
+
+def test_last_merge_reads_groups_not_map_tasks(spark):
+    from pyspark.sql import functions as F
+
+    from strata.functions import quantiles
+    vals = spark.range(0, 3000, 1, 700).select(F.col("id").cast("double").alias("_x"))
+    merged = quantiles._merged(vals, [(F.lit(False), F.lit(True))], [0.0, 0.5, 1.0], 200)
+    plan = merged._jdf.queryExecution().optimizedPlan()
+    grouped = plan.toString().index("_group")
+    assert plan.toString().count("Aggregate") == 2 and grouped > 0
+    row = merged.first()
+    assert row["m0"] == 3000 and row["s0"][0] == 0.0 and row["s0"][2] == 2999.0
+    assert abs(row["s0"][1] - 1500) < 100 and abs(row["d0"] - 3000) < 200

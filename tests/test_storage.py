@@ -263,6 +263,25 @@ def test_schema_reports_keep_the_year(spark, workdir):
     assert one == {"absent": "1,2", "bigint": "3"}
 
 
+def test_column_profile_gives_bounds_of_numbers_and_times(spark, workdir):
+    rroot = f"{workdir}/raw"
+    cfg = LakeConfig(months=(1, 2), sources=("yellow",))
+    for month, kind, values in ((1, "bigint", (3, 7, None)), (2, "double", (0.5, float("nan"), None))):
+        cells = [(None if v is None else str(v), v, f"1996-01-0{i + 1} 00:00:00") for i, v in enumerate(values)]
+        spark.createDataFrame([(t, None if v is None else (int(v) if kind == "bigint" else v), at) for t, v, at in cells],
+                              f"note string, n {kind}, at string").selectExpr(
+            "note", "n", "cast(at as timestamp_ntz) AS at", "cast(null as decimal(9, 2)) AS fee").write.parquet(
+            raw.raw_path(rroot, "yellow", 1996, month))
+    got = {(r["column_name"], r["data_type"]): r for r in profile.column_profile(spark, rroot, cfg).collect()}
+    bounds = lambda r: tuple(r[c] for c in profile.BOUND_COLUMNS)
+    assert bounds(got["n", "bigint"]) == (3.0, 7.0, None, None)
+    low, high, *times = bounds(got["n", "double"])
+    assert low == 0.5 and high != high and times == [None, None]  # NaN is the largest
+    assert bounds(got["note", "string"]) == (None,) * 4 == bounds(got["fee", "decimal(9,2)"])
+    first, last = bounds(got["at", "timestamp_ntz"])[2:]
+    assert (first.day, last.day) == (1, 3) and got["at", "timestamp_ntz"]["months"] == "1,2"
+
+
 def test_lake_follows_its_inputs_and_a_failed_build_is_not_built(spark, workdir, monkeypatch):
     import shutil
     import tempfile
