@@ -142,6 +142,21 @@ def test_content_hash_is_order_insensitive(spark):
     assert fp(df) != fp(df.filter("k < 3"))
 
 
+def test_month_fingerprints_add_up_and_tell_which_months_differ(spark):
+    schema = "m int, v int"
+    rows = [(1, 5), (1, 5), (1, 7), (2, 9), (None, 4)]
+    months = lambda rows: quality.month_fingerprints(spark.createDataFrame(rows, schema), "x", F.col("m"), ("m", "v"))
+    first = months(rows)
+    whole = quality.layer_fingerprint(spark.createDataFrame(rows, schema), "x", ("m", "v")).first()
+    assert sum(r["rows"] for r in first.collect()) == whole["rows"]
+    assert sum(r["content_hash"] for r in first.collect()) == whole["content_hash"]
+    compared = lambda other: tuple(quality.compare_months(first, months(other)).first())
+    assert compared(rows[::-1]) == ("x", 5, 5, 0)
+    assert compared([(1, 5), (1, 7), (1, 7), (2, 9), (None, 4)]) == ("x", 5, 5, 1)  # same rows, other content
+    assert compared([*rows, (2, 9), (3, 1)]) == ("x", 5, 7, 2)  # a doubled row, a month more
+    assert compared(rows[:4]) == ("x", 5, 4, 1)
+
+
 def test_duration_ignores_session_time_zone_and_dst(spark):
     from strata.functions.expressions import trip_duration_minutes
     old = spark.conf.get("spark.sql.session.timeZone")
