@@ -225,3 +225,50 @@ def test_sharding_odd_rows(odd_docs):
     got = sharding.shard(odd_docs).collect()
     assert len(got) == odd_docs.count() and [r["size"] for r in got if r["doc_id"] == 1] == [1]
     assert sharding.shard(odd_docs.limit(0)).count() == 0
+
+
+def test_discriminant_fit_is_that_of_the_labelled_rows(spark):
+    rng = np.random.default_rng(5)
+    d = len(quality_rda.FEATURES)
+    vectors = [rng.normal(size=d) @ rng.normal(size=(d, d)) + (i % 3) for i in range(400)]
+    rows = [(i, zlib.crc32(str(i).encode()) % 5 == 0, [float(x) for x in v]) for i, v in enumerate(vectors)]
+    marks = [(i, int(i % 3 == 0)) for i in range(380)] + [(5, None), (900, 1)]
+    model = quality_rda.fit(spark.createDataFrame(rows, "doc_id long, held_out boolean, x array<double>"),
+                            spark.createDataFrame(marks, "doc_id long, quality int"))
+    learned = [np.array([vectors[i] for i in range(380) if int(i % 3 == 0) == y and not rows[i][1]]) for y in (0, 1)]
+    total = sum(map(len, learned))
+    assert model["share"] == len(learned[1]) / total
+    pooled = sum(len(x) * np.cov(x.T, bias=True) for x in learned) / total
+    for x, mean, factor in zip(learned, model["means"], model["factors"], strict=True):
+        np.testing.assert_allclose(mean, x.mean(0), rtol=1e-9, atol=1e-9)
+        own = (1 - quality_rda.SHRINK) * np.cov(x.T, bias=True) + quality_rda.SHRINK * pooled
+        cov = (1 - quality_rda.DIAGONAL) * own + quality_rda.DIAGONAL * np.diag(np.diag(pooled)) + quality_rda.RIDGE * np.eye(d)
+        np.testing.assert_allclose(factor.T @ factor, np.linalg.inv(cov), rtol=1e-5, atol=1e-7)
+
+
+def test_language_counts_are_those_of_the_training_words(spark):
+    texts = {"aa": ["Ábc abc, d", None, "", "été 12 xy"], "bb": ["где мы", "abc", "où"], None: ["zzz"]}
+    rows = [doc(10 * n + i, t, lang) for n, (lang, ts) in enumerate(texts.items()) for i, t in enumerate(ts)]
+    model = language_id.train(frame(spark, rows))
+    bucket = lambda h: ((h * 0x9E3779B1) >> 17) & (language_id.BUCKETS - 1)
+    counts = {}
+    scripts = {}
+    for r in rows:
+        if r[2] is None or r[1] is None or zlib.crc32(str(r[0]).encode()) % 5 == 0:
+            continue
+        own, letters = counts.setdefault(r[2], Counter()), scripts.setdefault(r[2], Counter())
+        for word in "".join(c.lower() if c.isalpha() else " " for c in r[1]).split():
+            letters.update("cyrillic" if "а" <= c <= "я" else "latin" for c in word)
+            codes = [0, 0, *map(ord, word), 0]
+            for two, one, c in zip(codes, codes[1:], codes[2:]):
+                own[bucket(one * 1_000_003 + c + 0x51ED)] += 1
+                own[bucket(one * 1_000_003 + c + (two if one else 0) * 998_244_353 + 0xA3C7)] += 1
+    assert model["langs"] == sorted(counts)
+    for lang, logs in zip(model["langs"], model["logs"], strict=True):
+        expected = np.full(language_id.BUCKETS, 0.5)
+        for slot, n in counts[lang].items():
+            expected[slot] += n
+        np.testing.assert_allclose(logs, np.log(expected / expected.sum()), rtol=1e-5)
+    for script, place in (("latin", 1), ("cyrillic", 3)):
+        has = [scripts[x][script] / sum(scripts[x].values()) >= language_id.MIN_SCRIPT_SHARE for x in model["langs"]]
+        assert model["known"][place] == any(has) and model["candidates"][place].tolist() == (has if any(has) else [True] * 2)
