@@ -19,8 +19,7 @@ it does not have itself, so texts are recognised however they are wrapped. Of th
 sentences known at one place the longest counts. Nothing but the number of a list
 item may stand between two sentences that follow each other.
 
-``ORACLE_SQL`` states the sentences of ``SENTENCES`` as whole pieces between cuts; texts
-that are wrapped otherwise, or are in ``PUBLISHED_SENTENCES``, are found here alone.
+``ORACLE_SQL`` states the same definition over the same two tables.
 
 Defined results: null or empty text has no sentence and no licence. Repeated
 documents give one row each. Extra columns are ignored.
@@ -187,15 +186,26 @@ def _values(rows: list[tuple]) -> str:
     return ", ".join("(" + ", ".join(map(quoted, r)) + ")" for r in rows)
 
 
+def _oracle_pattern(known: dict[str, str]) -> str:
+    """``_pattern`` without looking around: it takes in the cut before and behind, of which the text has two each."""
+    cut = rf"[{_END}\n]"
+    sentences = _pattern(known).split("(", 2)[2].rsplit(")(?=", 1)[0].replace("++", "+")
+    return rf"(^|{cut}) *({sentences}) *({cut}|$)"
+
+
 ORACLE_SQL = rf"""
-WITH known(sentence, sid) AS (VALUES {_values([(_normalised(s), k) for k, s in SENTENCES.items()])}),
-parts(rule, licence, sid, j, m) AS (VALUES {_values([(n, x, sid, j, len(sids)) for n, (x, sids) in enumerate(RULES)
+WITH known(sentence, sid) AS (VALUES {_values([(_normalised(s), k) for k, s in (SENTENCES | PUBLISHED_SENTENCES).items()])}),
+parts(rule, licence, sid, j, m) AS (VALUES {_values([(n, x, sid, j, len(sids)) for n, (x, sids) in enumerate(RULES + PUBLISHED_RULES)
                                                      for j, sid in enumerate(sids)])}),
-docs AS (SELECT row_number() OVER () AS rid, doc_id, string_split(lower(regexp_replace(
-           regexp_replace(regexp_replace(coalesce(text, ''), '([^.!?\n])\n([a-z(])', '\1 \2', 'g'),
-                          '([.!?])[ \t\n\r\f]+', '\1' || chr(10), 'g'), '[^A-Za-z0-9\n]+', ' ', 'g')), chr(10)) AS ss FROM documents),
+normal AS (SELECT row_number() OVER () AS rid, doc_id, lower(regexp_replace(regexp_replace(
+             regexp_replace(replace(coalesce(text, ''), chr(1), ' '), '([^.!?\n])\n([a-z(])', '\1 \2', 'g'),
+             '([.!?])[ \t\n\r\f]+', '\1' || chr(1), 'g'), '[^A-Za-z0-9\n' || chr(1) || ']+', ' ', 'g')) AS s FROM documents),
+marked AS (SELECT rid, doc_id, regexp_replace(regexp_replace(s, '([\n' || chr(1) || '])', '\1\1', 'g'),
+             '{_oracle_pattern(SENTENCES | PUBLISHED_SENTENCES)}', '\1EK\2E\3', 'g') AS s FROM normal),
+docs AS (SELECT rid, doc_id, list_filter(string_split(s, 'E'), lambda p: starts_with(p, 'K') OR NOT regexp_full_match(
+           p, '[ \n' || chr(1) || ']*(([0-9]{{1,2}}|[a-z])[ \n' || chr(1) || ']+)?')) AS ss FROM marked),
 hits AS (SELECT rid, place, sid FROM (SELECT rid, unnest(ss) AS s, generate_subscripts(ss, 1) AS place FROM docs)
-         JOIN known ON trim(s) = sentence),
+         JOIN known ON starts_with(s, 'K') AND trim(regexp_replace(substr(s, 2), '[ \n' || chr(1) || ']+', ' ', 'g')) = sentence),
 runs AS (SELECT rid, rule, licence, m, place - j AS start FROM hits JOIN parts USING (sid) GROUP BY ALL HAVING count(*) = m),
 credit AS (SELECT rid, place, arg_min(licence, rule) AS licence
            FROM (SELECT rid, rule, licence, unnest(range(start, start + m)) AS place FROM runs) GROUP BY rid, place),

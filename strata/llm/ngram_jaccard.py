@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import broadcast_if_small, fresh, map_batches, settled, slices
+from strata.llm.common import broadcast_if_small, fresh, map_batches, settled, slices, text_key
 from strata.llm.shingles import mixed, set_key, shingle_sets
 
 SIMILAR, OF = 80, 100
@@ -219,26 +219,27 @@ def _node_filter(nodes: DataFrame) -> np.ndarray:
 
 
 def _sets(docs: DataFrame, bitmap: np.ndarray) -> DataFrame:
-    """(doc_id, n, node, tokens) of every row; tokens only where the bitmap has the node."""
+    """(doc_id, key, n, node, tokens) of every row; ``key`` is that of its text, tokens only where the bitmap has the node."""
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = shared.value
         mask = len(bitmap) * 64 - 1
-        for batch in (part for whole in batches for part in slices(whole, 1, SLICE_BYTES)):
+        for batch in (part for whole in batches for part in slices(whole, 2, SLICE_BYTES)):
             sizes, nodes, tokens = [], [], []
-            for found in shingle_sets(batch.column(1).to_pylist()):
+            for found in shingle_sets(batch.column(2).to_pylist()):
                 key = set_key(found) if len(found) else None
                 inside = key is not None and (int(bitmap[(key & mask) >> 6]) >> (key & 63)) & 1
                 sizes.append(len(found))
                 nodes.append(key)
                 tokens.append(found if inside else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
-                 pa.array(tokens, pa.list_(pa.int64()))], names=["doc_id", "n", "node", "tokens"])
+                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
+                 pa.array(tokens, pa.list_(pa.int64()))], names=["doc_id", "key", "n", "node", "tokens"])
 
-    return map_batches(docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string")),
-                       run, "doc_id long, n long, node long, tokens array<long>")
+    text = docs["text"].cast("string")
+    return map_batches(docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_key(text).alias("key"), text.alias("text")),
+                       run, "doc_id long, key long, n long, node long, tokens array<long>")
 
 
 def _frequent(sets: DataFrame) -> np.ndarray:
@@ -366,8 +367,8 @@ def _roots(links: DataFrame) -> DataFrame:
     return roots
 
 
-def components(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id."""
+def _placed(docs: DataFrame) -> DataFrame:
+    """(doc_id, key, n_shingles, class, component_id) of every row; ``class`` is null where there is no set."""
     rows = settled(_sets(docs, _node_filter(settled(_possible_nodes(docs)))))
     distinct = rows.where(F.col("tokens").isNotNull()).dropDuplicates(["node"]).select("node", "tokens")
     sets = settled(_shared_sets(distinct))
@@ -380,27 +381,38 @@ def components(docs: DataFrame) -> DataFrame:
     least = settled(least.join(broadcast_if_small(roots), "node", "left"))
     joint = least.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("least").alias("joint"))
     final = settled(least.join(broadcast_if_small(settled(joint)), "root", "left")
-                    .select("node", F.coalesce("joint", "least").alias("component_id")))
-    own = rows.select("doc_id", "n", "node")
-    linked = own.where("n > 0").join(final, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    return linked.union(own.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id")))
+                    .select("node", F.coalesce("root", "node").alias("class"), F.coalesce("joint", "least").alias("component_id")))
+    own = rows.select("doc_id", "key", F.col("n").alias("n_shingles"), "node")
+    linked = own.where("n_shingles > 0").join(final, "node").select("doc_id", "key", "n_shingles", "class", "component_id")
+    return linked.union(own.where("n_shingles = 0").select("doc_id", "key", "n_shingles", F.lit(None).cast("long"), "doc_id"))
+
+
+def components(docs: DataFrame) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id."""
+    return _placed(docs).select("doc_id", "n_shingles", "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose id is their component's: one document of each group, and all without a link.
 
-    Rows repeated with id and text stay once. Rows of null id all stay, for
-    nothing tells them apart.
+    Rows repeated with id and text stay once. A row of null id goes if its group
+    has a row with an id; of a group of null ids alone one row of the text with the
+    smallest key stays. Rows of null id without a set, linked with nothing, all stay.
     """
-    rows = settled(components(docs).select("doc_id", "component_id"))
-    kept_id, more = fresh(docs, "_kept_id", "_again")
-    stay = rows.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias(kept_id)).agg(
+    placed = settled(_placed(docs))
+    kept_id, more, kept_key = fresh(docs, "_kept_id", "_again", "_kept_key")
+    stay = placed.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias(kept_id)).agg(
         (F.count("*") > 1).alias(more))
     stay = broadcast_if_small(settled(stay))
     kept = docs.join(stay, F.col("doc_id") == F.col(kept_id))
     once = kept.where(~F.col(more)).select(docs["*"])
     again = kept.where(F.col(more)).select(docs["*"]).dropDuplicates(["doc_id", "text"])
-    return once.union(again).union(docs.where(F.col("doc_id").isNull()))
+    nameless = docs.where(F.col("doc_id").isNull())
+    alone = placed.where("doc_id is null and component_id is null and class is not null").groupBy("class").agg(
+        F.min("key").alias(kept_key)).select(kept_key)
+    one = nameless.join(broadcast_if_small(settled(alone)), text_key(nameless["text"].cast("string")) == F.col(kept_key), "left_semi")
+    wordless = nameless.where(~F.coalesce(nameless["text"].cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
+    return once.union(again).union(one.dropDuplicates(["text"])).union(wordless)
 
 
 ORACLE_SQL = r"""

@@ -1,5 +1,6 @@
 """The operators that SQL can state, against it, on odd rows and on driver tables."""
 
+import random
 import textwrap
 from collections import Counter
 
@@ -238,6 +239,7 @@ def test_licenses_published_texts_however_wrapped_and_prefixed(spark):
     df = frame(spark, [doc(i, c[0]) for i, c in enumerate(cases)])
     got = {r["doc_id"]: (r["licences"], r["sentence_ids"]) for r in licenses.scan(df).collect()}
     assert got == {i: c[1:] for i, c in enumerate(cases)}
+    same(licenses.scan(df), licenses.ORACLE_SQL, documents=df)
 
 
 def test_licenses_each_known_sentence_at_every_width(spark):
@@ -247,6 +249,21 @@ def test_licenses_each_known_sentence_at_every_width(spark):
     df = frame(spark, [doc(i, c[0]) for i, c in enumerate(cases)])
     got = {r["doc_id"]: r["sentence_ids"] for r in licenses.scan(df).collect()}
     assert got == {i: sid for i, (_, sid) in enumerate(cases)}
+    same(licenses.scan(df), licenses.ORACLE_SQL, documents=df)
+
+
+def test_licenses_shuffled_sentences_against_sql(spark):
+    """Known sentences, list numbers and other words in random order and wrapping, with the SQL's answer."""
+    rng = random.Random(9)
+    known = list((licenses.SENTENCES | licenses.PUBLISHED_SENTENCES).values())
+    between = ["", "", "\n", "\n\n", " 1. ", "\n(a) ", "\n * ", " some words ", "\nMore words\n", "K E \x01 ", ". ", "\r\n", "\t"]
+    texts = []
+    for _ in range(300):
+        text = "".join(rng.choice(between) + rng.choice(known) for _ in range(rng.randint(1, 6)))
+        texts.append("".join("\n" if c == " " and rng.random() < 0.05 else c for c in text))
+    df = frame(spark, [doc(i, t) for i, t in enumerate(texts)])
+    same(licenses.scan(df), licenses.ORACLE_SQL, documents=df)
+    assert licenses.scan(df).where("licences <> ''").count() > 200
 
 
 def test_licenses_words_between_or_ends_inside_are_no_match(spark):
@@ -338,7 +355,19 @@ def test_jaccard_keep_one(spark):
     df = frame(spark, [doc(3, a), doc(2, a), doc(5, b), doc(5, b), doc(6, None), doc(7, ""), doc(None, a), doc(8, a + " z")])
     kept = ngram_jaccard.keep_one(df)
     assert kept.columns == df.columns
-    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["2", "5", "6", "7", "None"]
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["2", "5", "6", "7"]
+
+
+def test_jaccard_keep_one_of_null_ids(spark):
+    """Copies without an id go with their group; of a group without any id one row stays; rows without words stay."""
+    a, b, c = words(1, 50), words(2, 50), words(3, 50)
+    df = frame(spark, [doc(3, a), doc(None, a), doc(None, a + " z"), *[doc(None, b)] * 3, doc(None, b + " z"), doc(None, c),
+                       doc(None, ""), doc(None, None), doc(None, " \t")])
+    kept = [(r["doc_id"], r["text"]) for r in ngram_jaccard.keep_one(df).collect()]
+    assert sum(t in (b, b + " z") for _, t in kept) == 1
+    assert sorted((str(i), str(t)) for i, t in kept if t not in (b, b + " z")) == sorted(
+        [("3", a), ("None", c), ("None", ""), ("None", "None"), ("None", " \t")])
+    assert ngram_jaccard.keep_one(df.limit(0)).count() == 0
 
 
 def test_revisits_against_sql(spark):
