@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import sys
 import tempfile
 import zipfile
@@ -113,6 +114,16 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def drop_shuffles(spark: SparkSession) -> None:
+    """Have Spark remove the shuffle files and broadcasts that no later step can use.
+
+    It removes those whose handles the driver has collected; a driver with a roomy heap
+    collects late, and until then the files of every settled step stay on the executors' disks.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``df`` (already settled) with a broadcast hint if its counted rows, and the bytes in them, allow it.
 

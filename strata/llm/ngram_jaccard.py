@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import broadcast_if_small, fresh, map_batches, settled, slices, text_key
+from strata.llm.common import broadcast_if_small, drop_shuffles, fresh, map_batches, settled, slices, text_key
 from strata.llm.shingles import mixed, set_key, shingle_sets
 
 SIMILAR, OF = 80, 100
@@ -369,11 +369,14 @@ def _roots(links: DataFrame) -> DataFrame:
 
 def _placed(docs: DataFrame) -> DataFrame:
     """(doc_id, key, n_shingles, class, component_id) of every row; ``class`` is null where there is no set."""
-    rows = settled(_sets(docs, _node_filter(settled(_possible_nodes(docs)))))
-    distinct = rows.where(F.col("tokens").isNotNull()).dropDuplicates(["node"]).select("node", "tokens")
-    sets = settled(_shared_sets(distinct))
+    possible = settled(_possible_nodes(docs))
+    drop_shuffles(docs.sparkSession)
+    rows = settled(_sets(docs, _node_filter(possible)))
+    sets = settled(_shared_sets(rows.where(F.col("tokens").isNotNull()).dropDuplicates(["node"]).select("node", "tokens")))
+    drop_shuffles(docs.sparkSession)
     sigs = settled(_signatures(sets, _frequent(sets)))
     links = settled(_links(_hub_pairs(sigs), sets))
+    drop_shuffles(docs.sparkSession)
     more = _links(_open_pairs(sigs, _roots(links)), sets)
     roots = _roots(links.union(more))
     # smallest id of each node, then of each component
