@@ -6,7 +6,6 @@ import logging
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,24 +51,21 @@ def land_raw(spark: SparkSession, tables_dir: str, raw_root: str, cfg: LakeConfi
     One write per month file is inherent to the landing format (the schema
     differs by month); each write is a parallel, narrow job, and the jobs are
     submitted concurrently so small months do not leave the cluster idle.
-    A source's rows are derived once and persisted (spilling to disk, and
-    recomputed from lineage if an executor is lost) for its month writes.
+    Each write scans the table and filters its month before it derives any
+    column. Nothing is persisted: the concurrent months of a source would wait
+    for one another's blocks, or derive and store them once for each executor,
+    and all its rows would stay in memory meanwhile.
     """
-    jobs, persisted = [], []
+    jobs = []
     for source in sources or cfg.sources:
-        trips = fixtures.raw_trips(spark, tables_dir, source).persist(StorageLevel.MEMORY_AND_DISK)
-        persisted.append(trips)
+        trips = fixtures.raw_trips(spark, tables_dir, source)
         for year, month in cfg.year_months():
             jobs.append((fixtures.delivered_month(trips, source, month),
                          raw_path(raw_root, source, year, month)))
-    try:
-        with ThreadPoolExecutor(max_workers=min(8, len(jobs) or 1)) as pool:
-            for f in [pool.submit(lambda j: j[0].write.mode("overwrite").parquet(j[1]), j)
-                      for j in jobs]:
-                f.result()
-    finally:
-        for df in persisted:
-            df.unpersist()
+    with ThreadPoolExecutor(max_workers=min(8, len(jobs) or 1)) as pool:
+        for f in [pool.submit(lambda j: j[0].write.mode("overwrite").parquet(j[1]), j)
+                  for j in jobs]:
+            f.result()
 
 
 def try_read(spark: SparkSession, path: str) -> DataFrame | None:

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from strata.config import YELLOW, LakeConfig
 from strata.operators import bronze, gold, layout, silver
 from strata.plans import quality
+from strata.sources import raw
 
 TS = dt.datetime
 
@@ -251,3 +252,11 @@ def test_month_bounds_stop_before_a_boundary_end():
     assert gold.month_bounds(TS(1996, 1, 1), TS(1996, 6, 1, 0, 0, 1)) == (d(1996, 1, 1), d(1996, 6, 1))
     assert gold.month_bounds(TS(1996, 12, 31), None) == (d(1996, 12, 1), None)
     assert gold.month_bounds(None, TS(1997, 1, 1)) == (None, d(1996, 12, 1))
+
+
+def test_landing_persists_nothing(spark, workdir, monkeypatch):
+    monkeypatch.setattr("pyspark.sql.classic.dataframe.DataFrame.persist", lambda *a, **k: pytest.fail("persisted"))
+    spark.createDataFrame([(TS(1996, 1, 2), i, float(i)) for i in range(10)], "ts timestamp_ntz, event_id bigint, value double") \
+        .write.parquet(f"{workdir}/t/events.parquet")
+    raw.land_raw(spark, f"{workdir}/t", f"{workdir}/raw", LakeConfig(), sources=("fhvhv",))
+    assert [raw.read_raw(spark, f"{workdir}/raw", "fhvhv", 1996, m).count() for m in range(1, 6)] == [2] * 5
