@@ -41,7 +41,7 @@ def logical_source_file(path: Column) -> Column:
 
 def file_name(path: Column) -> Column:
     """Last path segment, for reports that must not depend on the lake location."""
-    return F.regexp_extract(path, r"([^/]+)$", 1)
+    return F.substring_index(path, "/", -1)
 
 
 def land_raw(spark: SparkSession, tables_dir: str, raw_root: str, cfg: LakeConfig,

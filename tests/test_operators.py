@@ -260,3 +260,17 @@ def test_landing_persists_nothing(spark, workdir, monkeypatch):
         .write.parquet(f"{workdir}/t/events.parquet")
     raw.land_raw(spark, f"{workdir}/t", f"{workdir}/raw", LakeConfig(), sources=("fhvhv",))
     assert [raw.read_raw(spark, f"{workdir}/raw", "fhvhv", 1996, m).count() for m in range(1, 6)] == [2] * 5
+
+
+def test_expand_copies_keeps_its_tasks_under_adaptive_execution(spark):
+    # few small rows that stand for many: merged by their size, they would be expanded in one task
+    df = spark.createDataFrame([(f"v{i}", 500) for i in range(64)], "v string, n bigint")
+    out = silver.expand_copies(df, "n", ["v"])
+    per_task = out.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert len(per_task) > 1 and sum(r["count"] for r in per_task) == 32000
+
+
+def test_file_name_is_the_last_path_segment(spark):
+    paths = ["file:///a/b/yellow_tripdata_1996-01.parquet", "plain.parquet", "a/", "", None]
+    rows = spark.createDataFrame([(i, p) for i, p in enumerate(paths)], "i int, p string").select("i", raw.file_name(F.col("p")).alias("n"))
+    assert [r["n"] for r in rows.orderBy("i").collect()] == ["yellow_tripdata_1996-01.parquet", "plain.parquet", "", "", None]
