@@ -274,3 +274,10 @@ def test_file_name_is_the_last_path_segment(spark):
     paths = ["file:///a/b/yellow_tripdata_1996-01.parquet", "plain.parquet", "a/", "", None]
     rows = spark.createDataFrame([(i, p) for i, p in enumerate(paths)], "i int, p string").select("i", raw.file_name(F.col("p")).alias("n"))
     assert [r["n"] for r in rows.orderBy("i").collect()] == ["yellow_tripdata_1996-01.parquet", "plain.parquet", "", "", None]
+
+
+def test_dedup_sorts_by_the_pickup_first(spark):
+    rows = [(1.0, 1.0, 5.0, TS(1996, 1, 2, 8), TS(1996, 1, 2, 9), "f")]
+    df = silver.deduplicate_trips(silver.project_canonical(bronze_rows(spark, rows), YELLOW))
+    sorts = [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Sort [" in line]
+    assert sorts and all("Sort [pickup_datetime" in line for line in sorts)
