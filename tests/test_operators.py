@@ -281,3 +281,11 @@ def test_dedup_sorts_by_the_pickup_first(spark):
     df = silver.deduplicate_trips(silver.project_canonical(bronze_rows(spark, rows), YELLOW))
     sorts = [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Sort [" in line]
     assert sorts and all("Sort [pickup_datetime" in line for line in sorts)
+
+
+def test_logical_source_file_of_files_and_part_files(spark):
+    paths = ["file:///r/y/y_2020-01.parquet", "file:///r/y/y_2020-01.parquet/part-0-\u00e9.parquet", "file:///a.parquet/b.parquet/c.parquet", "x", None]
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(paths)], "i int, p string").select("i", raw.logical_source_file(F.col("p")).alias("n"))
+    assert [r["n"] for r in df.orderBy("i").collect()] == ["file:///r/y/y_2020-01.parquet", "file:///r/y/y_2020-01.parquet", "file:///a.parquet", "x", None]
+    # no search that counts characters on every row
+    assert "instr(" not in df._jdf.queryExecution().optimizedPlan().toString()
